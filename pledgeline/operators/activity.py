@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pledgeline.functions.fiscal import as_date
 from pledgeline.functions.values import flag
 from pledgeline.operators.roles import with_record_type
-from pledgeline.plans.skew import hot_keys, salted_join
+from pledgeline.plans.skew import splittable_join
 
 FUNDRAISER_UNIT = ["assignment_entity_id", "office_code"]
 
@@ -43,9 +43,7 @@ def activity_window(
         .select(*FUNDRAISER_UNIT, "proposal_id", "start_date", "stop_date")
         .join(with_record_type(record_type, ["SF"]), "assignment_entity_id", "left_semi")
     )
-    assigned = salted_join(
-        assigned, wanted, FUNDRAISER_UNIT, "left_semi", hot=hot_keys(assignment, FUNDRAISER_UNIT)
-    )
+    assigned = splittable_join(assigned, wanted, FUNDRAISER_UNIT, "left_semi")
     held = proposal.filter((F.col("primary_ind") == "Y") & (F.col("start_dt") <= end)).select(
         "proposal_id",
         "entity_id",
@@ -165,7 +163,7 @@ def portfolio_contacts(
         .select(F.inline(pairs), *described)
         .filter(F.col("assignment_entity_id").isNotNull() & F.col("office_code").isNotNull())
     )
-    matched = salted_join(candidates, weights, FUNDRAISER_UNIT).select(
+    matched = splittable_join(candidates, weights, FUNDRAISER_UNIT).select(
         "assignment_entity_id", "office_code", *described, "activity_rows"
     )
     if not repeat:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pledgeline.functions.fiscal import as_date
 from pledgeline.functions.values import display_name
-from pledgeline.plans.skew import hot_keys, salted_join
+from pledgeline.plans.skew import splittable_join
 
 
 def contacts_between(
@@ -83,7 +83,7 @@ def contacts_in_role(contacts: DataFrame, roles: DataFrame) -> DataFrame:
     rows = contacts
     for key, mark in (("contact_credit_entity_id", "_credit"), ("author_entity_id", "_author")):
         marked = people.select(F.col("fundraiser_entity_id").alias(key), F.lit(True).alias(mark))
-        rows = salted_join(rows, marked, [key], "left", hot=hot_keys(contacts, [key]))
+        rows = splittable_join(rows, marked, [key], "left")
     return rows.filter(F.col("_credit") | F.col("_author")).select(*columns)
 
 

@@ -17,7 +17,7 @@ from pledgeline.operators.qualifications import (
     qualification_status,
 )
 from pledgeline.operators.roles import with_record_type
-from pledgeline.plans.skew import hot_keys, salted_join
+from pledgeline.plans.skew import splittable_join
 
 # a fundraiser with no active assignment elsewhere counts as having left there on this day
 NEVER_ELSEWHERE = dt.date(1930, 1, 1)
@@ -69,35 +69,32 @@ def unit_flags(
     )
 
 
-def _unit_moves(
+UNIT_KEYS = ["assignment_entity_id", "office_desc", "proposal_id"]
+
+
+def _unit_status(
     assignment: DataFrame,
     stage: DataFrame,
     proposal: DataFrame,
     unit: str,
-    rule: StageRule,
+    rules: dict[str, StageRule],
     start: dt.date | str,
     end: dt.date | str,
-    accepted: Column | None,
+    plan_types: list[str] | None,
 ) -> DataFrame:
-    status = qualification_status(
-        assignment.select(
-            "assignment_entity_id",
-            "office_code",
-            "office_desc",
-            "proposal_id",
-            "start_date",
-            "stop_date",
-        ),
+    """Status per fundraiser, unit description and proposal; plan types do not bear on ``dq``."""
+    wanted = both(one_of(F.col("proposal_type"), plan_types))
+    return qualification_status(
+        assignment.select(*UNIT_KEYS, "office_code", "start_date", "stop_date"),
         stage,
         proposal,
-        ["assignment_entity_id", "office_desc", "proposal_id"],
-        rule,
+        UNIT_KEYS,
+        rules,
+        {name: None if name == "dq" else wanted for name in rules},
         start,
         end,
         included_when=F.col("office_code") == unit,
-        accepted=accepted,
     )
-    return status.filter("included and not excluded").drop("included", "excluded")
 
 
 def unit_qualified(
@@ -110,8 +107,9 @@ def unit_qualified(
     plan_types: list[str] | None = None,
 ) -> DataFrame:
     """(fundraiser, unit description, proposal) that moved from QU to a positive stage."""
-    accepted = both(one_of(F.col("proposal_type"), plan_types))
-    return _unit_moves(assignment, stage, proposal, unit, POSITIVE, start, end, accepted)
+    rules = {"qual": POSITIVE}
+    status = _unit_status(assignment, stage, proposal, unit, rules, start, end, plan_types)
+    return status.filter("qual_included and not qual_excluded").select(*UNIT_KEYS)
 
 
 def unit_disqualified(
@@ -123,7 +121,9 @@ def unit_disqualified(
     end: dt.date | str,
 ) -> DataFrame:
     """(fundraiser, unit description, proposal) that moved from QU to DQ; any proposal type."""
-    return _unit_moves(assignment, stage, proposal, unit, DISQUALIFIED, start, end, None)
+    rules = {"dq": DISQUALIFIED}
+    status = _unit_status(assignment, stage, proposal, unit, rules, start, end, None)
+    return status.filter("dq_included and not dq_excluded").select(*UNIT_KEYS)
 
 
 def unit_outcomes(
@@ -212,14 +212,14 @@ def unit_outcomes(
     )
     # everything below is one row per fundraiser
     flags = unit_flags(assignment, proposal, unit, fundraisers, plan_types)
-    per_fundraiser = lambda moved, name: moved.groupBy("assignment_entity_id").agg(
-        F.count_distinct("proposal_id").alias(name)
-    )
-    qualified = per_fundraiser(
-        unit_qualified(assignment, stage, proposal, unit, start, end, plan_types), "qual_cnt"
+    rules = {"qual": POSITIVE, "dq": DISQUALIFIED}
+    moved = lambda name: F.count_distinct(
+        F.when(F.expr(f"{name}_included and not {name}_excluded"), F.col("proposal_id"))
     )
-    disqualified = per_fundraiser(
-        unit_disqualified(assignment, stage, proposal, unit, start, end), "dq_stop"
+    moves = (
+        _unit_status(assignment, stage, proposal, unit, rules, start, end, plan_types)
+        .groupBy("assignment_entity_id")
+        .agg(moved("qual").alias("qual_cnt"), moved("dq").alias("dq_stop"))
     )
     staff = with_record_type(record_type, ["SF"])
     return (
@@ -229,8 +229,7 @@ def unit_outcomes(
             "left_semi",
         )
         .join(staff, "assignment_entity_id", "left_semi")
-        .join(qualified, "assignment_entity_id", "left")
-        .join(disqualified, "assignment_entity_id", "left")
+        .join(moves, "assignment_entity_id", "left")
         .select(
             *person,
             "starts",
@@ -304,10 +303,7 @@ def window_portfolio(
             F.max(F.datediff(now, F.col("proposal_stage_begin_dt"))).alias("days_in_stage"),
         )
     )
-    joined = salted_join(
-        assigned, held, ["proposal_id"], hot=hot_keys(cads_assignment, ["proposal_id"])
-    )
-    return joined.select(
+    return splittable_join(assigned, held, ["proposal_id"]).select(
         "proposal_id",
         "assigned_to_entity_id_nbr",
         *[c for c in held.columns if c != "proposal_id"],
@@ -346,30 +342,28 @@ def total_qualifications(
         .distinct()
         .withColumn("_in_portfolio", F.lit(True))
     )
-    marked = salted_join(
+    marked = splittable_join(
         assignment.select(
             "assignment_entity_id", "office_code", "proposal_id", "start_date", "stop_date"
         ),
         in_portfolio,
         ["assignment_entity_id"],
         "left",
-        hot=hot_keys(assignment, ["assignment_entity_id"]),
     )
     status = qualification_status(
         marked,
         stage,
         proposal,
         ["proposal_id"],
-        CAMPUS,
+        {"campus": CAMPUS},
+        {"campus": F.col("primary_ind") == "Y"},
         start,
         end,
         included_when=_picked(unit, fundraisers),
         excluded_when=F.col("_in_portfolio"),
-        accepted=F.col("primary_ind") == "Y",
-        hot_proposals=hot_keys(assignment, ["proposal_id"]),
     )
     qualified = (
-        status.filter("included and not excluded")
+        status.filter("campus_included and not campus_excluded")
         .select("proposal_id")
         .join(portfolio.select("proposal_id"), "proposal_id", "left_semi")
     )

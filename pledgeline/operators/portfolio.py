@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pledgeline.functions.values import both, listed_name, one_of
 from pledgeline.operators.roles import current_role, with_record_type
-from pledgeline.plans.skew import hot_keys, number_rows, salted_join
+from pledgeline.plans.skew import hot_keys, number_rows, splittable_join
 
 # what each row number counts within
 ROW_NUMBER_KEYS = {
@@ -65,13 +65,7 @@ def active_portfolio(
             .filter(F.col("fundraiser_role").isin(list(roles)))
             .select(F.col("entity_id").alias("assignment_entity_id"))
         )
-        assigned = salted_join(
-            assigned,
-            in_role,
-            ["assignment_entity_id"],
-            "left_semi",
-            hot=hot_keys(assignment, ["assignment_entity_id"]),
-        )
+        assigned = splittable_join(assigned, in_role, ["assignment_entity_id"], "left_semi")
     held = proposal.filter(
         both(
             F.col("active_ind") == "Y",
@@ -90,7 +84,7 @@ def active_portfolio(
         "ask_amt",
         "original_ask_amt",
     )
-    rows = assigned.join(held, "proposal_id")
+    rows = splittable_join(assigned, held, ["proposal_id"])
     for name in row_numbers:
         keys = ROW_NUMBER_KEYS[name]
         # count groups on the assignment scan rather than on the joined rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pledgeline.plans.skew import salted_join
+from pledgeline.plans.skew import splittable_join
 
 ASSIGNMENT_NAMES = {
     "active_ind": "assignment_active",
@@ -77,7 +77,7 @@ def primary_entities(prospect: DataFrame, primary_entity_only: bool = True) -> D
     kept = ["Y"] if primary_entity_only else ["Y", "N"]
     rows = prospect.filter(F.col("prospect_id").isNotNull())
     return (
-        salted_join(rows, per_prospect, ["prospect_id"])
+        splittable_join(rows, per_prospect, ["prospect_id"])
         .withColumn("primary_entity_revised", revised)
         .filter(F.col("primary_entity_revised").isin(kept))
         .drop("_has_primary", "_rows", "_lowest")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pledgeline.functions.fiscal import add_months_eom, as_date
 from pledgeline.functions.values import both, flag, one_of
-from pledgeline.plans.skew import hot_keys, salted_join
+from pledgeline.plans.skew import splittable_join
 
 
 @dataclass(frozen=True)
@@ -40,32 +40,43 @@ POSITIVE = StageRule(
 DISQUALIFIED = StageRule(include=("DQ",), exclude=("DQ",))
 
 
-def stage_facts(stage: DataFrame, rule: StageRule, start: dt.date, end: dt.date) -> DataFrame:
-    """One row per proposal that was in QU by the end of the window.
+def stage_facts(
+    stage: DataFrame, rules: dict[str, StageRule], start: dt.date, end: dt.date
+) -> DataFrame:
+    """One row per proposal that was in QU by the end of the window, for all rules at once.
 
-    ``moves`` holds the distinct days in the window with an including stage after the first QU day,
-    at most one entry per day of the window.
+    ``<rule>_moves`` holds the distinct days in the window with an including stage after the first
+    QU day, at most one entry per day of the window; ``<rule>_first_exit`` and ``<rule>_last_exit``
+    the first and last day with an excluding stage.
     """
     code, day = F.col("stage_code"), F.to_date("stage_date")
     in_qu = (code == "QU") & (day <= F.lit(end))
-    exits = code.isin(list(rule.exclude))
-    moves = code.isin(list(rule.include)) & day.between(F.lit(start), F.lit(end))
+    read = in_qu
+    measures = [F.min(F.when(in_qu, day)).alias("first_qu")]
+    for name, rule in rules.items():
+        exits = code.isin(list(rule.exclude))
+        moves = code.isin(list(rule.include)) & day.between(F.lit(start), F.lit(end))
+        read = read | exits | moves
+        measures += [
+            F.min(F.when(exits, day)).alias(name + "_first_exit"),
+            F.max(F.when(exits, day)).alias(name + "_last_exit"),
+            F.collect_set(F.when(moves, day)).alias(name + "_moves"),
+        ]
     return (
-        stage.filter(in_qu | exits | moves)
+        stage.filter(read)
         .groupBy("proposal_id")
-        .agg(
-            F.min(F.when(in_qu, day)).alias("first_qu"),
-            F.min(F.when(exits, day)).alias("first_exit"),
-            F.max(F.when(exits, day)).alias("last_exit"),
-            F.collect_set(F.when(moves, day)).alias("moves"),
-        )
+        .agg(*measures)
         .filter(F.col("first_qu").isNotNull())
-        .withColumn("moves", F.expr("filter(moves, d -> d > first_qu)"))
+        .withColumns(
+            {f"{n}_moves": F.expr(f"filter({n}_moves, d -> d > first_qu)") for n in rules}
+        )
     )
 
 
-def proposal_facts(proposal: DataFrame, start: dt.date, accepted: Column) -> DataFrame:
-    """One row per proposal: accepted for inclusion, stopped before the window, died in QU."""
+def proposal_facts(
+    proposal: DataFrame, start: dt.date, accepted: dict[str, Column | None]
+) -> DataFrame:
+    """One row per proposal: ended before the window or in QU, and accepted for each rule."""
     before = F.lit(start)
     stopped = F.col("stop_dt") < before
     died = (
@@ -77,8 +88,12 @@ def proposal_facts(proposal: DataFrame, start: dt.date, accepted: Column) -> Dat
         )
     )
     return proposal.groupBy("proposal_id").agg(
-        F.bool_or(flag(accepted)).alias("accepted"),
         F.bool_or(flag(stopped) | flag(died)).alias("ended"),
+        *[
+            F.bool_or(flag(condition)).alias(name + "_accepted")
+            for name, condition in accepted.items()
+            if condition is not None
+        ],
     )
 
 
@@ -87,50 +102,52 @@ def qualification_status(
     stage: DataFrame,
     proposal: DataFrame,
     keys: list[str],
-    rule: StageRule,
+    rules: dict[str, StageRule],
+    accepted: dict[str, Column | None],
     start: dt.date | str,
     end: dt.date | str,
     included_when: Column | None = None,
     excluded_when: Column | None = None,
-    accepted: Column | None = None,
-    hot_proposals: DataFrame | None = None,
 ) -> DataFrame:
-    """``included`` and ``excluded`` per group of ``keys``, for groups where either holds.
+    """``<rule>_included`` and ``<rule>_excluded`` per group of ``keys``.
 
-    ``included_when`` and ``excluded_when`` are conditions on the assignment, ``accepted`` one on the
-    proposal, for inclusion only. Without ``accepted`` inclusion does not look at proposals at all.
+    ``included_when`` and ``excluded_when`` are conditions on the assignment. ``accepted`` gives for
+    each rule a condition on the proposal, for inclusion only; with ``None`` inclusion does not look
+    at proposals at all.
     """
     start, end = as_date(start), as_date(end)
-    needs_proposal = accepted is not None
-    facts = stage_facts(stage, rule, start, end).join(
-        proposal_facts(proposal, start, F.lit(True) if accepted is None else accepted),
-        "proposal_id",
-        "left",
-    )
-    if hot_proposals is None:
-        hot_proposals = hot_keys(assignment, ["proposal_id"])
-    rows = salted_join(assignment, facts, ["proposal_id"], "inner", hot=hot_proposals)
-    held_at_a_move = F.expr(
-        "exists(moves, d -> start_date <= d and (stop_date is null or stop_date >= d))"
+    facts = stage_facts(stage, rules, start, end).join(
+        proposal_facts(proposal, start, accepted), "proposal_id", "left"
     )
-    included = flag(held_at_a_move)
-    if needs_proposal:
-        included = included & flag(F.col("accepted"))
-    if included_when is not None:
-        included = included & flag(included_when)
-    outside = (
-        flag(F.col("first_exit") < F.lit(start))
-        | flag(F.col("start_date") > F.col("first_exit"))
-        | flag(F.col("stop_date") < F.col("last_exit"))
-    )
-    excluded = F.col("ended").isNotNull() & (outside | flag(F.col("ended")))
-    if excluded_when is not None:
-        excluded = excluded & flag(excluded_when)
+    flags = {}
+    for name in rules:
+        included = flag(
+            F.expr(
+                f"exists({name}_moves, d -> start_date <= d"
+                " and (stop_date is null or stop_date >= d))"
+            )
+        )
+        if accepted[name] is not None:
+            included = included & flag(F.col(name + "_accepted"))
+        if included_when is not None:
+            included = included & flag(included_when)
+        first_exit, last_exit = F.col(name + "_first_exit"), F.col(name + "_last_exit")
+        outside = (
+            flag(first_exit < F.lit(start))
+            | flag(F.col("start_date") > first_exit)
+            | flag(F.col("stop_date") < last_exit)
+        )
+        # "ended" is missing where there is no such proposal, and then nothing excludes
+        excluded = F.col("ended").isNotNull() & (outside | flag(F.col("ended")))
+        if excluded_when is not None:
+            excluded = excluded & flag(excluded_when)
+        flags |= {name + "_included": included, name + "_excluded": excluded}
     return (
-        rows.select(*keys, included.alias("included"), excluded.alias("excluded"))
-        .filter("included or excluded")
+        splittable_join(assignment, facts, ["proposal_id"])
+        .select(*keys, *[condition.alias(name) for name, condition in flags.items()])
+        .filter(" or ".join(flags))
         .groupBy(*keys)
-        .agg(F.bool_or("included").alias("included"), F.bool_or("excluded").alias("excluded"))
+        .agg(*[F.bool_or(name).alias(name) for name in flags])
     )
 
 
@@ -148,25 +165,23 @@ def _campus_status(
     units = portfolio.select(
         "assignment_entity_id", F.col("office_code").alias("portfolio_office_code")
     ).distinct()
-    assigned = salted_join(
+    assigned = splittable_join(
         assignment.select(
             "assignment_entity_id", "office_code", "proposal_id", "start_date", "stop_date"
         ),
         units,
         ["assignment_entity_id"],
-        hot=hot_keys(assignment, ["assignment_entity_id"]),
     )
     return qualification_status(
         assigned,
         stage,
         proposal,
         ["assignment_entity_id", "portfolio_office_code", "proposal_id"],
-        CAMPUS,
+        {"campus": CAMPUS},
+        {"campus": both(one_of(F.col("proposal_type"), plan_types))},
         start,
         end,
         included_when=one_of(F.col("office_code"), offices),
-        accepted=both(one_of(F.col("proposal_type"), plan_types)),
-        hot_proposals=hot_keys(assignment, ["proposal_id"]),
     ).withColumnRenamed("portfolio_office_code", "office_code")
 
 
@@ -189,7 +204,9 @@ def qualifications(
     status = _campus_status(
         portfolio, assignment, stage, proposal, start, end, offices, plan_types
     )
-    return status.filter("included and not excluded").drop("included", "excluded")
+    return status.filter("campus_included and not campus_excluded").drop(
+        "campus_included", "campus_excluded"
+    )
 
 
 def qualification_exclusions(
@@ -206,7 +223,7 @@ def qualification_exclusions(
     assignment, stopped before the window whatever their stages, or died in QU.
     """
     status = _campus_status(portfolio, assignment, stage, proposal, start, end, None, None)
-    return status.filter("excluded").drop("included", "excluded")
+    return status.filter("campus_excluded").drop("campus_included", "campus_excluded")
 
 
 def qualification_counts(qualified: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pledgeline.operators.trends import (
     qualification_totals,
     trend_columns,
 )
-from pledgeline.plans.skew import hot_keys, salted_join
+from pledgeline.plans.skew import splittable_join
 
 SECTIONS = [
     "visits",
@@ -71,12 +71,11 @@ def scoped_inputs(
             F.col("assignment_type") == "DO",
         )
     )
-    assignment = salted_join(
+    assignment = splittable_join(
         assignment,
         in_role.withColumnRenamed("fundraiser_entity_id", "assignment_entity_id"),
         ["assignment_entity_id"],
         "left_semi",
-        hot=hot_keys(tables["assignment"], ["assignment_entity_id"]),
     )
     if lean:
         proposals = assigned_proposals(assignment, tables["proposal"])

@@ -1,16 +1,16 @@
 """Joins and row numbers that stay balanced when one key holds a large share of the rows.
 
-A key is *hot* when it has more rows than the session setting ``pledgeline.hotRows``
-(default 4,000,000). There is at most one hot key per that many input rows, so the list of hot keys
-is small enough to broadcast at any data size: 10^12 rows give at most 250,000 entries of a few
-dozen bytes. Every other group is smaller than the setting and safe in a single task.
-
-The list is counted exactly, from the data, so it is the same whenever Spark computes it again. It
-only decides where rows are processed, never which rows are kept.
-
-Not every join needs this. When both inputs of a sort-merge join are plain exchanges, adaptive
-execution splits oversized partitions by itself. It cannot when one input was aggregated on the join
-key, because that side is not an exchange any more: those joins use ``salted_join``.
+Joins leave the splitting to adaptive execution, which measures the partitions of a sort-merge join
+and cuts the oversized ones, or broadcasts an input that turned out small. It can only do so when
+both inputs are shuffled for that join and nothing later relies on the join's partitioning;
+``splittable_join`` sees to both.
+
+Windows are not split by adaptive execution, so numbering cuts *hot* keys itself: those with more
+rows than the session setting ``pledgeline.hotRows`` (default 4,000,000). There is at most one hot
+key per that many input rows, so the list of them is small enough to broadcast at any data size:
+10^12 rows give at most 250,000 entries of a few dozen bytes. Every other group is smaller than the
+setting and safe in a single task. The list is counted exactly, from the data, so it is the same
+whenever Spark computes it again. It only decides where rows are processed, never which are kept.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 HOT_ROWS_SETTING = "pledgeline.hotRows"
 HOT_ROWS_DEFAULT = 4_000_000
-SALT = "_salt"
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -35,62 +34,47 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str =
     )
 
 
-def hot_keys(rows: DataFrame, keys: list[str], split_by: str | None = None) -> DataFrame:
-    """Hot keys, as ``_hot_<key>`` columns, with the number of pieces ``_fan`` to cut each into.
+def hot_keys(rows: DataFrame, keys: list[str], split_by: str) -> DataFrame:
+    """Hot keys, as ``_hot_<key>`` columns, with equal ranges of an integer column to cut them by.
 
-    With ``split_by``, an integer column, each also gets the lowest value ``_low`` and the width
-    ``_width`` of equal value ranges that cut the group into pieces in the order of that column.
+    ``_low`` is the lowest value of ``split_by`` in the group and ``_width`` the width of a range.
     """
     limit = hot_rows(rows)
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    if split_by is not None:
-        measures += [F.min(split_by).alias("_low"), F.max(split_by).alias("_high")]
-    counted = rows.groupBy(*keys).agg(*measures).filter(F.col("_rows") > limit)
-    fan = F.ceil(F.col("_rows") / F.lit(limit)).cast("long")
-    columns = [F.col(k).alias("_hot_" + k) for k in keys] + [fan.alias("_fan")]
-    if split_by is not None:
-        # twice as many ranges as pieces, since ids are rarely spread perfectly evenly
-        span = F.col("_high") - F.col("_low") + 1
-        width = F.greatest(F.ceil(span / (2 * fan)).cast("long"), F.lit(1).cast("long"))
-        columns += [F.col("_low"), width.alias("_width")]
-    return counted.select(*columns)
-
-
-def salted_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    hot: DataFrame | None = None,
+    counted = (
+        rows.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min(split_by).alias("_low"),
+            F.max(split_by).alias("_high"),
+        )
+        .filter(F.col("_rows") > limit)
+    )
+    # twice as many ranges as needed, since ids are rarely spread perfectly evenly
+    ranges = 2 * F.ceil(F.col("_rows") / F.lit(limit))
+    width = F.ceil((F.col("_high") - F.col("_low") + 1) / ranges).cast("long")
+    return counted.select(
+        *[F.col(k).alias("_hot_" + k) for k in keys],
+        "_low",
+        F.greatest(width, F.lit(1).cast("long")).alias("_width"),
+    )
+
+
+def splittable_join(
+    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner"
 ) -> DataFrame:
-    """Equi-join many fact rows to a lookup (inner, left or left_semi), splitting hot fact keys.
+    """Equi-join (inner, left or left_semi) whose oversized partitions can be split at run time.
 
-    Fact rows of a hot key are dealt over ``_fan`` salts; the lookup rows of that key are repeated
-    once per salt, all others keep salt 0. ``hot`` may come from a cheaper table than ``facts``.
+    A lookup aggregated on the join key would be joined in place, without an exchange, and adaptive
+    execution does not split such a join: all facts of a hot key would meet in one task. Joining on
+    the key and one bit of its hash shuffles both sides for this join (the lookup once more, which
+    has one row per key), and no later grouping can reuse that partitioning.
     """
-    if hot is None:
-        hot = hot_keys(facts, keys)
-    hot = F.broadcast(hot.select(*["_hot_" + k for k in keys], "_fan"))
-    hot_columns = ["_fan"] + ["_hot_" + k for k in keys]
-    salt = F.when(
-        F.col("_fan").isNotNull(), F.pmod(F.xxhash64(*facts.columns), F.col("_fan"))
-    ).otherwise(F.lit(0).cast("long"))
-    spread = (
-        facts.join(hot, _same_keys(facts, hot, keys, "_hot_"), "left")
-        .withColumn(SALT, salt)
-        .drop(*hot_columns)
-    )
-    repeated = (
-        lookup.join(hot, _same_keys(lookup, hot, keys, "_hot_"), "left")
-        .withColumn(
-            SALT,
-            F.explode(
-                F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_fan") - 1, F.lit(0)))
-            ),
-        )
-        .drop(*hot_columns)
+    bit = F.pmod(F.xxhash64(*keys), F.lit(2).cast("long"))
+    return (
+        facts.withColumn("_bit", bit)
+        .join(lookup.withColumn("_bit", bit), [*keys, "_bit"], how)
+        .drop("_bit")
     )
-    return spread.join(repeated, [*keys, SALT], how).drop(SALT)
 
 
 def number_rows(

@@ -42,27 +42,16 @@ class SampleTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def tables(self) -> dict[str, DataFrame]:
-        names = [
-            "proposal",
-            "assignment",
-            "stage",
-            "contact",
-            "entity",
-            "prospect",
-            "date_dim",
-            "goal",
-            "record_type",
-            "gift",
-            "cads_assignment",
-            "proposal_summary",
-            "entity_prospect_summary",
-        ]
-        return {n: getattr(self, n)() for n in names} | {"stage_history": self.stage_history_lines()}
+    def __getitem__(self, name: str) -> DataFrame:
+        """A model table by name, built when first asked for."""
+        if name not in self._built:
+            self._built[name] = getattr(self, name)()
+        return self._built[name]
 
     def proposal(self) -> DataFrame:
         key, day = _int("o_orderkey"), F.to_date("o_orderdate")
@@ -211,7 +200,7 @@ class SampleTables:
 
     def stage_history_lines(self) -> DataFrame:
         """Stage history of the proposals themselves, from the same line items as ``stage``."""
-        stage, line = self.stage(), F.col("proposal_stage_id") % 8
+        stage, line = self["stage"], F.col("proposal_stage_id") % 8
         moment = F.col("stage_date").cast("timestamp")
         return stage.select(
             F.col("proposal_id").alias("d_proposal_key"),
@@ -371,7 +360,7 @@ class SampleTables:
         )
 
     def cads_assignment(self) -> DataFrame:
-        return self.assignment().select(
+        return self["assignment"].select(
             "proposal_id",
             F.col("assignment_entity_id").alias("assigned_to_entity_id_nbr"),
             F.col("start_date").alias("assignment_begin_dt"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,65 +40,96 @@ SECTIONS = [
 ]
 
 
-def scoped_inputs(
-    tables: dict[str, DataFrame],
+def scoped_contacts(
+    tables: Mapping[str, DataFrame],
+    in_role: DataFrame,
     start: dt.date | str,
     end: dt.date | str,
-    role_fy: int,
-    as_of: dt.date | str,
-    roles: list[str] | None = None,
     units: list[str] | None = None,
     fundraisers: list[int] | None = None,
     lean: bool = False,
-) -> dict[str, DataFrame]:
-    """Roles, contacts, proposals and qualifications of the fundraisers in a role.
-
-    ``units`` are unit descriptions. ``tables`` holds the model tables by name. Contacts and
-    assignments are reduced to the fundraisers before anything is joined to them. ``lean`` leaves
-    out what no trend reads: fundraiser names, prospects and entities.
-    """
-    in_role = fundraisers_in_role(tables["goal"], role_fy, roles)
-
+) -> DataFrame:
+    """Enriched contacts credited to or written by fundraisers in the role."""
     contacts = contacts_between(tables["contact"], tables["date_dim"], start, end, fundraisers)
-    wanted_unit = one_of(F.col("unit_desc"), units)
-    if wanted_unit is not None:
-        contacts = contacts.filter(wanted_unit)
+    if units is not None:
+        contacts = contacts.filter(F.col("unit_desc").isin(list(units)))
     contacts = with_households(contacts_in_role(contacts, in_role), tables["entity"])
+    return contacts if lean else with_fundraiser_name(contacts, tables["entity"])
+
 
+def scoped_assignments(
+    tables: Mapping[str, DataFrame],
+    in_role: DataFrame,
+    units: list[str] | None = None,
+    fundraisers: list[int] | None = None,
+) -> DataFrame:
+    """``DO`` assignments of fundraisers in the role."""
     assignment = tables["assignment"].filter(
         both(
+            F.col("assignment_type") == "DO",
             one_of(F.col("unit_desc"), units),
             one_of(F.col("assignment_entity_id"), fundraisers),
-            F.col("assignment_type") == "DO",
         )
     )
-    assignment = splittable_join(
-        assignment,
-        in_role.withColumnRenamed("fundraiser_entity_id", "assignment_entity_id"),
-        ["assignment_entity_id"],
-        "left_semi",
-    )
+    wanted = in_role.withColumnRenamed("fundraiser_entity_id", "assignment_entity_id")
+    return splittable_join(assignment, wanted, ["assignment_entity_id"], "left_semi")
+
+
+def scoped_proposals(
+    tables: Mapping[str, DataFrame],
+    in_role: DataFrame,
+    units: list[str] | None = None,
+    fundraisers: list[int] | None = None,
+    lean: bool = False,
+) -> DataFrame:
+    """Denormalised proposals of fundraisers in the role."""
+    assignment = scoped_assignments(tables, in_role, units, fundraisers)
     if lean:
-        proposals = assigned_proposals(assignment, tables["proposal"])
-    else:
-        contacts = with_fundraiser_name(contacts, tables["entity"])
-        proposals = proposal_fact(
-            assignment, tables["proposal"], tables["prospect"], tables["entity"]
-        )
-    # every scoped assignment with a proposal keeps its row, so this is the same set of proposals
-    scoped_ids = (
-        assignment.select("proposal_id")
+        return assigned_proposals(assignment, tables["proposal"])
+    return proposal_fact(assignment, tables["proposal"], tables["prospect"], tables["entity"])
+
+
+def scoped_qualifications(
+    tables: Mapping[str, DataFrame],
+    in_role: DataFrame,
+    as_of: dt.date | str,
+    units: list[str] | None = None,
+    fundraisers: list[int] | None = None,
+) -> DataFrame:
+    """First forward moves of the scoped proposals."""
+    # every scoped assignment of an existing proposal is a scoped proposal
+    proposals = (
+        scoped_assignments(tables, in_role, units, fundraisers)
+        .select("proposal_id")
         .join(tables["proposal"].select("proposal_id"), "proposal_id", "left_semi")
-        .distinct()
-    )
-    qualified = first_forward_moves(tables["stage_history"], as_date(as_of)).join(
-        scoped_ids, "proposal_id", "left_semi"
     )
+    moves = first_forward_moves(tables["stage_history"], as_date(as_of))
+    return moves.join(proposals, "proposal_id", "left_semi")
+
+
+def scoped_inputs(
+    tables: Mapping[str, DataFrame],
+    start: dt.date | str,
+    end: dt.date | str,
+    role_fy: int,
+    as_of: dt.date | str,
+    roles: list[str] | None = None,
+    units: list[str] | None = None,
+    fundraisers: list[int] | None = None,
+    lean: bool = False,
+) -> dict[str, DataFrame]:
+    """Roles, contacts, proposals and qualifications of the fundraisers in a role.
+
+    ``tables`` holds the model tables by name, ``units`` are unit descriptions. Contacts and
+    assignments are reduced to the fundraisers before anything is joined to them. ``lean`` leaves
+    out what no trend reads: fundraiser names, prospects and entities.
+    """
+    in_role = fundraisers_in_role(tables["goal"], role_fy, roles)
     return {
         "role_data": in_role,
-        "contact_data": contacts,
-        "proposal_data": proposals,
-        "qual_data": qualified,
+        "contact_data": scoped_contacts(tables, in_role, start, end, units, fundraisers, lean),
+        "proposal_data": scoped_proposals(tables, in_role, units, fundraisers, lean),
+        "qual_data": scoped_qualifications(tables, in_role, as_of, units, fundraisers),
     }
 
 
@@ -110,23 +142,19 @@ def _contact_totals(
     entry = lambda wanted, section, id_column: F.when(
         wanted, F.struct(F.lit(section).alias("section"), F.col(id_column).alias("id"))
     )
-    entries = F.array_compact(
-        F.array(
-            entry(visit, "visits", "report_id"),
-            entry(visit & F.col("hh_corp_entity_id").isNotNull(), "unique_v", "hh_corp_entity_id"),
-            entry(
-                visit & F.col("alt_hh_corp_entity_id").isNotNull(),
-                "unique_v",
-                "alt_hh_corp_entity_id",
-            ),
-            entry(significant, "sig_contacts", "report_id"),
-        )
+    own, alternate = F.col("hh_corp_entity_id"), F.col("alt_hh_corp_entity_id")
+    entries = F.array(
+        entry(visit, "visits", "report_id"),
+        entry(visit & own.isNotNull(), "unique_v", "hh_corp_entity_id"),
+        entry(visit & alternate.isNotNull(), "unique_v", "alt_hh_corp_entity_id"),
+        entry(significant, "sig_contacts", "report_id"),
     )
     return (
         contacts.filter((F.col("fiscal_yr") >= first_fy) & (visit | significant))
         .select(
             *by, "fiscal_yr", is_ytd(F.col("contact_date"), as_of).alias("isytd"), F.inline(entries)
         )
+        .filter(F.col("section").isNotNull())
         .groupBy(*by, "section", "fiscal_yr", "id")
         .agg(F.max("isytd").alias("isytd"))
         .groupBy(*by, "section", "fiscal_yr")

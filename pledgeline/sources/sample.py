@@ -110,7 +110,7 @@ class SampleTables:
             .agg(
                 F.min(shipped).alias("first_day"),
                 F.max(shipped).alias("last_day"),
-                F.max("l_linestatus").alias("status"),
+                F.bool_or(F.col("l_linestatus") == "O").alias("is_open"),
             )
         )
         people = self._read("supplier").select(
@@ -137,7 +137,7 @@ class SampleTables:
                 F.concat(F.lit("F"), _text(F.col("nation"))).alias("assignment_first_name"),
                 F.col("s_name").alias("assignment_last_name"),
                 F.lit("DO").alias("assignment_type"),
-                F.when(F.col("status") == "O", "Y").otherwise("N").alias("active_ind"),
+                F.when(F.col("is_open"), "Y").otherwise("N").alias("active_ind"),
                 office.alias("office_code"),
                 described.alias("office_desc"),
                 _none("string").alias("program_code"),
@@ -145,7 +145,7 @@ class SampleTables:
                 office.alias("unit_code"),
                 described.alias("unit_desc"),
                 F.col("first_day").alias("start_date"),
-                F.when(F.col("status") == "F", F.date_add("last_day", 365)).alias("stop_date"),
+                F.when(~F.col("is_open"), F.date_add("last_day", 365)).alias("stop_date"),
             )
         )
 

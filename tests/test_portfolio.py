@@ -1,0 +1,176 @@
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from pledgeline.operators.portfolio import (
+    active_portfolio,
+    actual_asks,
+    planned_ask_rows,
+    planned_asks_by_fundraiser,
+    planned_asks_by_unit,
+)
+from pledgeline.operators.roles import current_role, fundraisers_in_role
+
+
+def assigned(i, person, proposal, office="A", **more):
+    return dict(
+        assignment_id=i, assignment_entity_id=person, proposal_id=proposal, office_code=office,
+        office_desc="Unit " + (office or ""), assignment_type="DO", active_ind="Y",
+        assignment_last_name=f"L{person}", assignment_first_name="F", prospect_id=1,
+    ) | more
+
+
+def held(i, **more):
+    return dict(
+        proposal_id=i, entity_id=100 + i, prospect_id=1, primary_ind="Y", active_ind="Y",
+        proposal_type="MG", original_ask_amt=100, ask_amt=0, granted_amt=0,
+        expected_date="2022-01-01", start_dt="2021-01-01",
+    ) | more
+
+
+@pytest.fixture
+def build(table):
+    def make(assignments, proposals, types=None, goals=(), **options):
+        people = {a["assignment_entity_id"] for a in assignments}
+        if types is None:
+            types = [dict(entity_id=p, record_type_code="SF") for p in people]
+        return active_portfolio(
+            table("proposal", proposals),
+            table("assignment", assignments),
+            table("record_type", types),
+            table("goal", list(goals)),
+            2022,
+            **options,
+        )
+
+    return make
+
+
+def test_roles(table):
+    goal = lambda person, role, active, created, year=2022: dict(
+        entity_id=person, fiscal_year=year, fundraiser_role=role, active=active,
+        created_date=created,
+    )
+    goals = table(
+        "goal",
+        [
+            goal(1, "Annual", "Y", "2021-07-01"), goal(1, "Major Gift", None, "2021-07-01"),
+            goal(2, "Annual", "N", "2021-07-01"), goal(2, "Major Gift", "Y", "2021-07-01"),
+            goal(3, "Annual", "Y", "2021-07-01"), goal(3, "Planned", "Y", "2021-08-01"),
+            goal(4, "Annual", "Y", "2021-07-01"), goal(4, "Planned", "Y", None),
+            goal(5, "Annual", "Y", "2020-07-01", 2021),
+        ],
+    )
+    # missing values come first under descending order
+    assert rows(current_role(goals, 2022), "entity_id", "fundraiser_role") == [
+        (1, "Major Gift"), (2, "Major Gift"), (3, "Planned"), (4, "Planned"),
+    ]
+    assert rows(fundraisers_in_role(goals, 2022, ["Annual", "Planned"])) == [(1,), (2,), (3,), (4,)]
+    assert rows(fundraisers_in_role(goals, 2021)) == [(5,)]
+
+
+def test_filters(build):
+    assignments = [
+        assigned(1, 1, 1), assigned(2, 2, 1, "B"), assigned(3, 3, 2), assigned(4, 4, 2),
+        assigned(5, 1, 3), assigned(6, 1, 4), assigned(7, 1, 5),
+        assigned(8, 1, 1, active_ind="N"), assigned(9, 1, 1, assignment_type="PM"),
+    ]
+    proposals = [
+        held(1), held(2, proposal_type="ESP"), held(3, active_ind="N"), held(4, primary_ind="N"),
+        held(5, primary_ind=None),
+    ]
+    types = [dict(entity_id=p, record_type_code=c) for p, c in
+             ((1, "SF"), (1, "AL"), (2, "SF"), (3, "AL"))]
+    goals = [dict(entity_id=1, fiscal_year=2022, fundraiser_role="Major Gift", active="Y"),
+             dict(entity_id=3, fiscal_year=2022, fundraiser_role="Annual", active="Y")]
+    ids = lambda **o: [r[0] for r in rows(
+        build(assignments, proposals, types, goals, row_numbers=(), **o), "assignment_id")]
+    # 4 has no record type; two record types do not repeat a row
+    assert ids() == [1, 2, 3]
+    assert ids(record_types=["SF"]) == [1, 2]
+    assert ids(offices=["B", "C"]) == [2]
+    assert ids(fundraisers=[1, 3]) == [1, 3]
+    assert ids(plan_types=["ESP"]) == [3]
+    assert ids(roles=["Major Gift", "Annual"]) == [1, 3]
+    assert ids(roles=["Annual"], plan_types=["MG"]) == []
+
+
+def test_shared_proposal_counts_once_for_the_unit(build):
+    portfolio = build([assigned(1, 1, 1), assigned(2, 2, 1)], [held(1)])
+    by_person = planned_asks_by_fundraiser(portfolio)
+    assert rows(by_person, "assignment_entity_id", "total_target_ask", "total_target_ask_cnt",
+                "unit_target_ask_cnt", "unit_target_ask") == [
+        (1, Decimal("100.00"), 1, 1, Decimal("100.00")),
+        (2, Decimal("100.00"), 1, 0, None),
+    ]
+    assert rows(planned_asks_by_unit(portfolio)) == [("A", Decimal("100.00"))]
+
+
+def test_planned_ask_conditions(build):
+    proposals = [
+        held(1), held(2, expected_date=None), held(3, ask_amt=5), held(4, stop_dt="2021-05-01"),
+        held(5, original_ask_amt=0),
+        held(6, ask_amt=7, initial_contribution_dt="2021-05-01"),
+    ]
+    portfolio = build([assigned(i, 1, i) for i in range(1, 7)], proposals)
+    assert rows(planned_ask_rows(portfolio), "proposal_id", "target_ask") == [
+        (1, Decimal("100.00"))
+    ]
+    assert rows(actual_asks(portfolio), "proposal_id", "actual_ask", "actual_ask_cnt", "rn3") == [
+        (6, Decimal("7.00"), 1, 1)
+    ]
+    assert rows(planned_asks_by_fundraiser(portfolio), "total_target_ask") == [
+        (Decimal("100.00"),)
+    ]
+
+
+def test_unit_never_exceeds_total(build):
+    rng = random.Random(1)
+    assignments = [
+        assigned(i, rng.randrange(6), rng.randrange(20), rng.choice("AB")) for i in range(60)
+    ]
+    portfolio = build(assignments, [held(i, original_ask_amt=i) for i in range(20)])
+    result = planned_asks_by_fundraiser(portfolio).cache()
+    assert result.filter("unit_target_ask > total_target_ask").count() == 0
+    shared = portfolio.filter("original_ask_amt > 0").select(
+        "office_code", "proposal_id", "original_ask_amt"
+    ).distinct()
+    expected = rows(shared.groupBy("office_code").agg(F.sum("original_ask_amt")))
+    assert rows(planned_asks_by_unit(portfolio)) == expected
+
+
+@pytest.mark.parametrize("limit", [1, 4, 20, 1_000_000])
+def test_row_numbers_with_hot_groups(build, hot_rows, limit):
+    rng = random.Random(limit)
+    assignments = []
+    for i in rng.sample(range(100_000), 240):
+        hot = rng.random() < 0.4
+        proposal = 1 if hot else rng.randrange(2, 30)
+        office = rng.choice(["A", "B", None])
+        assignments.append(
+            assigned(i, 1 if hot else rng.randrange(5), proposal, office,
+                     prospect_id=proposal % 3)
+        )
+    hot_rows(limit)
+    portfolio = build(assignments, [held(i, prospect_id=i % 3) for i in range(1, 30)]).cache()
+    assert portfolio.count() == 240
+    keys = {
+        "rn2": ["prospect_id", "office_code"],
+        "rn3": ["proposal_id", "office_code"],
+        "rn4": ["proposal_id", "office_code", "assignment_entity_id"],
+    }
+    for name, columns in keys.items():
+        plain = F.row_number().over(Window.partitionBy(*columns).orderBy("assignment_id"))
+        wrong = portfolio.withColumn("_plain", plain).filter(F.col("_plain") != F.col(name))
+        assert wrong.count() == 0
+
+
+def test_date_parameters_accept_text_and_dates():
+    from pledgeline.functions.fiscal import as_date
+
+    assert as_date("2021-07-01") == as_date(dt.datetime(2021, 7, 1, 5)) == dt.date(2021, 7, 1)

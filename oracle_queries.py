@@ -1,8 +1,8 @@
 """DuckDB SQL for every registered query, over the sample star schema.
 
-Each query is written the direct way (subtraction, range self-joins, OR joins, windows), not the way
-the Spark operators work, so that agreement also checks the operators' rewrites. Dates and times are
-given as text and money as double, as in the registered queries.
+Each query tests its rule row by row (EXISTS with inequalities, OR joins, windows over whole groups),
+not the way the Spark operators work, so that agreement also checks the operators' rewrites. Dates
+and times are given as text and money as double, as in the registered queries.
 """
 
 from __future__ import annotations
@@ -163,280 +163,276 @@ MODEL = {
 # -- building blocks shared by several queries -----------------------------------------------------
 
 ROLE_2000 = """
-    SELECT entity_id, fundraiser_role, fiscal_year FROM (
-        SELECT entity_id, fundraiser_role, fiscal_year, row_number() OVER (PARTITION BY entity_id
-            ORDER BY active DESC NULLS FIRST, created_date DESC NULLS FIRST) AS goal_row
-        FROM goal WHERE fiscal_year = 2000) WHERE goal_row = 1"""
+    SELECT entity_id, fundraiser_role, fiscal_year FROM goal WHERE fiscal_year = 2000
+    QUALIFY row_number() OVER (PARTITION BY entity_id
+        ORDER BY active DESC NULLS FIRST, created_date DESC NULLS FIRST) = 1"""
+PORTFOLIO = """
+    SELECT a.assignment_id, a.assignment_entity_id,
+        concat_ws(', ', a.assignment_last_name, a.assignment_first_name) AS assignment_name,
+        a.office_code, a.office_desc, p.proposal_id, p.entity_id, p.prospect_id, p.primary_ind,
+        p.proposal_type, p.stop_dt, p.stage_code, p.initial_contribution_dt, p.expected_date,
+        p.ask_amt, p.original_ask_amt,
+        row_number() OVER (PARTITION BY p.prospect_id, a.office_code ORDER BY a.assignment_id)
+            AS rn2,
+        row_number() OVER (PARTITION BY p.proposal_id, a.office_code ORDER BY a.assignment_id)
+            AS rn3,
+        row_number() OVER (PARTITION BY p.proposal_id, a.office_code, a.assignment_entity_id
+            ORDER BY a.assignment_id) AS rn4
+    FROM assignment a JOIN proposal p USING (proposal_id)
+    WHERE p.active_ind = 'Y' AND a.active_ind = 'Y' AND p.primary_ind = 'Y'
+        AND a.assignment_type = 'DO'
+        AND EXISTS (FROM record_type r WHERE r.entity_id = a.assignment_entity_id)"""
+ROLE_PORTFOLIO = f"""
+    SELECT * REPLACE (row_number() OVER (PARTITION BY proposal_id, office_code
+        ORDER BY assignment_id) AS rn3)
+    FROM portfolio WHERE proposal_type = 'MG' AND assignment_entity_id IN (
+        SELECT entity_id FROM ({ROLE_2000}) WHERE fundraiser_role = 'Major Gift')"""
+
+PLANNED = "(expected_date IS NOT NULL AND ask_amt = 0 AND original_ask_amt > 0 AND stop_dt IS NULL)"
+BY_FUNDRAISER = f"""
+    SELECT assignment_entity_id, assignment_name, office_code,
+        coalesce(sum(original_ask_amt) FILTER ({PLANNED}), 0) AS total_target_ask,
+        count(DISTINCT proposal_id) FILTER ({PLANNED}) AS total_target_ask_cnt,
+        count(DISTINCT proposal_id) FILTER ({PLANNED} AND rn3 = 1) AS unit_target_ask_cnt,
+        sum(original_ask_amt) FILTER ({PLANNED} AND rn3 = 1) AS unit_target_ask
+    FROM portfolio GROUP BY ALL"""
 
+# a day on which somebody with this assignment held the proposal
+OPEN_END = "DATE '9999-12-31'"
+
+
+def _held_on(day: str) -> str:
+    return f"{day} BETWEEN a.start_date AND coalesce(a.stop_date, {OPEN_END})"
 
-def _portfolio(where: str = "TRUE") -> str:
-    return f"""
-    SELECT asn.assignment_id, asn.assignment_entity_id,
-        asn.assignment_last_name || ', ' || asn.assignment_first_name AS assignment_name,
-        asn.office_code, asn.office_desc, pr.proposal_id, pr.entity_id, pr.prospect_id,
-        pr.primary_ind, pr.stop_dt, pr.stage_code, pr.initial_contribution_dt, pr.expected_date,
-        pr.ask_amt, pr.original_ask_amt,
-        row_number() OVER (PARTITION BY pr.prospect_id, office_code ORDER BY assignment_id) AS rn2,
-        row_number() OVER (PARTITION BY pr.proposal_id, office_code ORDER BY assignment_id) AS rn3,
-        row_number() OVER (PARTITION BY pr.proposal_id, office_code, assignment_entity_id
-            ORDER BY assignment_id) AS rn4
-    FROM proposal pr
-    JOIN assignment asn ON asn.proposal_id = pr.proposal_id
-    LEFT JOIN ({ROLE_2000}) gl ON gl.entity_id = asn.assignment_entity_id
-    WHERE pr.active_ind = 'Y' AND asn.active_ind = 'Y' AND asn.assignment_type = 'DO'
-        AND pr.primary_ind = 'Y'
-        AND asn.assignment_entity_id IN (SELECT entity_id FROM record_type) AND {where}"""
-
-
-PLANNED = "expected_date IS NOT NULL AND ask_amt = 0 AND original_ask_amt > 0 AND stop_dt IS NULL"
 
-BY_FUNDRAISER = f"""
-    SELECT assignment_entity_id, assignment_name, office_code, sum(target_ask) AS total_target_ask,
-        count(DISTINCT CASE WHEN cnt = 1 THEN proposal_id END) AS total_target_ask_cnt,
-        count(DISTINCT CASE WHEN rn3 = 1 AND cnt = 1 THEN proposal_id END) AS unit_target_ask_cnt,
-        sum(CASE WHEN rn3 = 1 AND cnt = 1 THEN target_ask END) AS unit_target_ask
-    FROM (SELECT assignment_entity_id, assignment_name, office_code, proposal_id, rn3,
-            coalesce(sum(CASE WHEN {PLANNED} THEN original_ask_amt END), 0) AS target_ask,
-            count(CASE WHEN {PLANNED} THEN proposal_id END) AS cnt
-        FROM portfolio WHERE primary_ind = 'Y'
-        GROUP BY assignment_entity_id, office_code, proposal_id, assignment_name, rn3)
-    GROUP BY assignment_entity_id, assignment_name, office_code"""
-
-ASKED = f"""pr.initial_contribution_dt BETWEEN {FROM} AND {TO}
-    AND (asn.stop_date >= pr.initial_contribution_dt OR asn.stop_date IS NULL)
-    AND asn.start_date <= pr.initial_contribution_dt AND pr.ask_amt > 0"""
-COMMITTED = f"""pr.granted_amt > 0 AND pr.stop_dt BETWEEN {FROM} AND {TO}
-    AND (asn.stop_date >= pr.stop_dt OR asn.stop_date IS NULL) AND asn.start_date <= pr.stop_dt"""
 ACTIVITY = f"""
-    SELECT DISTINCT asn.office_code, asn.assignment_entity_id, asn.proposal_id,
-        CASE WHEN {ASKED} THEN pr.proposal_id END AS asks,
-        CASE WHEN {ASKED} THEN pr.ask_amt END AS ask_amt,
-        CASE WHEN {COMMITTED} THEN pr.proposal_id END AS commits,
-        CASE WHEN pr.proposal_type = 'ESP' AND pr.stop_dt IS NOT NULL AND pr.granted_amt > 0
-                AND (asn.start_date IS NULL OR asn.start_date <= pr.stop_dt)
-                AND coalesce(asn.stop_date, {AS_OF}) >= pr.stop_dt AND pr.stop_dt <= {TO}
-                AND dgd.gift_credit_dt BETWEEN {FROM} AND {TO} AND dgd.pledged_basis_flg = 'Y'
-                AND dgd.donor_entity_id_nbr = pr.entity_id THEN dgd.transaction_credited_amt
-            WHEN pr.proposal_type <> 'ESP' AND {COMMITTED} THEN pr.granted_amt END AS commit_amt
-    FROM (SELECT DISTINCT assignment_entity_id, office_code FROM portfolio) pf
-    JOIN assignment asn ON asn.assignment_entity_id = pf.assignment_entity_id
-        AND asn.office_code = pf.office_code
-    JOIN proposal pr ON pr.proposal_id = asn.proposal_id
-    JOIN record_type rec ON rec.entity_id = asn.assignment_entity_id
-    LEFT JOIN gift dgd ON dgd.proposal_id = pr.proposal_id
-        AND dgd.donor_entity_id_nbr = pr.entity_id AND dgd.gift_credit_dt BETWEEN {FROM} AND {TO}
-        AND dgd.pledged_basis_flg = 'Y'
-    WHERE asn.assignment_type = 'DO' AND pr.primary_ind = 'Y'
-        AND (asn.stop_date >= {FROM} OR asn.stop_date IS NULL) AND asn.start_date <= {TO}
-        AND pr.start_dt <= {TO} AND rec.record_type_code = 'SF'"""
-
-EIGHT = "('PD','SP','GS','DS','CU','RP','DQ','TD')"
-NINE = "('PD','SP','GS','DS','CU','CN','RP','DQ','TD')"
-FIVE = "('PD','SP','GS','DS','CU')"
-QU_DATES = f"""(SELECT DISTINCT proposal_id, stage_date FROM stage
-    WHERE stage_code = 'QU' AND stage_date <= {TO})"""
-
-
-def _add_six_months(day: str) -> str:
-    return f"""CASE WHEN {day} = last_day({day}) THEN last_day(CAST({day} + INTERVAL 6 MONTH AS DATE))
-        ELSE CAST({day} + INTERVAL 6 MONTH AS DATE) END"""
-
-
-def _moved_in_window(stages: str) -> str:
-    return f"""ps.stage_code IN {stages} AND ps.stage_date BETWEEN {FROM} AND {TO}
-        AND asn.start_date <= ps.stage_date
-        AND (asn.stop_date IS NULL OR asn.stop_date >= ps.stage_date)
-        AND ps.stage_date > inr.stage_date"""
-
-
-def _left_out(stages: str) -> str:
-    return f"""(ps.stage_code IN {stages} AND (ps.stage_date < {FROM}
-            OR (asn.start_date > ps.stage_date OR asn.stop_date < ps.stage_date))
-        OR pr.stop_dt < {FROM}
-        OR (pr.stage_code = 'QU' AND pr.active_ind <> 'Y' AND (pr.stop_dt < {FROM}
-            OR (pr.stop_dt IS NULL AND {_add_six_months('pr.expected_date')} < {FROM}))))"""
-
-
-STAGE_JOINS = f"""
-    JOIN stage ps ON ps.proposal_id = asn.proposal_id
-    JOIN proposal pr ON pr.proposal_id = asn.proposal_id
-    JOIN {QU_DATES} inr ON inr.proposal_id = ps.proposal_id"""
-CAMPUS_FROM = f"""
-    FROM (SELECT DISTINCT assignment_entity_id, office_code FROM portfolio) pf
-    JOIN assignment asn ON asn.assignment_entity_id = pf.assignment_entity_id {STAGE_JOINS}"""
-CAMPUS_IN = f"""SELECT DISTINCT pf.assignment_entity_id, pf.office_code, ps.proposal_id
-    {CAMPUS_FROM} WHERE {_moved_in_window(EIGHT)}"""
-CAMPUS_OUT = f"""SELECT DISTINCT pf.assignment_entity_id, pf.office_code, ps.proposal_id
-    {CAMPUS_FROM} WHERE {_left_out(NINE)}"""
-UNIT_KEYS = "asn.assignment_entity_id, asn.office_desc, ps.proposal_id"
+    SELECT DISTINCT office_code, assignment_entity_id, proposal_id,
+        CASE WHEN asked THEN proposal_id END AS asks, CASE WHEN asked THEN ask_amt END AS ask_amt,
+        CASE WHEN committed THEN proposal_id END AS commits,
+        CASE WHEN by_gift THEN gift_amt
+            WHEN proposal_type <> 'ESP' AND committed THEN granted_amt END AS commit_amt
+    FROM (
+        SELECT a.office_code, a.assignment_entity_id, p.*,
+            p.ask_amt > 0 AND p.initial_contribution_dt BETWEEN {FROM} AND {TO}
+                AND {_held_on('p.initial_contribution_dt')} AS asked,
+            p.granted_amt > 0 AND p.stop_dt BETWEEN {FROM} AND {TO} AND {_held_on('p.stop_dt')}
+                AS committed,
+            p.proposal_type = 'ESP' AND p.granted_amt > 0 AND p.stop_dt <= {TO}
+                AND p.stop_dt BETWEEN a.start_date AND coalesce(a.stop_date, {AS_OF}) AS by_gift
+        FROM assignment a JOIN proposal p USING (proposal_id)
+        WHERE a.assignment_type = 'DO' AND p.primary_ind = 'Y'
+            AND a.start_date <= {TO} AND p.start_dt <= {TO}
+            AND coalesce(a.stop_date, {OPEN_END}) >= {FROM}
+            AND EXISTS (FROM record_type r WHERE r.record_type_code = 'SF'
+                AND r.entity_id = a.assignment_entity_id)
+            AND EXISTS (FROM portfolio f WHERE f.office_code = a.office_code
+                AND f.assignment_entity_id = a.assignment_entity_id)) held
+    LEFT JOIN (SELECT proposal_id AS gift_proposal, donor_entity_id_nbr AS donor,
+            transaction_credited_amt AS gift_amt
+        FROM gift WHERE pledged_basis_flg = 'Y' AND gift_credit_dt BETWEEN {FROM} AND {TO}) given
+        ON given.gift_proposal = held.proposal_id AND given.donor = held.entity_id"""
+
+EIGHT = "('CU','PD','SP','GS','DS','RP','DQ','TD')"
+NINE = "('CU','PD','SP','GS','DS','RP','DQ','TD','CN')"
+FIVE = "('CU','PD','SP','GS','DS')"
+
+
+def _half_year_later(day: str) -> str:
+    later = f"CAST({day} + INTERVAL 6 MONTH AS DATE)"
+    return f"if({day} = last_day({day}), last_day({later}), {later})"
+
+
+def _included(stages: str, proposal: str = "TRUE") -> str:
+    """Whether assignment ``a`` held the proposal on a day in the window it moved on from QU."""
+    return f"""EXISTS (
+        FROM stage m, stage q
+        WHERE m.proposal_id = a.proposal_id AND q.proposal_id = a.proposal_id
+            AND q.stage_code = 'QU' AND q.stage_date < m.stage_date AND q.stage_date <= {TO}
+            AND m.stage_code IN {stages} AND m.stage_date BETWEEN {FROM} AND {TO}
+            AND {_held_on('m.stage_date')})
+        AND EXISTS (FROM proposal p WHERE p.proposal_id = a.proposal_id AND {proposal})"""
+
+
+def _excluded(stages: str) -> str:
+    """Whether assignment ``a`` bars the proposal: out of QU too early, too late, or for good."""
+    return f"""EXISTS (FROM stage q WHERE q.proposal_id = a.proposal_id AND q.stage_code = 'QU'
+            AND q.stage_date <= {TO})
+        AND EXISTS (FROM proposal p WHERE p.proposal_id = a.proposal_id AND (
+            p.stop_dt < {FROM}
+            OR (p.stage_code = 'QU' AND p.active_ind <> 'Y' AND p.stop_dt IS NULL
+                AND {_half_year_later('p.expected_date')} < {FROM})
+            OR EXISTS (FROM stage e WHERE e.proposal_id = a.proposal_id
+                AND e.stage_code IN {stages}
+                AND (e.stage_date < {FROM} OR e.stage_date < a.start_date
+                    OR e.stage_date > a.stop_date))))"""
+
+
+def _net(keys: str, source: str, included: str, excluded: str) -> str:
+    return f"""SELECT DISTINCT {keys} FROM {source} WHERE {included}
+        EXCEPT SELECT {keys} FROM {source} WHERE {excluded}"""
+
+
+CAMPUS_ROWS = """assignment a JOIN (SELECT DISTINCT assignment_entity_id, office_code
+    FROM portfolio) f USING (assignment_entity_id)"""
+CAMPUS_KEYS = "assignment_entity_id, f.office_code, a.proposal_id"
+CAMPUS_NET = _net(CAMPUS_KEYS, CAMPUS_ROWS, _included(EIGHT), _excluded(NINE))
+CAMPUS_OUT = f"SELECT DISTINCT {CAMPUS_KEYS} FROM {CAMPUS_ROWS} WHERE {_excluded(NINE)}"
 
 
 def _unit_moves(stages: str) -> str:
-    return f"""SELECT DISTINCT {UNIT_KEYS} FROM assignment asn {STAGE_JOINS}
-        WHERE {_moved_in_window(stages)} AND asn.office_code = {UNIT}
-    EXCEPT
-    SELECT DISTINCT {UNIT_KEYS} FROM assignment asn {STAGE_JOINS} WHERE {_left_out(stages)}"""
+    return _net(
+        "assignment_entity_id, office_desc, proposal_id",
+        "assignment a",
+        f"a.office_code = {UNIT} AND {_included(stages)}",
+        _excluded(stages),
+    )
 
 
 FLAGS = f"""
-    SELECT asn.assignment_entity_id,
-        max(CASE WHEN office_code = {UNIT} THEN 'Y' ELSE 'N' END) AS flg,
-        max(CASE WHEN office_code = {UNIT} THEN start_date END) AS unitdt,
-        max(CASE WHEN office_code <> {UNIT} AND asn.active_ind = 'Y' THEN 'Y' ELSE 'N' END) AS flg2,
-        coalesce(max(CASE WHEN office_code <> {UNIT} AND asn.active_ind = 'Y' THEN start_date END),
-            DATE '1930-01-01') AS othunitdt
-    FROM assignment asn JOIN proposal pr ON pr.proposal_id = asn.proposal_id
-    GROUP BY asn.assignment_entity_id"""
-
-
-def _stop_count(name: str, condition: str) -> str:
-    return f"""count(DISTINCT CASE WHEN {condition}
-        AND (assn.start_date IS NULL OR assn.start_date <= prop.stop_dt)
-        AND coalesce(assn.stop_date, {AS_OF}) >= prop.stop_dt
-        AND prop.stop_dt BETWEEN {FROM} AND {TO} THEN assn.proposal_id END) AS {name}"""
-
+    SELECT assignment_entity_id, if(bool_or(here), 'Y', 'N') AS flg,
+        max(start_date) FILTER (here) AS unitdt, if(bool_or(elsewhere), 'Y', 'N') AS flg2,
+        coalesce(max(start_date) FILTER (elsewhere), DATE '1930-01-01') AS othunitdt
+    FROM (SELECT *, coalesce(office_code = {UNIT}, FALSE) AS here,
+            coalesce(office_code <> {UNIT} AND active_ind = 'Y', FALSE) AS elsewhere
+        FROM assignment a WHERE EXISTS (FROM proposal p WHERE p.proposal_id = a.proposal_id))
+    GROUP BY assignment_entity_id"""
 
 OUTCOMES = f"""
-    SELECT assn.assignment_entity_id, assn.assignment_first_name, assn.assignment_last_name,
-        count(DISTINCT CASE WHEN assn.start_date >= {FROM} AND assn.start_date <= {TO}
-            THEN assn.assignment_id END) AS starts,
-        {_stop_count('stops', 'TRUE')},
-        {_stop_count('cn_stop', "prop.stage_code = 'CN' AND granted_amt = 0")},
-        {_stop_count('td_stop', "prop.stage_code = 'TD' AND granted_amt = 0")},
-        (SELECT count(DISTINCT proposal_id) FROM disqualified d
-            WHERE d.assignment_entity_id = assn.assignment_entity_id) AS dq_stop,
-        {_stop_count('nr_stop', "prop.stage_code = 'NR' AND granted_amt = 0")},
-        {_stop_count('other_stop', "prop.stage_code NOT IN ('CN','TD','DQ','NR')")},
-        {_stop_count('rp_stop', "prop.stage_code = 'RP'")},
-        (SELECT count(DISTINCT proposal_id) FROM qualified q
-            WHERE q.assignment_entity_id = assn.assignment_entity_id) AS qual_cnt,
-        count(DISTINCT CASE WHEN (assn.stop_date IS NULL OR assn.stop_date >= {FROM})
-            AND assn.start_date <= {TO} THEN assn.assignment_id END) AS portfolio
-    FROM assignment assn
-    JOIN flags ON flags.assignment_entity_id = assn.assignment_entity_id
-    JOIN record_type ent ON ent.entity_id = assn.assignment_entity_id
-    JOIN proposal prop ON prop.proposal_id = assn.proposal_id
-    WHERE assn.office_code = {UNIT} AND assn.assignment_type = 'DO'
-        AND ent.record_type_code = 'SF' AND flg = 'Y' AND flg2 = 'N' AND unitdt > othunitdt
-    GROUP BY assn.assignment_entity_id, assn.assignment_first_name, assn.assignment_last_name"""
-
+    SELECT assignment_entity_id, assignment_first_name, assignment_last_name,
+        count(DISTINCT assignment_id) FILTER (start_date BETWEEN {FROM} AND {TO}) AS starts,
+        count(DISTINCT proposal_id) FILTER (ended) AS stops,
+        count(DISTINCT proposal_id) FILTER (ended AND code = 'CN' AND granted_amt = 0) AS cn_stop,
+        count(DISTINCT proposal_id) FILTER (ended AND code = 'TD' AND granted_amt = 0) AS td_stop,
+        (SELECT count(DISTINCT d.proposal_id) FROM disqualified d
+            WHERE d.assignment_entity_id = held.assignment_entity_id) AS dq_stop,
+        count(DISTINCT proposal_id) FILTER (ended AND code = 'NR' AND granted_amt = 0) AS nr_stop,
+        count(DISTINCT proposal_id) FILTER (ended AND code NOT IN ('CN', 'DQ', 'NR', 'TD'))
+            AS other_stop,
+        count(DISTINCT proposal_id) FILTER (ended AND code = 'RP') AS rp_stop,
+        (SELECT count(DISTINCT q.proposal_id) FROM qualified q
+            WHERE q.assignment_entity_id = held.assignment_entity_id) AS qual_cnt,
+        count(DISTINCT assignment_id) FILTER (start_date <= {TO}
+            AND coalesce(stop_date, {OPEN_END}) >= {FROM}) AS portfolio
+    FROM (SELECT a.*, p.stage_code AS code, p.granted_amt,
+            p.stop_dt BETWEEN {FROM} AND {TO} AND p.stop_dt
+                BETWEEN coalesce(a.start_date, DATE '0001-01-01') AND coalesce(a.stop_date, {AS_OF})
+                AS ended
+        FROM assignment a JOIN proposal p USING (proposal_id)
+        WHERE a.office_code = {UNIT} AND a.assignment_type = 'DO') held
+    WHERE EXISTS (FROM record_type r WHERE r.record_type_code = 'SF'
+            AND r.entity_id = held.assignment_entity_id)
+        AND EXISTS (FROM flags g WHERE g.assignment_entity_id = held.assignment_entity_id
+            AND g.flg = 'Y' AND g.flg2 = 'N' AND g.unitdt > g.othunitdt)
+    GROUP BY assignment_entity_id, assignment_first_name, assignment_last_name"""
+
+_LARGEST = {
+    "prospect_id": "prospect_id",
+    "stage_code": "stage",
+    "stage_desc": "stage_desc",
+    "stage_rank_code": "stage_rank",
+    "start_dt": "proposal_begin_dt",
+    "proposal_title": "proposal_title",
+    "original_ask_amt": "target_ask",
+    "expected_date": "target_date",
+    "ask_amt": "actual_ask",
+    "initial_contribution_dt": "actual_date",
+    "granted_amt": "commit_amt",
+    "stop_dt": "commit_dt",
+}
 WINDOW_PORTFOLIO = f"""
-    SELECT pr.proposal_id, assigned_to_entity_id_nbr, max(pr.prospect_id) AS prospect_id,
-        max(stage_code) AS stage, max(stage_desc) AS stage_desc,
-        max(stage_rank_code) AS stage_rank, max(start_dt) AS proposal_begin_dt,
-        max(proposal_title) AS proposal_title, max(original_ask_amt) AS target_ask,
-        max(expected_date) AS target_date, max(ask_amt) AS actual_ask,
-        max(initial_contribution_dt) AS actual_date, max(granted_amt) AS commit_amt,
-        max(stop_dt) AS commit_dt, max({AS_OF} - proposal_stage_begin_dt) AS days_in_stage,
-        min(assignment_begin_dt) AS assign_begin_dt,
-        max(coalesce(assignment_end_dt, {AS_OF})) AS assign_end_dt
-    FROM cads_assignment ca, proposal pr
-    WHERE ca.proposal_id = pr.proposal_id AND pr.start_dt <= {TO}
-        AND coalesce(pr.stop_dt, {AS_OF}) >= {FROM} AND assignment_begin_dt <= {TO}
-        AND coalesce(assignment_end_dt, {AS_OF}) >= {FROM} AND office_assigned_to_cd = {UNIT}
-    GROUP BY pr.proposal_id, assigned_to_entity_id_nbr"""
+    SELECT p.proposal_id, c.assigned_to_entity_id_nbr,
+        {', '.join(f'max(p.{column}) AS {name}' for column, name in _LARGEST.items())},
+        max(date_diff('day', p.proposal_stage_begin_dt, {AS_OF})) AS days_in_stage,
+        min(c.assignment_begin_dt) AS assign_begin_dt,
+        max(coalesce(c.assignment_end_dt, {AS_OF})) AS assign_end_dt
+    FROM proposal p JOIN cads_assignment c USING (proposal_id)
+    WHERE c.office_assigned_to_cd = {UNIT}
+        AND p.start_dt <= {TO} AND {FROM} <= coalesce(p.stop_dt, {AS_OF})
+        AND c.assignment_begin_dt <= {TO} AND {FROM} <= coalesce(c.assignment_end_dt, {AS_OF})
+    GROUP BY p.proposal_id, c.assigned_to_entity_id_nbr"""
 
 TOTAL_QUALIFICATIONS = f"""
-    SELECT proposal_id, prospect_id, prospect_name, entity_id,
-        replace(proposal_assignments, ') DO', ')') AS proposal_assignments, stage_desc, stage_code,
-        capacity_rating_desc,
-        CASE WHEN primary_manager_last_nm IS NOT NULL
-            THEN primary_manager_last_nm || ', ' || primary_manager_first_nm END
-            AS primary_manager_last_nm,
-        max(dt_sort) AS dt_sort, dt_disp, CAST(sum(quals) AS BIGINT) AS quals
+    SELECT net.proposal_id, p.prospect_id, s.prospect_name,
+        (SELECT max(y.entity_id) FROM prospect y WHERE y.prospect_id = s.prospect_id
+            AND y.prospect_entity_primary_ind = 'Y') AS entity_id,
+        replace(t.proposal_assignments, ') DO', ')') AS proposal_assignments, p.stage_desc,
+        p.stage_code, e.capacity_rating_desc,
+        e.primary_manager_last_nm || ', ' || e.primary_manager_first_nm AS primary_manager_last_nm,
+        strftime(m.moved, '%Y-%m') AS dt_sort, strftime(m.moved, '%B %Y') AS dt_disp,
+        CAST(1 AS BIGINT) AS quals
     FROM (
-        SELECT ps.proposal_id, pr.prospect_id, pros.prospect_name, psm.proposal_assignments,
-            pr.stage_desc, pr.stage_code, psum.capacity_rating_desc, primary_manager_last_nm,
-            primary_manager_first_nm,
-            max(CASE WHEN pros.prospect_entity_primary_ind = 'Y' THEN pros.entity_id END)
-                AS entity_id,
-            strftime(stage_date, '%Y-%m') AS dt_sort, strftime(stage_date, '%B %Y') AS dt_disp,
-            max(CASE WHEN ps.stage_code IN {EIGHT} THEN 1 END) AS quals,
-            row_number() OVER (PARTITION BY ps.proposal_id ORDER BY ps.proposal_stage_id DESC)
-                AS rnk
-        FROM (SELECT DISTINCT proposal_id FROM window_portfolio) pp
-        JOIN assignment asn ON asn.proposal_id = pp.proposal_id
-        JOIN stage ps ON ps.proposal_id = asn.proposal_id
-        JOIN proposal pr ON pr.proposal_id = ps.proposal_id
-        JOIN prospect pros ON pros.prospect_id = asn.prospect_id
-        JOIN proposal_summary psm ON psm.proposal_id = asn.proposal_id
-        JOIN entity_prospect_summary psum ON psum.entity_id = pr.entity_id AND pr.primary_ind = 'Y'
-        JOIN (
-            SELECT DISTINCT asn.proposal_id FROM assignment asn {STAGE_JOINS}
-            WHERE {_moved_in_window(EIGHT)} AND pr.primary_ind = 'Y' AND office_code = {UNIT}
-            EXCEPT
-            SELECT DISTINCT asn.proposal_id
-            FROM (SELECT DISTINCT assigned_to_entity_id_nbr FROM window_portfolio) pp
-            JOIN assignment asn ON asn.assignment_entity_id = pp.assigned_to_entity_id_nbr
-            {STAGE_JOINS} WHERE {_left_out(NINE)}) net ON net.proposal_id = ps.proposal_id
-        WHERE ps.stage_date BETWEEN {FROM} AND {TO} AND ps.stage_code IN {EIGHT}
-        GROUP BY ps.proposal_id, stage_date, ps.proposal_stage_id, pr.prospect_id,
-            pros.prospect_name, psm.proposal_assignments, pr.stage_desc, pr.stage_code,
-            psum.capacity_rating_desc, primary_manager_last_nm, primary_manager_first_nm)
-    WHERE rnk = 1
-    GROUP BY ALL"""
+        (SELECT proposal_id FROM window_portfolio
+        INTERSECT SELECT a.proposal_id FROM assignment a
+            WHERE a.office_code = {UNIT} AND {_included(EIGHT, "p.primary_ind = 'Y'")})
+        EXCEPT SELECT a.proposal_id FROM assignment a
+            WHERE {_excluded(NINE)} AND a.assignment_entity_id IN (
+                SELECT assigned_to_entity_id_nbr FROM window_portfolio)) net
+    JOIN (SELECT proposal_id, arg_max(stage_date, proposal_stage_id) AS moved FROM stage
+        WHERE stage_code IN {EIGHT} AND stage_date BETWEEN {FROM} AND {TO}
+        GROUP BY proposal_id) m USING (proposal_id)
+    JOIN proposal p ON p.proposal_id = net.proposal_id AND p.primary_ind = 'Y'
+    JOIN proposal_summary t ON t.proposal_id = net.proposal_id
+    JOIN entity_prospect_summary e ON e.entity_id = p.entity_id
+    JOIN (SELECT DISTINCT a.proposal_id, x.prospect_id, x.prospect_name
+        FROM assignment a JOIN prospect x USING (prospect_id)) s
+        ON s.proposal_id = net.proposal_id"""
 
 
 def _first_moves(history: str, order: str, as_of: str) -> str:
-    lead_order = (
-        "OVER (PARTITION BY d_proposal_key ORDER BY CAST(stage_date AS DATE) ASC NULLS LAST, "
-        "stage_adv_order ASC NULLS LAST, stage_id ASC NULLS LAST)"
-    )
-    direction = f"""CASE WHEN lead_move > {order} THEN 1 WHEN lead_move < {order} THEN -1
-        ELSE 0 END"""
     return f"""
-    SELECT proposal_id, lead_date AS qualification_date FROM (
-        SELECT *, {direction} AS direction, row_number() OVER (
-            PARTITION BY d_proposal_key, stage_code, {direction}
-            ORDER BY stage_date ASC NULLS LAST, stage_id) AS rownum
-        FROM (SELECT *, lead({order}, 1, 0) {lead_order} AS lead_move,
-                lead(stage_date, 1) {lead_order} AS lead_date
-            FROM {history}
-            WHERE TIMESTAMP '{as_of}' BETWEEN effective AND expire AND proposal_id IS NOT NULL))
-    WHERE stage_code = 'QU' AND direction = 1 AND rownum = 1"""
+    SELECT proposal_id, next_date AS qualification_date FROM (
+        SELECT *, lead({order}, 1, 0) OVER following AS next_order,
+            lead(stage_date) OVER following AS next_date
+        FROM {history}
+        WHERE effective <= TIMESTAMP '{as_of}' AND expire >= TIMESTAMP '{as_of}'
+            AND proposal_id IS NOT NULL
+        WINDOW following AS (PARTITION BY d_proposal_key ORDER BY
+            CAST(stage_date AS DATE) NULLS LAST, stage_adv_order NULLS LAST, stage_id NULLS LAST))
+    WHERE stage_code = 'QU' AND next_order > {order}
+    QUALIFY row_number() OVER (PARTITION BY d_proposal_key
+        ORDER BY stage_date NULLS LAST, stage_id) = 1"""
 
 
 ROLES = """SELECT DISTINCT entity_id AS fundraiser_entity_id FROM goal
     WHERE fiscal_year = 2002 AND fundraiser_role = 'Major Gift'"""
 ENRICHED = """
-    SELECT c.*, d.fiscal_yr, h.hh_corp_entity_id, a.hh_corp_entity_id AS alt_hh_corp_entity_id,
-        coalesce(f.report_name, w.report_name) AS fundraiser_name
-    FROM contact c
-    LEFT JOIN date_dim d ON d.calendar_dt = c.contact_date
-    LEFT JOIN entity h ON h.entity_id = c.contact_entity_id
-    LEFT JOIN entity a ON a.entity_id = c.contact_alt_entity_id
-    LEFT JOIN entity f ON f.entity_id = c.contact_credit_entity_id
-    LEFT JOIN entity w ON w.entity_id = c.author_entity_id
-    WHERE c.contact_date >= DATE '{start}' AND c.contact_date <= DATE '{end}'"""
+    SELECT c.*,
+        (SELECT d.fiscal_yr FROM date_dim d WHERE d.calendar_dt = c.contact_date) AS fiscal_yr,
+        own.hh_corp_entity_id, other.hh_corp_entity_id AS alt_hh_corp_entity_id,
+        ifnull(credited.report_name, writer.report_name) AS fundraiser_name
+    FROM (FROM contact WHERE contact_date BETWEEN DATE '{start}' AND DATE '{end}') c
+    LEFT JOIN entity own ON own.entity_id = c.contact_entity_id
+    LEFT JOIN entity other ON other.entity_id = c.contact_alt_entity_id
+    LEFT JOIN entity credited ON credited.entity_id = c.contact_credit_entity_id
+    LEFT JOIN entity writer ON writer.entity_id = c.author_entity_id"""
 ALL_YEARS = ENRICHED.format(start="1995-07-01", end="2001-12-31")
 IN_ROLE = """SELECT * FROM enriched
     WHERE contact_credit_entity_id IN (SELECT fundraiser_entity_id FROM in_role)
         OR author_entity_id IN (SELECT fundraiser_entity_id FROM in_role)"""
-PROPOSAL_FACT = """
-    SELECT asn.assignment_id, asn.assignment_entity_id, asn.assignment_first_name,
-        asn.assignment_last_name, asn.assignment_type, asn.office_code, asn.office_desc,
-        asn.active_ind AS assignment_active, asn.start_date AS assignment_start_dt,
-        asn.stop_date AS assignment_stop_dt, asn.unit_code AS assignment_unit_code,
-        asn.unit_desc AS assignment_unit_desc, pr.proposal_id, pr.prospect_id,
-        pr.active_ind AS proposal_active, pr.proposal_type, pr.stage_code AS proposal_stage_code,
-        pr.start_dt AS proposal_start_dt, pr.stop_dt AS proposal_stop_dt, pr.expected_date,
-        pr.initial_contribution_dt, pr.original_ask_amt, pr.ask_amt, pr.granted_amt,
-        pr.proposal_title, pros.entity_id, pros.prospect_name, pros.prospect_entity_primary_ind,
-        pros.active_ind_cnt, pros.primary_entity_revised, ent.report_name, ent.spouse_entity_id,
-        ent.capacity_rating_desc
-    FROM assignment asn
-    JOIN (SELECT DISTINCT * EXCLUDE (entity_id, primary_ind) FROM proposal) pr
-        ON pr.proposal_id = asn.proposal_id
-    LEFT JOIN (SELECT *, CASE
-            WHEN has_primary = 'Y' THEN prospect_entity_primary_ind
-            WHEN n_rows = 1 THEN 'Y' WHEN entity_id = lowest THEN 'Y' ELSE 'N' END
-            AS primary_entity_revised
-        FROM (SELECT *, coalesce(max(prospect_entity_primary_ind) OVER w, 'N') AS has_primary,
-                count(*) OVER w AS n_rows, min(entity_id) OVER w AS lowest
-            FROM prospect WINDOW w AS (PARTITION BY prospect_id))) pros
-        ON pros.prospect_id = pr.prospect_id AND pros.primary_entity_revised = 'Y'
-    LEFT JOIN entity ent ON ent.entity_id = pros.entity_id
-    WHERE asn.assignment_type = 'DO' AND asn.proposal_id IS NOT NULL"""
+REPAIRED = """
+    SELECT x.*, CASE
+        WHEN EXISTS (FROM prospect y WHERE y.prospect_id = x.prospect_id
+            AND y.prospect_entity_primary_ind = 'Y') THEN x.prospect_entity_primary_ind
+        WHEN EXISTS (FROM prospect y WHERE y.prospect_id = x.prospect_id
+            AND y.entity_id < x.entity_id) THEN 'N'
+        ELSE 'Y' END AS primary_entity_revised
+    FROM prospect x"""
+PROPOSAL_FACT = f"""
+    SELECT a.* EXCLUDE (prospect_id, entity_id, active_ind, start_date, stop_date, unit_code,
+            unit_desc),
+        a.active_ind AS assignment_active, a.start_date AS assignment_start_dt,
+        a.stop_date AS assignment_stop_dt, a.unit_code AS assignment_unit_code,
+        a.unit_desc AS assignment_unit_desc, p.prospect_id, p.active_ind AS proposal_active,
+        p.proposal_type, p.stage_code AS proposal_stage_code, p.start_dt AS proposal_start_dt,
+        p.stop_dt AS proposal_stop_dt, p.expected_date, p.initial_contribution_dt,
+        p.original_ask_amt, p.ask_amt, p.granted_amt, p.proposal_title, x.entity_id,
+        x.prospect_name, x.prospect_entity_primary_ind, x.active_ind_cnt, x.primary_entity_revised,
+        e.report_name, e.spouse_entity_id, e.capacity_rating_desc
+    FROM (FROM assignment WHERE assignment_type = 'DO') a
+    JOIN (SELECT DISTINCT * EXCLUDE (entity_id, primary_ind) FROM proposal) p USING (proposal_id)
+    LEFT JOIN (FROM ({REPAIRED}) WHERE primary_entity_revised = 'Y') x
+        ON x.prospect_id = p.prospect_id
+    LEFT JOIN entity e ON e.entity_id = x.entity_id"""
 SCOPED_PROPOSALS = """SELECT * FROM proposal_fact
     WHERE assignment_entity_id IN (SELECT fundraiser_entity_id FROM in_role)"""
 SCOPED_QUALIFICATIONS = """SELECT * FROM moves
@@ -544,8 +540,8 @@ def _captions(prefix: str, value: str) -> str:
 
 
 DERIVED = {
-    "portfolio": _portfolio(),
-    "role_portfolio": _portfolio("gl.fundraiser_role = 'Major Gift' AND pr.proposal_type = 'MG'"),
+    "portfolio": PORTFOLIO,
+    "role_portfolio": ROLE_PORTFOLIO,
     "by_fundraiser": BY_FUNDRAISER,
     "activity": ACTIVITY,
     "qualified": _unit_moves(FIVE),
@@ -624,34 +620,29 @@ FACT_DAYS = (
 )
 PLANNED_ROWS = f"""(SELECT *, original_ask_amt AS target_ask,
     proposal_id AS target_ask_without_actual FROM portfolio WHERE {PLANNED})"""
-CONTACT_PAIRS = f"""(SELECT a.assignment_entity_id, a.office_code, c.*, count(*) AS activity_rows
-    FROM activity a JOIN (SELECT row_number() OVER () AS row_id, * RENAME (unit_code AS unit)
-        FROM contact WHERE contact_date BETWEEN {FROM} AND {TO}) c
-    ON (c.contact_credit_entity_id = a.assignment_entity_id
-            OR c.author_entity_id = a.assignment_entity_id)
-        AND (c.contact_credit_unit_code = a.office_code OR c.unit = a.office_code)
-    GROUP BY ALL)"""
-ACTUAL_ASKS = """(SELECT * FROM (
-    SELECT assignment_entity_id, assignment_name, office_code, proposal_id,
-        coalesce(sum(CASE WHEN initial_contribution_dt IS NOT NULL AND ask_amt > 0
-            AND stop_dt IS NULL THEN ask_amt END), 0) AS actual_ask,
-        count(CASE WHEN initial_contribution_dt IS NOT NULL AND ask_amt > 0 AND stop_dt IS NULL
-            THEN proposal_id END) AS actual_ask_cnt, rn3
-    FROM portfolio WHERE primary_ind = 'Y'
-    GROUP BY assignment_entity_id, office_code, proposal_id, assignment_name, rn3, rn4)
-    WHERE actual_ask_cnt = 1)"""
+CONTACT_PAIRS = f"""(SELECT f.assignment_entity_id, f.office_code, c.*,
+        (SELECT count(*) FROM activity x WHERE x.office_code = f.office_code
+            AND x.assignment_entity_id = f.assignment_entity_id) AS activity_rows
+    FROM (SELECT * RENAME (unit_code AS unit) FROM contact
+        WHERE contact_date BETWEEN {FROM} AND {TO}) c
+    JOIN (SELECT DISTINCT assignment_entity_id, office_code FROM activity) f
+        ON f.assignment_entity_id IN (c.contact_credit_entity_id, c.author_entity_id)
+        AND f.office_code IN (c.contact_credit_unit_code, c.unit))"""
+ACTUAL_ASKS = """(SELECT assignment_entity_id, assignment_name, office_code, proposal_id, rn3,
+        sum(ask_amt) AS actual_ask, count(*) AS actual_ask_cnt
+    FROM portfolio
+    WHERE initial_contribution_dt IS NOT NULL AND ask_amt > 0 AND stop_dt IS NULL
+    GROUP BY ALL HAVING count(*) = 1)"""
 MOVES = "proposal_id"
 
 
 def _name() -> str:
-    suffix = "trim(coalesce(pers_suffix, '') || coalesce(prof_suffix, ''))"
-    both = "trim(coalesce(pers_suffix, '') || ' ' || coalesce(prof_suffix, ''))"
-    return f"""SELECT entity_id, last_name
-        || CASE WHEN {suffix} <> '' THEN ' ' || {both} ELSE '' END
-        || CASE WHEN trim(coalesce(first_name, '')) <> '' THEN ', ' || first_name ELSE '' END
-        || CASE WHEN trim(coalesce(middle_name, '')) <> ''
-            THEN ' ' || substr(middle_name, 1, 1) || '.' ELSE '' END AS fundraiser_name
-    FROM entity"""
+    given = lambda c: f"nullif(trim({c}), '')"
+    suffix = given("concat_ws(' ', pers_suffix, prof_suffix)")
+    return f"""SELECT entity_id, concat(last_name, ' ' || {suffix},
+            ', ' || if({given('first_name')} IS NULL, NULL, first_name),
+            ' ' || left({given('middle_name')}, 1) || '.') AS fundraiser_name
+        FROM entity"""
 
 
 QUERIES = {
@@ -694,10 +685,10 @@ QUERIES = {
         "assignment_entity_id office_code activity_rows " + CONTACT_COLUMNS,
         days="contact_date",
     ),
-    "qualifications": f"{CAMPUS_IN} EXCEPT {CAMPUS_OUT}",
+    "qualifications": CAMPUS_NET,
     "qualification_exclusions": CAMPUS_OUT,
     "qualification_counts": f"""SELECT assignment_entity_id, office_code,
-        count(DISTINCT proposal_id) AS qual_cnt FROM ({CAMPUS_IN} EXCEPT {CAMPUS_OUT})
+        count(DISTINCT proposal_id) AS qual_cnt FROM ({CAMPUS_NET})
         GROUP BY assignment_entity_id, office_code""",
     "unit_exclusive_fundraisers": """SELECT assignment_entity_id, flg, flg2,
         CAST(unitdt AS VARCHAR) AS unitdt, CAST(othunitdt AS VARCHAR) AS othunitdt,

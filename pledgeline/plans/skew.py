@@ -93,38 +93,30 @@ def number_rows(
     recompute ``rows`` in full. A row's number is its number within its range plus the sizes of the
     ranges before it.
     """
-    hot = F.broadcast(hot.select(*["_hot_" + k for k in keys], "_low", "_width"))
-    hot_columns = ["_low", "_width"] + ["_hot_" + k for k in keys]
+    hot = F.broadcast(hot)
     piece = F.coalesce(F.floor((F.col(order_by) - F.col("_low")) / F.col("_width")), F.lit(0))
-
-    sizes = (
-        hot_rows_only.join(hot, _same_keys(hot_rows_only, hot, keys, "_hot_"), "inner")
-        .groupBy(*keys, piece.alias("_piece"))
-        .agg(F.count(F.lit(1)).alias("_size"))
-    )
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sizes.select(
-        *[F.col(k).alias("_at_" + k) for k in keys],
-        F.col("_piece").alias("_at_piece"),
-        F.sum("_size").over(before).alias("_before"),
+    offsets = (
+        hot_rows_only.join(hot, _same_keys(hot_rows_only, hot, keys, "_hot_"))
+        .groupBy(*keys, piece.alias("_piece"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select(
+            *[F.col(k).alias("_at_" + k) for k in keys],
+            F.col("_piece").alias("_at_piece"),
+            F.sum("_size").over(before).alias("_before"),
+        )
     )
-    within = Window.partitionBy(*keys, "_piece").orderBy(
+    within = Window.partitionBy(*keys, piece).orderBy(
         F.col(order_by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]
     )
-    numbered = (
-        rows.join(hot, _same_keys(rows, hot, keys, "_hot_"), "left")
-        .withColumn("_piece", piece)
-        .drop(*hot_columns)
-        .withColumn("_number", F.row_number().over(within))
+    numbered = rows.join(hot, _same_keys(rows, hot, keys, "_hot_"), "left").select(
+        *rows.columns, piece.alias("_piece"), F.row_number().over(within).alias("_number")
     )
     at = F.broadcast(offsets)
-    same_piece = _same_keys(numbered, at, keys, "_at_") & (
-        numbered["_piece"] == at["_at_piece"]
-    )
-    return (
-        numbered.join(at, same_piece, "left")
-        .withColumn(name, (F.col("_number") + F.coalesce("_before", F.lit(0))).cast("int"))
-        .drop("_number", "_piece", "_before", "_at_piece", *["_at_" + k for k in keys])
+    same_piece = _same_keys(numbered, at, keys, "_at_") & (numbered["_piece"] == at["_at_piece"])
+    number = F.col("_number") + F.coalesce("_before", F.lit(0))
+    return numbered.join(at, same_piece, "left").select(
+        *rows.columns, number.cast("int").alias(name)
     )

@@ -43,9 +43,12 @@ class SampleTables:
         self.spark = spark
         self.folder = folder
         self._built: dict[str, DataFrame] = {}
+        self._files: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._files[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         """A model table by name, built when first asked for."""

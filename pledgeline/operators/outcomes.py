@@ -84,6 +84,7 @@ def _unit_status(
 ) -> DataFrame:
     """Status per fundraiser, unit description and proposal; plan types do not bear on ``dq``."""
     wanted = both(one_of(F.col("proposal_type"), plan_types))
+    in_unit = F.col("office_code") == unit
     return qualification_status(
         assignment.select(*UNIT_KEYS, "office_code", "start_date", "stop_date"),
         stage,
@@ -93,7 +94,8 @@ def _unit_status(
         {name: None if name == "dq" else wanted for name in rules},
         start,
         end,
-        included_when=F.col("office_code") == unit,
+        included_when=in_unit,
+        only=assignment.filter(in_unit),
     )
 
 
@@ -361,12 +363,9 @@ def total_qualifications(
         end,
         included_when=_picked(unit, fundraisers),
         excluded_when=F.col("_in_portfolio"),
+        only=portfolio,
     )
-    qualified = (
-        status.filter("campus_included and not campus_excluded")
-        .select("proposal_id")
-        .join(portfolio.select("proposal_id"), "proposal_id", "left_semi")
-    )
+    qualified = status.filter("campus_included and not campus_excluded").select("proposal_id")
     latest_move = (
         stage.filter(
             F.col("stage_date").between(first, last)

@@ -108,14 +108,18 @@ def qualification_status(
     end: dt.date | str,
     included_when: Column | None = None,
     excluded_when: Column | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """``<rule>_included`` and ``<rule>_excluded`` per group of ``keys``.
 
     ``included_when`` and ``excluded_when`` are conditions on the assignment. ``accepted`` gives for
     each rule a condition on the proposal, for inclusion only; with ``None`` inclusion does not look
-    at proposals at all.
+    at proposals at all. ``only`` limits the work to some ``proposal_id``s, before anything is
+    aggregated: give it where no other proposal can be included and exclusions alone do not matter.
     """
     start, end = as_date(start), as_date(end)
+    if only is not None:
+        stage = stage.join(only.select("proposal_id"), "proposal_id", "left_semi")
     facts = stage_facts(stage, rules, start, end).join(
         proposal_facts(proposal, start, accepted), "proposal_id", "left"
     )
@@ -162,6 +166,7 @@ def _campus_status(
     plan_types: list[str] | None,
 ) -> DataFrame:
     """Status per portfolio fundraiser, portfolio unit and proposal."""
+    in_offices = one_of(F.col("office_code"), offices)
     units = portfolio.select(
         "assignment_entity_id", F.col("office_code").alias("portfolio_office_code")
     ).distinct()
@@ -181,7 +186,8 @@ def _campus_status(
         {"campus": both(one_of(F.col("proposal_type"), plan_types))},
         start,
         end,
-        included_when=one_of(F.col("office_code"), offices),
+        included_when=in_offices,
+        only=None if in_offices is None else assignment.filter(in_offices),
     ).withColumnRenamed("portfolio_office_code", "office_code")
 
 

@@ -56,7 +56,6 @@ def active_portfolio(
             "office_code",
             "office_desc",
             "proposal_id",
-            F.col("prospect_id").alias("_assigned_prospect_id"),
         )
     )
     if roles is not None:
@@ -84,12 +83,12 @@ def active_portfolio(
         "ask_amt",
         "original_ask_amt",
     )
-    rows = splittable_join(assigned, held, ["proposal_id"])
+    rows = joined = splittable_join(assigned, held, ["proposal_id"])
     for name in row_numbers:
         keys = ROW_NUMBER_KEYS[name]
-        # count groups on the assignment scan rather than on the joined rows
-        slim = assigned.withColumnRenamed("_assigned_prospect_id", "prospect_id")
-        hot = hot_keys(slim, keys, split_by="assignment_id")
+        # groups are counted on the assignments alone where these have the keys
+        counted = joined if "prospect_id" in keys else assigned
+        hot = hot_keys(counted, keys, split_by="assignment_id")
         rows = number_rows(
             rows,
             keys,
@@ -99,7 +98,7 @@ def active_portfolio(
             hot,
             _rows_of_hot_groups(assigned, held, hot, keys),
         )
-    return rows.drop("_assigned_prospect_id")
+    return rows
 
 
 def _rows_of_hot_groups(
@@ -115,7 +114,7 @@ def _rows_of_hot_groups(
     else:
         assigned = assigned.join(hot, F.col("proposal_id") == F.col("_hot_proposal_id"), "left_semi")
         held = held.join(hot, F.col("proposal_id") == F.col("_hot_proposal_id"), "left_semi")
-    return assigned.join(held, "proposal_id").select(*keys, "assignment_id")
+    return splittable_join(assigned, held, ["proposal_id"]).select(*keys, "assignment_id")
 
 
 def _is_planned():

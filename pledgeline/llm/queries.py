@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeline.llm import bpe, exact_dedup, simhash
+from pledgeline.llm import bpe, exact_dedup, mixing, quality_rules, simhash, substring_dedup
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -22,6 +22,13 @@ def op1_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, folder, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -31,6 +38,20 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    )
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "rule")
+
+
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.without_repeats(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -42,6 +63,56 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE_OP3 = f"""
+WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM d GROUP BY source),
+w AS (
+    SELECT *, CAST(CASE place % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight,
+        CAST(2 * source_size AS DOUBLE) AS cap
+    FROM s),
+f AS (
+    SELECT *, (CAST(1.5 AS DOUBLE) * sum(source_size) OVER ()
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY cap / weight, place
+            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM w),
+t AS (
+    SELECT source, source_size,
+        least(cap, weight * (SELECT level FROM f WHERE level <= cap / weight
+            ORDER BY cap / weight, place LIMIT 1)) AS target
+    FROM f),
+q AS (SELECT *, least(CAST(round(target) AS BIGINT), 2 * source_size) AS words FROM t),
+b AS (
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source
+        ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+    FROM d)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+    CAST(CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * size
+        + greatest(0, least(begin + size, words % source_size) - begin) END AS BIGINT) AS taken
+FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source"""
+
+ORACLE_OP9 = f"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents),
+p AS (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM w),
+h AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS passage FROM p),
+repeated AS (SELECT r, i FROM h QUALIFY count(*) OVER (PARTITION BY passage) > 1),
+covered AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM repeated),
+each AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM each ANTI JOIN covered USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)"""
+
 ORACLE_OP10 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
     row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -52,10 +123,17 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_level_bpe": op1_byte_level_bpe,
+        "op3_mixing": op3_mixing,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": ORACLE_OP10}
+    return {
+        "op3_mixing": ORACLE_OP3,
+        "op9_substring_dedup": ORACLE_OP9,
+        "op10_exact_dedup": ORACLE_OP10,
+    }

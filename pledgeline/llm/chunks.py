@@ -27,7 +27,8 @@ OVERLAP_CHARS = 1 << 10
 WIDEN = 8
 
 #: What a chunk reports: its own columns, then the common ones.
-COMMON = "doc_id long, digest string, copies long, k long, start long, n_chars long, heads array<long>, tails array<long>"
+COMMON = """doc_id long, digest string, copies long, k long, start long, n_chars long, n_bytes long,
+    heads array<long>, tails array<long>"""
 
 #: From the text of a chunk: the starts of its pre-tokens (within the chunk) and its own column.
 Reader = Callable[[str], tuple[list[int], object]]
@@ -53,6 +54,7 @@ def _cut(reader: Callable[[], Reader], kind: str, chunk: int, overlap: int, marg
         for batch in batches:
             for row in batch.to_pylist():
                 text, n = row["text"], len(row["text"])
+                n_bytes = len(text.encode())
                 for k, start in enumerate(range(0, n, chunk)):
                     piece = text[start : start + chunk + overlap]
                     starts, value = read(piece)
@@ -67,6 +69,7 @@ def _cut(reader: Callable[[], Reader], kind: str, chunk: int, overlap: int, marg
                             "k": pa.array([k], pa.int64()),
                             "start": pa.array([start], pa.int64()),
                             "n_chars": pa.array([n], pa.int64()),
+                            "n_bytes": pa.array([n_bytes], pa.int64()),
                             "heads": pa.array([heads], pa.list_(pa.int64())),
                             "tails": pa.array([tails], pa.list_(pa.int64())),
                             "value": pa.array([value], value_type),

@@ -8,9 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeline.llm import bpe, exact_dedup, mixing, quality_rules, simhash, substring_dedup
+from pledgeline.llm import (
+    bpe,
+    exact_dedup,
+    mixing,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_count,
+    url_filter,
+)
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
+
+# Fixed values of the contract: verdict, host, path.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +40,11 @@ def op1_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = url_filter.rule_table(spark, URL_RULES)
+    return url_filter.judge(_table(spark, folder, "pages"), rules)
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, folder, "documents"))
     return mixed.select(
@@ -29,6 +52,11 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return token_count.token_counts(docs, public_tokenizers.path(TOKENIZER))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select(
@@ -65,6 +93,67 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+def _sql_attribute(name: str) -> str:
+    value = rf"""(?is)[\s"''/]{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
+    return "concat(" + ", ".join(f"regexp_extract(tag, '{value}', {k})" for k in (1, 2, 3)) + ")"
+
+
+def _sql_parts(url: str) -> str:
+    """Host, path and query of a URL expression, as three SQL columns."""
+    rest = f"CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) END"
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return rf"""
+        coalesce(translate(regexp_extract({rest}, '^[^/?#]*'), {lower}), '') AS host,
+        coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '') AS path,
+        coalesce(regexp_extract({rest}, '^[^?#]*(\?[^#]*)', 1), '') AS query"""
+
+
+_SQL_ALIAS = "CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE path END || query END"
+
+# a rule of each host and path, and the links between pages, as far as targets are written in full
+ORACLE_OP2 = rf"""
+WITH RECURSIVE rules(verdict, rule_host, rule_path) AS (
+    VALUES {", ".join(map(str, URL_RULES))}),
+split AS (SELECT page_id, url, html, {_sql_parts("url")} FROM pages),
+u AS (SELECT *, {_SQL_ALIAS} AS alias FROM split),
+tags AS (
+    SELECT alias, unnest(regexp_extract_all(
+        regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script|<style\b.*?</style', ' ', 'g'),
+        '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+    FROM u),
+targets AS (
+    SELECT alias, replace(CASE
+        WHEN regexp_matches(tag, '(?i)^<link\b')
+            AND regexp_matches({_sql_attribute("rel")}, '(?i)(^|\s)canonical(\s|$)')
+            THEN {_sql_attribute("href")}
+        WHEN regexp_matches(tag, '(?i)^<meta\b')
+            AND lower(trim({_sql_attribute("http-equiv")})) = 'refresh'
+            THEN regexp_extract({_sql_attribute("content")},
+                '(?is)^\s*[\d.]*\s*[;,]\s*url\s*=\s*[''"]?([^''"]*)', 1) END, '&amp;', '&') AS url
+    FROM tags),
+ends AS (SELECT alias AS src, {_sql_parts("url")} FROM targets WHERE url LIKE 'http%://%'),
+edges AS (SELECT src, {_SQL_ALIAS} AS dst FROM ends),
+both_ways AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
+reached AS (
+    SELECT src AS node, src AS seen FROM both_ways
+    UNION SELECT node, dst FROM reached JOIN both_ways ON src = seen),
+nodes AS (SELECT node, seen, {_sql_parts("'http://' || seen")} FROM reached),
+fitting AS (
+    SELECT p.host, p.path, rule_host || rule_path AS rule, verdict,
+        row_number() OVER (PARTITION BY p.host, p.path
+            ORDER BY length(rule_host || rule_path) DESC, verdict) AS place
+    FROM (SELECT host, path FROM u UNION SELECT host, path FROM nodes) p JOIN rules
+        ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host))
+            AND starts_with(p.path, rule_path)),
+best AS (SELECT * FROM fitting WHERE place = 1),
+groups AS (
+    SELECT node, CASE WHEN bool_or(verdict = 'allow') THEN 'allow'
+        WHEN bool_or(verdict = 'block') THEN 'block' END AS decision
+    FROM nodes LEFT JOIN best USING (host, path) GROUP BY node)
+SELECT page_id, u.host, u.path, rule, coalesce(verdict, decision, 'allow') AS verdict,
+    node IS NOT NULL AS aliases
+FROM u LEFT JOIN best USING (host, path) LEFT JOIN groups ON node = alias"""
+
 ORACLE_OP3 = f"""
 WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
 s AS (
@@ -123,7 +212,9 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_level_bpe": op1_byte_level_bpe,
+        "op2_url_filter": op2_url_filter,
         "op3_mixing": op3_mixing,
+        "op4_token_counts": op4_token_counts,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_substring_dedup": op9_substring_dedup,
@@ -133,6 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_url_filter": ORACLE_OP2,
         "op3_mixing": ORACLE_OP3,
         "op9_substring_dedup": ORACLE_OP9,
         "op10_exact_dedup": ORACLE_OP10,

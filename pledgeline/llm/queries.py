@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pledgeline.llm import (
     bpe,
     exact_dedup,
+    html_extract,
+    language_id,
     mixing,
     quality_rules,
     simhash,
@@ -66,6 +68,14 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(_table(spark, folder, "pages"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(_table(spark, folder, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(
         _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -216,6 +226,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": op3_mixing,
         "op4_token_counts": op4_token_counts,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op6_html_extraction": op6_html_extraction,
+        "op7_language_id": op7_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,

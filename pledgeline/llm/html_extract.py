@@ -64,6 +64,9 @@ HINTS = frozenset(
 NOT_ARTICLES = frozenset(
     "comment comments reply replies related recommended ad ads advert sponsored promo teaser".split()
 )
+#: Elements that hold one paragraph or less, and so are no region.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre figcaption caption address".split())
+NO_REGION = INLINE | LEAVES
 HEADER_HINTS = frozenset("header masthead banner".split())
 WHOLE_PAGE = frozenset("html body".split())
 #: An element of these ends when a sibling of the same kind begins, up to the given parents.
@@ -95,7 +98,7 @@ class Line:
     tags: int
     link_chars: int
     apart: bool
-    #: Numbers of the open elements, outermost first.
+    #: Numbers of the open elements that may be a region, outermost first.
     inside: tuple[int, ...]
 
 
@@ -131,7 +134,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             apart = bool(self.open) and self.open[-1].apart
-            inside = tuple(e.number for e in self.open if e.tag not in INLINE)
+            inside = tuple(e.number for e in self.open if e.tag not in NO_REGION)
             self.lines.append(Line(text, self.tags, self.link_chars, apart, inside))
         self.parts, self.tags, self.link_chars = [], 0, 0
 
@@ -199,6 +202,8 @@ class Lines(HTMLParser):
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    if not len(ratios):
+        return ratios
     reach = int(3 * sigma)
     kernel = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * sigma**2))
     weights = np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]

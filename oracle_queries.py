@@ -144,7 +144,7 @@ MODEL = {
             CASE WHEN l_returnflag = 'N' THEN 'N' ELSE 'Y' END AS pledged_basis_flg,
             CAST(l_extendedprice AS DECIMAL(18,2)) AS transaction_credited_amt
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
-    "cads_assignment": """
+    "dated_assignment": """
         SELECT proposal_id, assignment_entity_id AS assigned_to_entity_id_nbr,
             start_date AS assignment_begin_dt, stop_date AS assignment_end_dt,
             office_code AS office_assigned_to_cd
@@ -232,9 +232,12 @@ ACTIVITY = f"""
         FROM gift WHERE pledged_basis_flg = 'Y' AND gift_credit_dt BETWEEN {FROM} AND {TO}) given
         ON given.gift_proposal = held.proposal_id AND given.donor = held.entity_id"""
 
-EIGHT = "('CU','PD','SP','GS','DS','RP','DQ','TD')"
-NINE = "('CU','PD','SP','GS','DS','RP','DQ','TD','CN')"
-FIVE = "('CU','PD','SP','GS','DS')"
+# Stage codes
+EIGHT = "('PD', 'SP', 'GS', 'DS', 'CU', 'RP', 'DQ', 'TD')"
+NINE = "('PD', 'SP', 'GS', 'DS', 'CU', 'CN', 'RP', 'DQ', 'TD')"
+FIVE = "('PD', 'SP', 'GS', 'DS', 'CU')"
+# Stages that a stop is counted under by name
+STOPS = "('CN', 'TD', 'DQ', 'NR')"
 
 
 def _half_year_later(day: str) -> str:
@@ -306,7 +309,7 @@ OUTCOMES = f"""
         (SELECT count(DISTINCT d.proposal_id) FROM disqualified d
             WHERE d.assignment_entity_id = held.assignment_entity_id) AS dq_stop,
         count(DISTINCT proposal_id) FILTER (ended AND code = 'NR' AND granted_amt = 0) AS nr_stop,
-        count(DISTINCT proposal_id) FILTER (ended AND code NOT IN ('CN', 'DQ', 'NR', 'TD'))
+        count(DISTINCT proposal_id) FILTER (ended AND code NOT IN {STOPS})
             AS other_stop,
         count(DISTINCT proposal_id) FILTER (ended AND code = 'RP') AS rp_stop,
         (SELECT count(DISTINCT q.proposal_id) FROM qualified q
@@ -325,31 +328,35 @@ OUTCOMES = f"""
             AND g.flg = 'Y' AND g.flg2 = 'N' AND g.unitdt > g.othunitdt)
     GROUP BY assignment_entity_id, assignment_first_name, assignment_last_name"""
 
-_LARGEST = {
-    "prospect_id": "prospect_id",
-    "stage_code": "stage",
-    "stage_desc": "stage_desc",
-    "stage_rank_code": "stage_rank",
-    "start_dt": "proposal_begin_dt",
-    "proposal_title": "proposal_title",
-    "original_ask_amt": "target_ask",
-    "expected_date": "target_date",
-    "ask_amt": "actual_ask",
-    "initial_contribution_dt": "actual_date",
-    "granted_amt": "commit_amt",
-    "stop_dt": "commit_dt",
-}
+# two intervals overlap if each begins by the end of the other; open ones last until today
 WINDOW_PORTFOLIO = f"""
-    SELECT p.proposal_id, c.assigned_to_entity_id_nbr,
-        {', '.join(f'max(p.{column}) AS {name}' for column, name in _LARGEST.items())},
-        max(date_diff('day', p.proposal_stage_begin_dt, {AS_OF})) AS days_in_stage,
-        min(c.assignment_begin_dt) AS assign_begin_dt,
-        max(coalesce(c.assignment_end_dt, {AS_OF})) AS assign_end_dt
-    FROM proposal p JOIN cads_assignment c USING (proposal_id)
-    WHERE c.office_assigned_to_cd = {UNIT}
-        AND p.start_dt <= {TO} AND {FROM} <= coalesce(p.stop_dt, {AS_OF})
-        AND c.assignment_begin_dt <= {TO} AND {FROM} <= coalesce(c.assignment_end_dt, {AS_OF})
-    GROUP BY p.proposal_id, c.assigned_to_entity_id_nbr"""
+    WITH held AS (
+        SELECT proposal_id,
+            max(prospect_id) AS prospect_id,
+            max(stage_code) AS stage,
+            max(stage_desc) AS stage_desc,
+            max(stage_rank_code) AS stage_rank,
+            max(start_dt) AS proposal_begin_dt,
+            max(proposal_title) AS proposal_title,
+            max(original_ask_amt) AS target_ask,
+            max(expected_date) AS target_date,
+            max(ask_amt) AS actual_ask,
+            max(initial_contribution_dt) AS actual_date,
+            max(granted_amt) AS commit_amt,
+            max(stop_dt) AS commit_dt,
+            max(date_diff('day', proposal_stage_begin_dt, {AS_OF})) AS days_in_stage
+        FROM proposal
+        WHERE start_dt <= {TO} AND coalesce(stop_dt, {AS_OF}) >= {FROM}
+        GROUP BY proposal_id),
+    assigned AS (
+        SELECT proposal_id, assigned_to_entity_id_nbr,
+            min(assignment_begin_dt) AS assign_begin_dt,
+            max(coalesce(assignment_end_dt, {AS_OF})) AS assign_end_dt
+        FROM dated_assignment
+        WHERE office_assigned_to_cd = {UNIT}
+            AND assignment_begin_dt <= {TO} AND coalesce(assignment_end_dt, {AS_OF}) >= {FROM}
+        GROUP BY proposal_id, assigned_to_entity_id_nbr)
+    SELECT * FROM held JOIN assigned USING (proposal_id)"""
 
 TOTAL_QUALIFICATIONS = f"""
     SELECT net.proposal_id, p.prospect_id, s.prospect_name,

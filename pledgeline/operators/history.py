@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pledgeline.plans.skew import hot_keys
+from pledgeline.plans.skew import block_of
 
 
 def first_forward_moves(
@@ -20,96 +20,84 @@ def first_forward_moves(
     moves the one with the earliest full stage date, then id, counts. ``move_order="qu_move_order"``
     gives the stricter variant.
 
-    A proposal with very many rows is cut into slices that follow that order (day, stage order, id
-    range). Next rows are found within each slice, and between slices from the first and last row of
-    each, so no task holds the whole group.
+    Neighbours are found in three steps, each of which leaves one summary per part (its earliest
+    move, its first and its last row): within the rows of one day, stage order and block of ids, then
+    between the blocks of a day, then between the days of a proposal. So no task orders more than a
+    block of rows, one day's stage orders times blocks, or one proposal's days.
     """
     live = history.filter(
-        F.lit(as_of).between(F.col("cdw_record_effective_date"), F.col("cdw_record_expire_date"))
+        F.lit(as_of).between(F.col("record_effective_date"), F.col("record_expire_date"))
         & F.col("proposal_id").isNotNull()
-    ).select(
-        "d_proposal_key",
-        "proposal_id",
-        "stage_id",
-        "stage_code",
-        F.col(move_order).alias("move"),
-        F.col("stage_adv_order").alias("adv"),
-        "stage_date",
-        F.to_date("stage_date").alias("day"),
     )
-    hot = F.broadcast(hot_keys(live, ["d_proposal_key"], split_by="stage_id"))
-    is_hot = F.col("_width").isNotNull()
-    block = F.floor((F.col("stage_id") - F.col("_low")) / F.col("_width"))
-    sliced = live.join(
-        hot, live["d_proposal_key"].eqNullSafe(hot["_hot_d_proposal_key"]), "left"
-    ).select(
-        *live.columns,
-        is_hot.alias("is_hot"),
-        F.when(is_hot, F.col("day")).alias("slice_day"),
-        F.when(is_hot, F.col("adv")).alias("slice_adv"),
-        F.when(is_hot, block).alias("slice_block"),
+    row = F.struct(
+        "stage_code", F.col(move_order).alias("move"), "stage_date", "stage_id", "proposal_id"
     )
-    slice_keys = ["d_proposal_key", "slice_day", "slice_adv", "slice_block"]
-    in_slice = Window.partitionBy(*slice_keys).orderBy(
-        F.col("day").asc_nulls_last(),
-        F.col("adv").asc_nulls_last(),
-        F.col("stage_id").asc_nulls_last(),
+    parts = live.select(
+        "d_proposal_key",
+        F.to_date("stage_date").alias("day"),
+        F.col("stage_adv_order").alias("adv"),
+        block_of("stage_id").alias("block"),
+        "stage_id",
+        row.alias("first"),
+        row.alias("last"),
+    ).withColumn("best", F.lit(None).cast(_DEPARTURE))
+    parts = _joined(parts, ["d_proposal_key", "day", "adv", "block"], ["stage_id"])
+    parts = _joined(parts, ["d_proposal_key", "day"], ["adv", "block"])
+    parts = _joined(parts, ["d_proposal_key"], ["day"])
+    # nothing follows the last row of a proposal
+    at_end = F.when(_leaves(F.col("last"), F.lit(0)), _departure(F.col("last"), F.lit(None)))
+    return (
+        parts.select(F.least("best", at_end.cast(_DEPARTURE)).alias("move"))
+        .filter("move is not null")
+        .select("move.proposal_id", F.col("move.moved").alias("qualification_date"))
     )
-    row = F.struct("stage_code", "move", "stage_date", "stage_id", "proposal_id")
-
-    def departure(source: str, moved):
-        # ordered by full stage date, missing last, then id
-        return F.struct(
-            F.col(f"{source}.stage_date").isNull().alias("undated"),
-            F.col(f"{source}.stage_date"),
-            F.col(f"{source}.stage_id"),
-            F.col(f"{source}.proposal_id"),
-            moved.alias("moved"),
-        )
 
-    left_qu = F.col("row.stage_code") == "QU"
-    per_slice = (
-        sliced.select(
-            *slice_keys,
-            "is_hot",
-            row.alias("row"),
-            F.lead(row).over(in_slice).alias("next"),
-            F.lag(F.lit(True)).over(in_slice).isNull().alias("is_first"),
-        )
-        .select(
-            *slice_keys,
-            F.when(
-                left_qu & (F.col("next.move") > F.col("row.move")),
-                departure("row", F.col("next.stage_date")),
-            ).alias("best"),
-            F.when(F.col("next").isNull() & (left_qu | F.col("is_hot")), F.col("row")).alias("last"),
-            F.when(F.col("is_first") & F.col("is_hot"), F.col("row")).alias("first"),
-        )
-        .filter("best is not null or last is not null or first is not null")
-        .groupBy(*slice_keys)
-        .agg(F.min("best").alias("best"), F.max("last").alias("last"), F.max("first").alias("first"))
-    )
-    by_slice = Window.partitionBy("d_proposal_key").orderBy(
-        *[F.col(c).asc_nulls_last() for c in slice_keys[1:]]
-    )
-    following = F.lead("first").over(by_slice)
+
+# ordered by full stage date, missing last, then id
+_DEPARTURE = """struct<undated:boolean, stage_date:timestamp, stage_id:bigint, proposal_id:bigint,
+    moved:timestamp>"""
+
+
+def _leaves(row: Column, next_move: Column) -> Column:
+    return (row["stage_code"] == "QU") & (next_move > row["move"])
+
+
+def _departure(row: Column, moved: Column) -> Column:
+    return F.struct(
+        row["stage_date"].isNull().alias("undated"),
+        row["stage_date"].alias("stage_date"),
+        row["stage_id"].alias("stage_id"),
+        row["proposal_id"].alias("proposal_id"),
+        moved.cast("timestamp").alias("moved"),
+    ).cast(_DEPARTURE)
+
+
+def _joined(parts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One summary per ``keys`` of parts that follow each other in the given order."""
+    in_order = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    following = F.lead("first").over(in_order)
     return (
-        per_slice.withColumn("following", following)
-        .withColumn(
-            "next_move",
-            F.when(F.col("following").isNull(), F.lit(0)).otherwise(F.col("following.move")),
-        )
-        .select(
-            "d_proposal_key",
+        parts.select(
+            *keys,
+            "first",
+            "last",
             "best",
-            F.when(
-                (F.col("last.stage_code") == "QU") & (F.col("next_move") > F.col("last.move")),
-                departure("last", F.col("following.stage_date")),
-            ).alias("across"),
+            following.alias("following"),
+            F.lag(F.lit(True)).over(in_order).isNull().alias("is_first"),
+            F.lead(F.lit(True)).over(in_order).isNull().alias("is_last"),
+        )
+        .groupBy(*keys)
+        .agg(
+            F.min(F.when(F.col("is_first"), F.col("first"))).alias("first"),
+            F.min(F.when(F.col("is_last"), F.col("last"))).alias("last"),
+            F.least(
+                F.min("best"),
+                F.min(
+                    F.when(
+                        _leaves(F.col("last"), F.col("following.move")),
+                        _departure(F.col("last"), F.col("following.stage_date")),
+                    )
+                ),
+            ).alias("best"),
         )
-        .groupBy("d_proposal_key")
-        .agg(F.min("best").alias("best"), F.min("across").alias("across"))
-        .select(F.least("best", "across").alias("move"))
-        .filter("move is not null")
-        .select("move.proposal_id", F.col("move.moved").alias("qualification_date"))
     )

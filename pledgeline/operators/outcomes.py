@@ -51,24 +51,30 @@ def unit_flags(
         assignment.join(proposal.filter(wanted).select("proposal_id"), "proposal_id", "left_semi")
         .groupBy("assignment_entity_id")
         .agg(
-            F.max(F.when(here, "Y").otherwise("N")).alias("flg"),
+            F.bool_or(flag(here)).alias("_here"),
             F.max(F.when(here, F.col("start_date"))).alias("unitdt"),
-            F.max(F.when(elsewhere, "Y").otherwise("N")).alias("flg2"),
+            F.bool_or(flag(elsewhere)).alias("_elsewhere"),
             F.coalesce(
                 F.max(F.when(elsewhere, F.col("start_date"))), F.lit(NEVER_ELSEWHERE)
             ).alias("othunitdt"),
         )
-        .withColumn(
-            "unit_exclusive",
-            flag(
-                (F.col("flg") == "Y")
-                & (F.col("flg2") == "N")
-                & (F.col("unitdt") > F.col("othunitdt"))
-            ),
+        .select(
+            "assignment_entity_id",
+            _yes_no(F.col("_here")).alias("flg"),
+            "unitdt",
+            _yes_no(F.col("_elsewhere")).alias("flg2"),
+            "othunitdt",
+            (
+                F.col("_here") & ~F.col("_elsewhere") & flag(F.col("unitdt") > F.col("othunitdt"))
+            ).alias("unit_exclusive"),
         )
     )
 
 
+def _yes_no(condition: Column) -> Column:
+    return F.when(condition, "Y").otherwise("N")
+
+
 UNIT_KEYS = ["assignment_entity_id", "office_desc", "proposal_id"]
 
 
@@ -95,7 +101,7 @@ def _unit_status(
         start,
         end,
         included_when=in_unit,
-        only=assignment.filter(in_unit),
+        only=assignment.filter(in_unit).select("proposal_id").distinct(),
     )
 
 
@@ -249,7 +255,7 @@ def unit_outcomes(
 
 
 def window_portfolio(
-    cads_assignment: DataFrame,
+    dated_assignment: DataFrame,
     proposal: DataFrame,
     unit: str,
     start: dt.date | str,
@@ -266,7 +272,7 @@ def window_portfolio(
     first, last, now = (F.lit(as_date(d)) for d in (start, end, as_of))
     ended = F.coalesce(F.col("assignment_end_dt"), now)
     assigned = (
-        cads_assignment.filter(
+        dated_assignment.filter(
             both(
                 F.col("assignment_begin_dt") <= last,
                 ended >= first,
@@ -315,7 +321,7 @@ def window_portfolio(
 
 
 def total_qualifications(
-    cads_assignment: DataFrame,
+    dated_assignment: DataFrame,
     assignment: DataFrame,
     stage: DataFrame,
     proposal: DataFrame,
@@ -332,12 +338,12 @@ def total_qualifications(
     """Qualified proposals of a unit with prospect, manager and the month of their latest move.
 
     Exclusion works on whole proposals: one excluded assignment of a portfolio fundraiser drops the
-    proposal for all. The set of qualified proposals is found first and everything else is reduced
-    to it before it is joined.
+    proposal for all. The set of qualified proposals is found first; what has a ``proposal_id`` is
+    reduced to it before it is aggregated or joined.
     """
     first, last = (F.lit(as_date(d)) for d in (start, end))
     portfolio = window_portfolio(
-        cads_assignment, proposal, unit, start, end, as_of, fundraisers, plan_types
+        dated_assignment, proposal, unit, start, end, as_of, fundraisers, plan_types
     )
     in_portfolio = (
         portfolio.select(F.col("assigned_to_entity_id_nbr").alias("assignment_entity_id"))
@@ -363,12 +369,13 @@ def total_qualifications(
         end,
         included_when=_picked(unit, fundraisers),
         excluded_when=F.col("_in_portfolio"),
-        only=portfolio,
+        only=portfolio.select("proposal_id").distinct(),
     )
     qualified = status.filter("campus_included and not campus_excluded").select("proposal_id")
     latest_move = (
-        stage.filter(
-            F.col("stage_date").between(first, last)
+        stage.join(qualified, "proposal_id", "left_semi")
+        .filter(
+            F.to_date("stage_date").between(first, last)
             & F.col("stage_code").isin(list(CAMPUS.include))
         )
         .groupBy("proposal_id")
@@ -387,7 +394,9 @@ def total_qualifications(
             "_primary_entity"
         )
     )
-    held = proposal.filter(F.col("primary_ind") == "Y").select(
+    held = proposal.filter(F.col("primary_ind") == "Y").join(
+        qualified, "proposal_id", "left_semi"
+    ).select(
         "proposal_id", "prospect_id", "stage_desc", "stage_code", F.col("entity_id").alias("_donor")
     )
     summary = entity_prospect_summary.select(

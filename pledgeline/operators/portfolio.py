@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pledgeline.functions.values import both, listed_name, one_of
 from pledgeline.operators.roles import current_role, with_record_type
-from pledgeline.plans.skew import hot_keys, number_rows, splittable_join
+from pledgeline.plans.skew import number_rows, splittable_join
 
 # what each row number counts within
 ROW_NUMBER_KEYS = {
@@ -83,38 +83,9 @@ def active_portfolio(
         "ask_amt",
         "original_ask_amt",
     )
-    rows = joined = splittable_join(assigned, held, ["proposal_id"])
-    for name in row_numbers:
-        keys = ROW_NUMBER_KEYS[name]
-        # groups are counted on the assignments alone where these have the keys
-        counted = joined if "prospect_id" in keys else assigned
-        hot = hot_keys(counted, keys, split_by="assignment_id")
-        rows = number_rows(
-            rows,
-            keys,
-            "assignment_id",
-            ["entity_id"],
-            name,
-            hot,
-            _rows_of_hot_groups(assigned, held, hot, keys),
-        )
-    return rows
-
-
-def _rows_of_hot_groups(
-    assigned: DataFrame, held: DataFrame, hot: DataFrame, keys: list[str]
-) -> DataFrame:
-    """Portfolio rows of the hot groups, filtered on both sides before the join."""
-    hot = F.broadcast(hot)
-    if "prospect_id" in keys:
-        assigned = assigned.join(
-            hot, F.col("office_code").eqNullSafe(F.col("_hot_office_code")), "left_semi"
-        )
-        held = held.join(hot, held["prospect_id"].eqNullSafe(hot["_hot_prospect_id"]), "left_semi")
-    else:
-        assigned = assigned.join(hot, F.col("proposal_id") == F.col("_hot_proposal_id"), "left_semi")
-        held = held.join(hot, F.col("proposal_id") == F.col("_hot_proposal_id"), "left_semi")
-    return splittable_join(assigned, held, ["proposal_id"]).select(*keys, "assignment_id")
+    rows = splittable_join(assigned, held, ["proposal_id"])
+    numberings = {name: ROW_NUMBER_KEYS[name] for name in row_numbers}
+    return number_rows(rows, numberings, "assignment_id", ["entity_id"])
 
 
 def _is_planned():
@@ -140,7 +111,10 @@ def planned_asks_by_fundraiser(portfolio: DataFrame) -> DataFrame:
     )
     first = F.min(
         F.struct(
+            # missing ids last, as in the row numbers
+            F.col("assignment_id").isNull().alias("unnumbered"),
             "assignment_id",
+            F.col("entity_id").isNull().alias("unnamed"),
             "entity_id",
             "assignment_entity_id",
             "assignment_name",

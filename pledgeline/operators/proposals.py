@@ -50,7 +50,7 @@ def assigned_proposals(
         .drop("entity_id", "prospect_id")
     )
     held = proposal.withColumnsRenamed(PROPOSAL_NAMES).drop(
-        "entity_id", "cads_entity_id", "primary_ind", "primary_ind_cnt"
+        "entity_id", "summary_entity_id", "primary_ind", "primary_ind_cnt"
     )
     if primary_prop_only:
         held = held.distinct()

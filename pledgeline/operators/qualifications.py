@@ -114,12 +114,12 @@ def qualification_status(
 
     ``included_when`` and ``excluded_when`` are conditions on the assignment. ``accepted`` gives for
     each rule a condition on the proposal, for inclusion only; with ``None`` inclusion does not look
-    at proposals at all. ``only`` limits the work to some ``proposal_id``s, before anything is
-    aggregated: give it where no other proposal can be included and exclusions alone do not matter.
+    at proposals at all. ``only`` limits the work to some distinct ``proposal_id``s, before anything
+    is aggregated: give it where no other proposal can be included and exclusions alone do not matter.
     """
     start, end = as_date(start), as_date(end)
     if only is not None:
-        stage = stage.join(only.select("proposal_id"), "proposal_id", "left_semi")
+        stage = stage.join(only, "proposal_id", "left_semi")
     facts = stage_facts(stage, rules, start, end).join(
         proposal_facts(proposal, start, accepted), "proposal_id", "left"
     )
@@ -187,7 +187,9 @@ def _campus_status(
         start,
         end,
         included_when=in_offices,
-        only=None if in_offices is None else assignment.filter(in_offices),
+        only=None
+        if in_offices is None
+        else assignment.filter(in_offices).select("proposal_id").distinct(),
     ).withColumnRenamed("portfolio_office_code", "office_code")
 
 

@@ -5,58 +5,18 @@ and cuts the oversized ones, or broadcasts an input that turned out small. It ca
 both inputs are shuffled for that join and nothing later relies on the join's partitioning;
 ``splittable_join`` sees to both.
 
-Windows are not split by adaptive execution, so numbering cuts *hot* keys itself: those with more
-rows than the session setting ``pledgeline.hotRows`` (default 4,000,000). There is at most one hot
-key per that many input rows, so the list of them is small enough to broadcast at any data size:
-10^12 rows give at most 250,000 entries of a few dozen bytes. Every other group is smaller than the
-setting and safe in a single task. The list is counted exactly, from the data, so it is the same
-whenever Spark computes it again. It only decides where rows are processed, never which are kept.
+Windows are not split by adaptive execution, so numbering cuts every group by fixed blocks of the id
+it is ordered by. An id identifies a row, so a block holds at most ``BLOCK_IDS`` rows (times ties), and
+one task never has to hold more of a group than that.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS_SETTING = "pledgeline.hotRows"
-HOT_ROWS_DEFAULT = 4_000_000
-
-
-def hot_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in keys]
-    )
-
-
-def hot_keys(rows: DataFrame, keys: list[str], split_by: str) -> DataFrame:
-    """Hot keys, as ``_hot_<key>`` columns, with equal ranges of an integer column to cut them by.
-
-    ``_low`` is the lowest value of ``split_by`` in the group and ``_width`` the width of a range.
-    """
-    limit = hot_rows(rows)
-    counted = (
-        rows.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(split_by).alias("_low"),
-            F.max(split_by).alias("_high"),
-        )
-        .filter(F.col("_rows") > limit)
-    )
-    # twice as many ranges as needed, since ids are rarely spread perfectly evenly
-    ranges = 2 * F.ceil(F.col("_rows") / F.lit(limit))
-    width = F.ceil((F.col("_high") - F.col("_low") + 1) / ranges).cast("long")
-    return counted.select(
-        *[F.col(k).alias("_hot_" + k) for k in keys],
-        "_low",
-        F.greatest(width, F.lit(1).cast("long")).alias("_width"),
-    )
+#: Ids in a block: enough that small groups stay whole, few enough for one task to order.
+BLOCK_IDS = 1 << 20
 
 
 def splittable_join(
@@ -77,46 +37,46 @@ def splittable_join(
     )
 
 
+def block_of(id_column: str):
+    """The block of an id; ids that are missing make a block of their own."""
+    return F.floor(F.col(id_column) / F.lit(BLOCK_IDS)).cast("long")
+
+
 def number_rows(
-    rows: DataFrame,
-    keys: list[str],
-    order_by: str,
-    ties: list[str],
-    name: str,
-    hot: DataFrame,
-    hot_rows_only: DataFrame,
+    rows: DataFrame, numberings: dict[str, list[str]], order_by: str, ties: list[str]
 ) -> DataFrame:
-    """``row_number()`` per key in the order of an integer column, hot groups cut into ranges.
+    """``row_number()`` in the order of an integer column, missing ones last, per set of keys.
 
-    ``hot`` is ``hot_keys(..., split_by=order_by)``. ``hot_rows_only`` holds at least the rows of
-    the hot groups, with the columns ``keys`` and ``order_by``, so that counting the ranges does not
-    recompute ``rows`` in full. A row's number is its number within its range plus the sizes of the
-    ranges before it.
+    ``numberings`` gives the keys of each new column. A row's number is its number within its block
+    plus the sizes of the blocks before it. All sizes come from one grouping of the rows by the keys
+    of all numberings and block, which adaptive execution evaluates once.
     """
-    hot = F.broadcast(hot)
-    piece = F.coalesce(F.floor((F.col(order_by) - F.col("_low")) / F.col("_width")), F.lit(0))
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        hot_rows_only.join(hot, _same_keys(hot_rows_only, hot, keys, "_hot_"))
-        .groupBy(*keys, piece.alias("_piece"))
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(
-            *[F.col(k).alias("_at_" + k) for k in keys],
-            F.col("_piece").alias("_at_piece"),
-            F.sum("_size").over(before).alias("_before"),
+    if not numberings:
+        return rows
+    cut = rows.withColumn("_block", block_of(order_by))
+    every = sorted({key for keys in numberings.values() for key in keys})
+    counted = cut.groupBy(*every, "_block").agg(F.count(F.lit(1)).alias("_size"))
+    for name, keys in numberings.items():
+        # one struct as key: it is never null, so the join keeps the partitioning of the window
+        at = F.struct(*keys, "_block")
+        before = (
+            Window.partitionBy(*keys)
+            .orderBy(F.col("_block").asc_nulls_last())
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
-    )
-    within = Window.partitionBy(*keys, piece).orderBy(
-        F.col(order_by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]
-    )
-    numbered = rows.join(hot, _same_keys(rows, hot, keys, "_hot_"), "left").select(
-        *rows.columns, piece.alias("_piece"), F.row_number().over(within).alias("_number")
-    )
-    at = F.broadcast(offsets)
-    same_piece = _same_keys(numbered, at, keys, "_at_") & (numbered["_piece"] == at["_at_piece"])
-    number = F.col("_number") + F.coalesce("_before", F.lit(0))
-    return numbered.join(at, same_piece, "left").select(
-        *rows.columns, number.cast("int").alias(name)
-    )
+        offsets = (
+            counted.groupBy(*keys, "_block")
+            .agg(F.sum("_size").alias("_size"))
+            .select(at.alias("_at"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+        )
+        within = Window.partitionBy("_at").orderBy(
+            F.col(order_by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]
+        )
+        number = (F.col("_number") + F.col("_before")).cast("int").alias(name)
+        cut = (
+            cut.withColumn("_at", at)
+            .withColumn("_number", F.row_number().over(within))
+            .join(offsets, "_at")
+            .select(*[c for c in cut.columns if c != "_block"], "_block", number)
+        )
+    return cut.drop("_block")

@@ -74,7 +74,7 @@ class SampleTables:
         return self._read("orders").select(
             key.alias("proposal_id"),
             _donor("o_custkey").alias("entity_id"),
-            _donor("o_custkey").alias("cads_entity_id"),
+            _donor("o_custkey").alias("summary_entity_id"),
             _pair("o_custkey").alias("prospect_id"),
             F.lit("Y").alias("primary_ind"),
             F.lit(1).alias("primary_ind_cnt"),
@@ -195,10 +195,10 @@ class SampleTables:
             F.when(kind == "click", 0).otherwise(order).alias("qu_move_order"),
             order.alias("stage_adv_order"),
             moment.alias("stage_date"),
-            moment.alias("cdw_record_effective_date"),
+            moment.alias("record_effective_date"),
             F.when(_int("event_id") % 50 == 0, F.lit("2024-06-01").cast("timestamp"))
             .otherwise(F.lit("9999-12-31").cast("timestamp"))
-            .alias("cdw_record_expire_date"),
+            .alias("record_expire_date"),
         )
 
     def stage_history_lines(self) -> DataFrame:
@@ -217,10 +217,10 @@ class SampleTables:
             .alias("qu_move_order"),
             line.cast("int").alias("stage_adv_order"),
             moment.alias("stage_date"),
-            moment.alias("cdw_record_effective_date"),
+            moment.alias("record_effective_date"),
             F.when(F.col("proposal_stage_id") % 50 == 0, F.lit("2001-06-01").cast("timestamp"))
             .otherwise(F.lit("9999-12-31").cast("timestamp"))
-            .alias("cdw_record_expire_date"),
+            .alias("record_expire_date"),
         )
 
     def contact(self) -> DataFrame:
@@ -362,7 +362,7 @@ class SampleTables:
             F.col("l_extendedprice").cast(MONEY).alias("transaction_credited_amt"),
         )
 
-    def cads_assignment(self) -> DataFrame:
+    def dated_assignment(self) -> DataFrame:
         return self["assignment"].select(
             "proposal_id",
             F.col("assignment_entity_id").alias("assigned_to_entity_id_nbr"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 SCHEMAS = {
     "proposal": """
-        proposal_id long, entity_id long, cads_entity_id long, prospect_id long, primary_ind string,
+        proposal_id long, entity_id long, summary_entity_id long, prospect_id long, primary_ind string,
         primary_ind_cnt int, active_ind string, proposal_type string, stage_code string,
         stage_desc string, stage_rank_code string, start_dt date, stop_dt date, expected_date date,
         initial_contribution_dt date, original_ask_amt decimal(18,2), ask_amt decimal(18,2),
@@ -20,7 +20,7 @@ SCHEMAS = {
     "stage_history": """
         d_proposal_key long, proposal_id long, stage_id long, stage_code string, stage_desc string,
         move_order int, qu_move_order int, stage_adv_order int, stage_date timestamp,
-        cdw_record_effective_date timestamp, cdw_record_expire_date timestamp""",
+        record_effective_date timestamp, record_expire_date timestamp""",
     "contact": """
         report_id long, contact_date date, contact_type string, contact_type_desc string,
         contact_purpose_code string, contact_purpose_desc string, contact_attitude_code string,
@@ -44,7 +44,7 @@ SCHEMAS = {
     "gift": """
         proposal_id long, donor_entity_id_nbr long, gift_credit_dt date, pledged_basis_flg string,
         transaction_credited_amt decimal(18,2)""",
-    "cads_assignment": """
+    "dated_assignment": """
         proposal_id long, assigned_to_entity_id_nbr long, assignment_begin_dt date,
         assignment_end_dt date, office_assigned_to_cd string""",
     "proposal_summary": "proposal_id long, proposal_assignments string",

@@ -65,12 +65,8 @@ def rows(df, *columns):
 
 
 @pytest.fixture
-def hot_rows(spark):
-    """Set the size from which a group is cut, for one test."""
-    from pledgeline.plans.skew import HOT_ROWS_SETTING
+def block_ids(monkeypatch):
+    """Set the number of ids in a block, for one test."""
+    from pledgeline.plans import skew
 
-    def use(limit):
-        spark.conf.set(HOT_ROWS_SETTING, str(limit))
-
-    yield use
-    spark.conf.unset(HOT_ROWS_SETTING)
+    return lambda size: monkeypatch.setattr(skew, "BLOCK_IDS", size)

@@ -250,7 +250,7 @@ def test_window_portfolio(inputs, table):
     cads = lambda p, who, begin, end=None, unit="A": dict(
         proposal_id=p, assigned_to_entity_id_nbr=who, assignment_begin_dt=begin,
         assignment_end_dt=end, office_assigned_to_cd=unit)
-    assignments = table("cads_assignment", [
+    assignments = table("dated_assignment", [
         cads(1, 1, "2020-01-01", "2021-12-31"), cads(1, 1, "2021-02-01"),
         cads(1, 2, "2022-07-01"), cads(1, 3, "2020-01-01", "2021-06-30"),
         cads(1, 4, "2020-01-01", unit="B"), cads(2, 1, "2020-01-01"), cads(3, 1, "2020-01-01"),
@@ -280,7 +280,7 @@ def test_total_qualifications(inputs, table):
     ]
     _, assignment, stage, proposal = inputs(
         assignments, stages, [held(i, stage_desc="d", stage_code="PD") for i in (1, 2)])
-    cads = table("cads_assignment", [
+    dated = table("dated_assignment", [
         dict(proposal_id=a["proposal_id"], assigned_to_entity_id_nbr=a["assignment_entity_id"],
              assignment_begin_dt=a["start_date"], office_assigned_to_cd="A") for a in assignments])
     prospect = table("prospect", [
@@ -291,7 +291,7 @@ def test_total_qualifications(inputs, table):
     entity = table("entity_prospect_summary", [
         dict(entity_id=100 + i, capacity_rating_desc="c", primary_manager_last_nm="M")
         for i in (1, 2)])
-    got = total_qualifications(cads, assignment, stage, proposal, prospect, summary, entity, "A",
+    got = total_qualifications(dated, assignment, stage, proposal, prospect, summary, entity, "A",
                                START, END, AS_OF)
     assert rows(got) == [
         (1, 1, "P", 101, "(Unit A)", "d", "PD", "c", "M, ", "2021-11", "November 2021", 1)]

@@ -39,6 +39,17 @@ SECTIONS = [
     "commits_total",
 ]
 
+# the columns of assignments and proposals that the trends read or may be grouped by
+TREND_ASSIGNMENT = ["assignment_entity_id", "unit_code", "unit_desc"]
+TREND_PROPOSAL = [
+    "proposal_id",
+    "proposal_type",
+    "initial_contribution_dt",
+    "ask_amt",
+    "stop_dt",
+    "granted_amt",
+]
+
 
 def scoped_contacts(
     tables: Mapping[str, DataFrame],
@@ -85,7 +96,9 @@ def scoped_proposals(
     """Denormalised proposals of fundraisers in the role."""
     assignment = scoped_assignments(tables, in_role, units, fundraisers)
     if lean:
-        return assigned_proposals(assignment, tables["proposal"])
+        # what the trends read, before rows that are equal in that are made one
+        assignment = assignment.select(*TREND_ASSIGNMENT, "assignment_type", "proposal_id")
+        return assigned_proposals(assignment, tables["proposal"].select(*TREND_PROPOSAL))
     return proposal_fact(assignment, tables["proposal"], tables["prospect"], tables["entity"])
 
 
@@ -101,7 +114,8 @@ def scoped_qualifications(
     proposals = (
         scoped_assignments(tables, in_role, units, fundraisers)
         .select("proposal_id")
-        .join(tables["proposal"].select("proposal_id"), "proposal_id", "left_semi")
+        .distinct()
+        .join(tables["proposal"].select("proposal_id").distinct(), "proposal_id", "left_semi")
     )
     moves = first_forward_moves(tables["stage_history"], as_date(as_of))
     return moves.join(proposals, "proposal_id", "left_semi")

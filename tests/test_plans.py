@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from pledgeline.plans.settings import ADAPTIVE, apply, settings_for
-from pledgeline.plans.skew import hot_keys, splittable_join
+from pledgeline.plans.skew import splittable_join
 
 
 @pytest.fixture
@@ -75,16 +75,6 @@ def test_splittable_join_equals_plain_join(spark):
         )
 
 
-def test_hot_keys_are_few_and_exact(spark, hot_rows):
-    hot_rows(100)
-    df = spark.range(1000).select(
-        F.when(F.col("id") < 500, None).otherwise(F.col("id") % 100).alias("k"), "id"
-    )
-    assert rows(hot_keys(df, ["k"], split_by="id")) == [(None, 0, 50)]
-    hot_rows(1000)
-    assert hot_keys(df, ["k"], split_by="id").count() == 0
-
-
 def test_settings(spark):
     made = settings_for(shuffle_bytes=10 << 40, cores=4000)
     assert made["spark.sql.shuffle.partitions"] == str(10 << 40 >> 28)
@@ -94,7 +84,7 @@ def test_settings(spark):
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", before)
 
 
-QUERIES = sorted(registry.queries())
+QUERIES = sorted(registry.QUERIES)
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -111,9 +101,13 @@ def test_no_query_multiplies_or_leaves_spark(spark, settings, name):
         assert "BroadcastExchange" not in plan
 
 
-# nothing is broadcast unless Spark finds it small; other queries broadcast the calendar of the
-# window or the list of hot keys
+# nothing is broadcast unless Spark finds it small; other queries broadcast the calendar of the window
 SHUFFLED_ONLY = {
+    "active_portfolio",
+    "planned_ask_rows",
+    "actual_asks",
+    "first_forward_moves",
+    "first_forward_moves_lines",
     "planned_asks_by_fundraiser",
     "planned_asks_by_unit",
     "activity_window",
@@ -134,3 +128,20 @@ def test_scans_are_pruned_and_filtered(spark):
     scan = next(s for s in re.findall(r"FileScan parquet .*", plan) if "l_shipdate" in s)
     assert "l_extendedprice" not in scan and "l_tax" not in scan
     assert "PushedFilters" in scan and "l_returnflag" in scan.split("PushedFilters")[1]
+
+
+@pytest.mark.parametrize(
+    "name", [q for q in QUERIES if q.startswith(("trend_asks", "trend_commits", "dashboard_"))]
+)
+def test_trends_do_not_group_by_what_they_do_not_read(spark, name):
+    plan = registry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "proposal_title" not in plan
+
+
+def test_numbering_evaluates_the_portfolio_twice(spark, settings):
+    """Once to number the rows, once to count the blocks, for all three numberings together."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive_autoBroadcastJoinThreshold="-1")
+    df = registry.queries()["active_portfolio"](spark, SMALL)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Scan parquet", final)) <= 20

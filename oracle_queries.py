@@ -12,11 +12,14 @@ import re
 AS_OF = "DATE '2001-12-31'"
 FROM, TO = "DATE '1997-07-01'", "DATE '1998-06-30'"
 UNIT = "'4'"
+OFFICES, UNITS = "('1', '3', '4')", "('Unit 0', 'Unit 2')"
+PEOPLE = str(tuple(range(1, 60, 2)))
 
 MODEL = {
     "proposal": """
         SELECT o_orderkey AS proposal_id, 1000000 + o_custkey AS entity_id,
-            o_custkey - o_custkey % 2 AS prospect_id, 'Y' AS primary_ind,
+            o_custkey - o_custkey % 2 AS prospect_id,
+            CASE WHEN o_orderkey % 13 = 4 THEN 'N' ELSE 'Y' END AS primary_ind,
             CASE WHEN o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderkey % 7 = 0)
                 THEN 'N' ELSE 'Y' END AS active_ind,
             CASE WHEN o_orderpriority = '1-URGENT' THEN 'ESP' ELSE 'MG' END AS proposal_type,
@@ -35,12 +38,14 @@ MODEL = {
             CAST(o_totalprice AS DECIMAL(18,2)) AS original_ask_amt,
             CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS DECIMAL(18,2))
                 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS ask_amt,
-            CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 4
+            CASE WHEN o_orderstatus = 'F' AND (o_orderkey % 5 = 4 OR o_orderkey % 4 = 2)
                 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END
                 AS granted_amt,
             'Plan ' || o_orderkey AS proposal_title,
             CAST(o_custkey % 5 AS VARCHAR) AS unit_code, 'Unit ' || unit_code AS unit_desc,
-            start_dt AS proposal_stage_begin_dt
+            start_dt + CAST(o_orderkey % 50 AS INT) AS proposal_stage_begin_dt,
+            CAST(o_orderkey % 3 AS VARCHAR) AS program_code,
+            'Program ' || o_orderkey % 3 AS program_desc, 'R' || o_orderkey AS crm_id
         FROM orders""",
     "assignment": """
         SELECT l_orderkey * 100000 + l_suppkey AS assignment_id, l_orderkey AS proposal_id,
@@ -51,7 +56,9 @@ MODEL = {
             'Unit ' || office_code AS office_desc, office_code AS unit_code,
             office_desc AS unit_desc,
             o_custkey - o_custkey % 2 AS prospect_id, 1000000 + o_custkey AS entity_id,
-            'DO' AS assignment_type, min(CAST(l_shipdate AS DATE)) AS start_date,
+            CASE WHEN (l_orderkey + l_suppkey) % 11 = 4 THEN 'AD' ELSE 'DO' END AS assignment_type,
+            CAST(l_suppkey % 4 AS VARCHAR) AS program_code, 'Program ' || l_suppkey % 4 AS program_desc,
+            min(CAST(l_shipdate AS DATE)) AS start_date,
             CASE WHEN max(l_linestatus) = 'F' THEN max(CAST(l_shipdate AS DATE)) + 365 END
                 AS stop_date,
             CASE WHEN max(l_linestatus) = 'O' THEN 'Y' ELSE 'N' END AS active_ind
@@ -119,7 +126,11 @@ MODEL = {
             'Prospect ' || (c_custkey - c_custkey % 2) AS prospect_name,
             CASE WHEN c_custkey % 6 = 0 THEN 'Y' WHEN c_custkey % 6 <= 3 THEN 'N' END
                 AS prospect_entity_primary_ind,
-            c_custkey % 2 AS active_ind_cnt
+            c_custkey % 2 AS active_ind_cnt,
+            CASE WHEN c_custkey % 6 = 5 THEN 'N' ELSE 'Y' END AS active_ind,
+            DATE '1995-01-01' + CAST(c_custkey % 6 AS INT) AS start_date,
+            CASE WHEN c_custkey % 6 = 5 THEN DATE '1999-12-31' END AS stop_date,
+            'X' || c_custkey AS crm_id
         FROM customer""",
     "date_dim": """
         SELECT CAST(d AS DATE) AS calendar_dt,
@@ -424,22 +435,40 @@ REPAIRED = """
             AND y.entity_id < x.entity_id) THEN 'N'
         ELSE 'Y' END AS primary_entity_revised
     FROM prospect x"""
-PROPOSAL_FACT = f"""
-    SELECT a.* EXCLUDE (prospect_id, entity_id, active_ind, start_date, stop_date, unit_code,
-            unit_desc),
+
+
+def _fact(proposals: str, kept: tuple) -> str:
+    return f"""
+    SELECT a.assignment_id, a.assignment_entity_id, a.proposal_id, a.assignment_first_name,
+        a.assignment_last_name, a.assignment_type, a.office_code, a.office_desc,
         a.active_ind AS assignment_active, a.start_date AS assignment_start_dt,
-        a.stop_date AS assignment_stop_dt, a.unit_code AS assignment_unit_code,
-        a.unit_desc AS assignment_unit_desc, p.prospect_id, p.active_ind AS proposal_active,
-        p.proposal_type, p.stage_code AS proposal_stage_code, p.start_dt AS proposal_start_dt,
-        p.stop_dt AS proposal_stop_dt, p.expected_date, p.initial_contribution_dt,
-        p.original_ask_amt, p.ask_amt, p.granted_amt, p.proposal_title, x.entity_id,
-        x.prospect_name, x.prospect_entity_primary_ind, x.active_ind_cnt, x.primary_entity_revised,
-        e.report_name, e.spouse_entity_id, e.capacity_rating_desc
+        a.stop_date AS assignment_stop_dt, a.program_code AS assignment_program_code,
+        a.program_desc AS assignment_program_desc, a.unit_code AS assignment_unit_code,
+        a.unit_desc AS assignment_unit_desc,
+        p.prospect_id, p.active_ind AS proposal_active, p.proposal_type,
+        p.stage_code AS proposal_stage_code, p.stage_desc AS proposal_stage_desc, p.stage_rank_code,
+        p.start_dt AS proposal_start_dt, p.stop_dt AS proposal_stop_dt, p.expected_date,
+        p.initial_contribution_dt, p.original_ask_amt, p.ask_amt, p.granted_amt, p.proposal_title,
+        p.program_code AS proposal_program_code, p.program_desc AS proposal_program_desc,
+        p.unit_code AS proposal_unit_code, p.unit_desc AS proposal_unit_desc,
+        p.crm_id AS proposal_crm_id, p.proposal_stage_begin_dt,
+        x.entity_id, x.prospect_name, x.prospect_entity_primary_ind, x.active_ind_cnt,
+        x.primary_entity_revised, x.active_ind AS prospect_active, x.start_date AS prospect_start_dt,
+        x.stop_date AS prospect_stop_dt, x.crm_id AS prospect_crm_id,
+        e.report_name, e.record_status_code, e.spouse_entity_id, e.capacity_rating_code,
+        e.capacity_rating_desc
     FROM (FROM assignment WHERE assignment_type = 'DO') a
-    JOIN (SELECT DISTINCT * EXCLUDE (entity_id, primary_ind) FROM proposal) p USING (proposal_id)
-    LEFT JOIN (FROM ({REPAIRED}) WHERE primary_entity_revised = 'Y') x
+    JOIN (SELECT * EXCLUDE (entity_id, primary_ind) FROM {proposals}) p USING (proposal_id)
+    LEFT JOIN (FROM ({REPAIRED}) WHERE primary_entity_revised IN {kept}) x
         ON x.prospect_id = p.prospect_id
     LEFT JOIN entity e ON e.entity_id = x.entity_id"""
+
+
+PROPOSAL_FACT = _fact(
+    """(SELECT DISTINCT * EXCLUDE (entity_id, primary_ind),
+        NULL AS entity_id, NULL AS primary_ind FROM proposal)""",
+    ("Y", "Y"),
+)
 SCOPED_PROPOSALS = """SELECT * FROM proposal_fact
     WHERE assignment_entity_id IN (SELECT fundraiser_entity_id FROM in_role)"""
 SCOPED_QUALIFICATIONS = """SELECT * FROM moves
@@ -618,12 +647,15 @@ FACT_COLUMNS = (
     "office_code office_desc assignment_active assignment_unit_code assignment_unit_desc "
     "proposal_id prospect_id proposal_active proposal_type proposal_stage_code proposal_title "
     "entity_id prospect_name prospect_entity_primary_ind active_ind_cnt primary_entity_revised "
-    "report_name spouse_entity_id capacity_rating_desc"
+    "report_name spouse_entity_id capacity_rating_desc assignment_program_code "
+    "assignment_program_desc proposal_program_code proposal_program_desc proposal_crm_id "
+    "proposal_stage_desc stage_rank_code proposal_unit_code proposal_unit_desc prospect_active "
+    "prospect_crm_id record_status_code capacity_rating_code"
 )
 FACT_MONEY = "original_ask_amt ask_amt granted_amt"
 FACT_DAYS = (
     "assignment_start_dt assignment_stop_dt proposal_start_dt proposal_stop_dt expected_date "
-    "initial_contribution_dt"
+    "initial_contribution_dt proposal_stage_begin_dt prospect_start_dt prospect_stop_dt"
 )
 PLANNED_ROWS = f"""(SELECT *, original_ask_amt AS target_ask,
     proposal_id AS target_ask_without_actual FROM portfolio WHERE {PLANNED})"""
@@ -663,6 +695,14 @@ QUERIES = {
         "ask_amt original_ask_amt",
         PORTFOLIO_DAYS,
     ),
+    "active_portfolio_filtered": _select(
+        f"""portfolio WHERE office_code IN {OFFICES} AND assignment_entity_id IN {PEOPLE}
+            AND assignment_entity_id IN (SELECT entity_id FROM ({ROLE_2000})
+                WHERE fundraiser_role IN ('Major Gift', 'Annual'))""",
+        PORTFOLIO_COLUMNS,
+        "ask_amt original_ask_amt",
+        PORTFOLIO_DAYS,
+    ),
     "planned_asks_by_fundraiser": _select(
         "by_fundraiser",
         "assignment_entity_id assignment_name office_code total_target_ask_cnt unit_target_ask_cnt",
@@ -692,7 +732,18 @@ QUERIES = {
         "assignment_entity_id office_code activity_rows " + CONTACT_COLUMNS,
         days="contact_date",
     ),
+    "portfolio_contacts_repeated": _select(
+        f"(FROM {CONTACT_PAIRS} JOIN range(1000000) copies(copy) ON copy < activity_rows)",
+        "assignment_entity_id " + CONTACT_COLUMNS,
+        days="contact_date",
+    ),
     "qualifications": CAMPUS_NET,
+    "qualifications_filtered": _net(
+        CAMPUS_KEYS,
+        CAMPUS_ROWS,
+        f"""a.office_code IN {OFFICES} AND {_included(EIGHT, "p.proposal_type = 'MG'")}""",
+        _excluded(NINE),
+    ),
     "qualification_exclusions": CAMPUS_OUT,
     "qualification_counts": f"""SELECT assignment_entity_id, office_code,
         count(DISTINCT proposal_id) AS qual_cnt FROM ({CAMPUS_NET})
@@ -734,6 +785,16 @@ QUERIES = {
         days="contact_date",
     ),
     "proposal_fact": _select("proposal_fact", FACT_COLUMNS, FACT_MONEY, FACT_DAYS),
+    "proposal_fact_whole": _select(
+        f"({_fact('proposal', ('Y', 'N'))})", FACT_COLUMNS, FACT_MONEY, FACT_DAYS
+    ),
+    "scoped_proposals_filtered": _select(
+        f"""scoped_proposals
+            WHERE assignment_unit_desc IN {UNITS} AND assignment_entity_id IN {PEOPLE}""",
+        FACT_COLUMNS,
+        FACT_MONEY,
+        FACT_DAYS,
+    ),
     "scoped_contacts": _select("scoped_contacts", ENRICHED_COLUMNS, days="contact_date"),
     "scoped_proposals": _select("scoped_proposals", FACT_COLUMNS, FACT_MONEY, FACT_DAYS),
     "scoped_qualifications": _select("scoped_qualifications", MOVES, times="qualification_date"),

@@ -76,7 +76,7 @@ class SampleTables:
             _donor("o_custkey").alias("entity_id"),
             _donor("o_custkey").alias("summary_entity_id"),
             _pair("o_custkey").alias("prospect_id"),
-            F.lit("Y").alias("primary_ind"),
+            F.when(key % 13 == 4, "N").otherwise("Y").alias("primary_ind"),
             F.lit(1).alias("primary_ind_cnt"),
             F.when(inactive, "N").otherwise("Y").alias("active_ind"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "ESP").otherwise("MG").alias(
@@ -95,14 +95,16 @@ class SampleTables:
             ),
             price.alias("original_ask_amt"),
             F.when(key % 3 == 0, zero).otherwise(price).alias("ask_amt"),
-            F.when(finished & (key % 5 == 4), price).otherwise(zero).alias("granted_amt"),
+            F.when(finished & ((key % 5 == 4) | (key % 4 == 2)), price)
+            .otherwise(zero)
+            .alias("granted_amt"),
             F.concat(F.lit("Plan "), _text(key)).alias("proposal_title"),
-            _none("string").alias("program_code"),
-            _none("string").alias("program_desc"),
+            _text(key % 3).alias("program_code"),
+            F.concat(F.lit("Program "), _text(key % 3)).alias("program_desc"),
             unit.alias("unit_code"),
             F.concat(F.lit("Unit "), unit).alias("unit_desc"),
-            _none("string").alias("crm_id"),
-            day.alias("proposal_stage_begin_dt"),
+            F.concat(F.lit("R"), _text(key)).alias("crm_id"),
+            F.date_add(day, (key % 50).cast("int")).alias("proposal_stage_begin_dt"),
         )
 
     def assignment(self) -> DataFrame:
@@ -139,12 +141,14 @@ class SampleTables:
                 _donor("o_custkey").alias("entity_id"),
                 F.concat(F.lit("F"), _text(F.col("nation"))).alias("assignment_first_name"),
                 F.col("s_name").alias("assignment_last_name"),
-                F.lit("DO").alias("assignment_type"),
+                F.when((F.col("order_id") + F.col("person")) % 11 == 4, "AD")
+                .otherwise("DO")
+                .alias("assignment_type"),
                 F.when(F.col("is_open"), "Y").otherwise("N").alias("active_ind"),
                 office.alias("office_code"),
                 described.alias("office_desc"),
-                _none("string").alias("program_code"),
-                _none("string").alias("program_desc"),
+                _text(F.col("person") % 4).alias("program_code"),
+                F.concat(F.lit("Program "), _text(F.col("person") % 4)).alias("program_desc"),
                 office.alias("unit_code"),
                 described.alias("unit_desc"),
                 F.col("first_day").alias("start_date"),
@@ -303,12 +307,12 @@ class SampleTables:
             _donor("c_custkey").alias("entity_id"),
             F.concat(F.lit("Prospect "), _text(_pair("c_custkey"))).alias("prospect_name"),
             F.when(sixth == 0, "Y").when(sixth <= 3, "N").alias("prospect_entity_primary_ind"),
-            F.lit("Y").alias("active_ind"),
+            F.when(sixth == 5, "N").otherwise("Y").alias("active_ind"),
             (_int("c_custkey") % 2).cast("int").alias("active_ind_cnt"),
-            F.lit("1995-01-01").cast("date").alias("start_date"),
-            _none("date").alias("stop_date"),
+            F.date_add(F.lit("1995-01-01").cast("date"), sixth.cast("int")).alias("start_date"),
+            F.when(sixth == 5, F.lit("1999-12-31").cast("date")).alias("stop_date"),
             _none("date").alias("expected_date"),
-            _none("string").alias("crm_id"),
+            F.concat(F.lit("X"), _text(_int("c_custkey"))).alias("crm_id"),
         )
 
     def date_dim(self) -> DataFrame:

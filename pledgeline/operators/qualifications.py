@@ -50,21 +50,28 @@ def stage_facts(
     the first and last day with an excluding stage.
     """
     code, day = F.col("stage_code"), F.to_date("stage_date")
-    in_qu = (code == "QU") & (day <= F.lit(end))
-    read = in_qu
-    measures = [F.min(F.when(in_qu, day)).alias("first_qu")]
+    flags = {"in_qu": (code == "QU") & (day <= F.lit(end))}
     for name, rule in rules.items():
-        exits = code.isin(list(rule.exclude))
+        flags[name + "_exits"] = code.isin(list(rule.exclude))
         moves = code.isin(list(rule.include)) & day.between(F.lit(start), F.lit(end))
-        read = read | exits | moves
+        flags[name + "_moves"] = moves
+    # events shrink to days before any list is made
+    days = (
+        stage.select("proposal_id", day.alias("day"), *[flag(f).alias(n) for n, f in flags.items()])
+        .filter(" or ".join(flags))
+        .groupBy("proposal_id", "day")
+        .agg(*[F.bool_or(n).alias(n) for n in flags])
+    )
+    measures = [F.min(F.when(F.col("in_qu"), F.col("day"))).alias("first_qu")]
+    for name in rules:
+        exits = F.when(F.col(name + "_exits"), F.col("day"))
         measures += [
-            F.min(F.when(exits, day)).alias(name + "_first_exit"),
-            F.max(F.when(exits, day)).alias(name + "_last_exit"),
-            F.collect_set(F.when(moves, day)).alias(name + "_moves"),
+            F.min(exits).alias(name + "_first_exit"),
+            F.max(exits).alias(name + "_last_exit"),
+            F.collect_list(F.when(F.col(name + "_moves"), F.col("day"))).alias(name + "_moves"),
         ]
     return (
-        stage.filter(read)
-        .groupBy("proposal_id")
+        days.groupBy("proposal_id")
         .agg(*measures)
         .filter(F.col("first_qu").isNotNull())
         .withColumns(
@@ -165,11 +172,15 @@ def _campus_status(
     offices: list[str] | None,
     plan_types: list[str] | None,
 ) -> DataFrame:
-    """Status per portfolio fundraiser, portfolio unit and proposal."""
+    """Status per portfolio fundraiser (with ``_units``, their portfolio units) and proposal."""
     in_offices = one_of(F.col("office_code"), offices)
-    units = portfolio.select(
-        "assignment_entity_id", F.col("office_code").alias("portfolio_office_code")
-    ).distinct()
+    # a fundraiser's portfolio units as one list, attached to the rows that survive
+    units = (
+        portfolio.select("assignment_entity_id", "office_code")
+        .distinct()
+        .groupBy("assignment_entity_id")
+        .agg(F.sort_array(F.collect_list(F.struct("office_code"))).alias("_units"))
+    )
     assigned = splittable_join(
         assignment.select(
             "assignment_entity_id", "office_code", "proposal_id", "start_date", "stop_date"
@@ -181,7 +192,7 @@ def _campus_status(
         assigned,
         stage,
         proposal,
-        ["assignment_entity_id", "portfolio_office_code", "proposal_id"],
+        ["assignment_entity_id", "_units", "proposal_id"],
         {"campus": CAMPUS},
         {"campus": both(one_of(F.col("proposal_type"), plan_types))},
         start,
@@ -190,7 +201,11 @@ def _campus_status(
         only=None
         if in_offices is None
         else assignment.filter(in_offices).select("proposal_id").distinct(),
-    ).withColumnRenamed("portfolio_office_code", "office_code")
+    )
+
+
+def _by_unit(status: DataFrame) -> DataFrame:
+    return status.select("assignment_entity_id", F.inline("_units"), "proposal_id")
 
 
 def qualifications(
@@ -212,9 +227,7 @@ def qualifications(
     status = _campus_status(
         portfolio, assignment, stage, proposal, start, end, offices, plan_types
     )
-    return status.filter("campus_included and not campus_excluded").drop(
-        "campus_included", "campus_excluded"
-    )
+    return _by_unit(status.filter("campus_included and not campus_excluded"))
 
 
 def qualification_exclusions(
@@ -231,7 +244,7 @@ def qualification_exclusions(
     assignment, stopped before the window whatever their stages, or died in QU.
     """
     status = _campus_status(portfolio, assignment, stage, proposal, start, end, None, None)
-    return status.filter("campus_excluded").drop("campus_included", "campus_excluded")
+    return _by_unit(status.filter("campus_excluded"))
 
 
 def qualification_counts(qualified: DataFrame) -> DataFrame:

@@ -17,9 +17,9 @@ PEOPLE = str(tuple(range(1, 60, 2)))
 
 MODEL = {
     "proposal": """
-        SELECT o_orderkey AS proposal_id, 1000000 + o_custkey AS entity_id,
+        SELECT o_orderkey AS proposal_id, xor(1000000 + o_custkey, partner) AS entity_id,
             o_custkey - o_custkey % 2 AS prospect_id,
-            CASE WHEN o_orderkey % 13 = 4 THEN 'N' ELSE 'Y' END AS primary_ind,
+            CASE WHEN partner = 1 OR o_orderkey % 13 = 4 THEN 'N' ELSE 'Y' END AS primary_ind,
             CASE WHEN o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderkey % 7 = 0)
                 THEN 'N' ELSE 'Y' END AS active_ind,
             CASE WHEN o_orderpriority = '1-URGENT' THEN 'ESP' ELSE 'MG' END AS proposal_type,
@@ -46,7 +46,8 @@ MODEL = {
             start_dt + CAST(o_orderkey % 50 AS INT) AS proposal_stage_begin_dt,
             CAST(o_orderkey % 3 AS VARCHAR) AS program_code,
             'Program ' || o_orderkey % 3 AS program_desc, 'R' || o_orderkey AS crm_id
-        FROM orders""",
+        FROM (SELECT *, unnest(CASE WHEN o_orderkey % 10 = 3 THEN [0, 1] ELSE [0] END) AS partner
+            FROM orders)""",
     "assignment": """
         SELECT l_orderkey * 100000 + l_suppkey AS assignment_id, l_orderkey AS proposal_id,
             l_suppkey AS assignment_entity_id, s_name AS assignment_last_name,

@@ -71,12 +71,15 @@ class SampleTables:
         )
         inactive = finished | ((F.col("o_orderstatus") == "O") & (key % 7 == 0))
         unit = _text(_int("o_custkey") % 5)
-        return self._read("orders").select(
+        # some proposals are shared with the partner of the donor's household
+        partners = F.when(key % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        orders = self._read("orders").withColumn("partner", F.explode(partners))
+        return orders.select(
             key.alias("proposal_id"),
-            _donor("o_custkey").alias("entity_id"),
+            _donor("o_custkey").bitwiseXOR(F.col("partner").cast("long")).alias("entity_id"),
             _donor("o_custkey").alias("summary_entity_id"),
             _pair("o_custkey").alias("prospect_id"),
-            F.when(key % 13 == 4, "N").otherwise("Y").alias("primary_ind"),
+            F.when((F.col("partner") == 1) | (key % 13 == 4), "N").otherwise("Y").alias("primary_ind"),
             F.lit(1).alias("primary_ind_cnt"),
             F.when(inactive, "N").otherwise("Y").alias("active_ind"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "ESP").otherwise("MG").alias(

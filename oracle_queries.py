@@ -33,10 +33,12 @@ MODEL = {
                 AS stop_dt,
             CASE WHEN o_orderkey % 4 <> 0 THEN start_dt + CAST(180 + o_orderkey % 90 AS INT) END
                 AS expected_date,
-            CASE WHEN o_orderkey % 3 <> 0 THEN start_dt + CAST(o_orderkey % 120 AS INT) END
+            CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 8 <> 5
+                THEN start_dt + CAST(o_orderkey % 120 AS INT) END
                 AS initial_contribution_dt,
-            CAST(o_totalprice AS DECIMAL(18,2)) AS original_ask_amt,
-            CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS DECIMAL(18,2))
+            CASE WHEN o_orderkey % 9 = 0 THEN CAST(0 AS DECIMAL(18,2))
+                ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS original_ask_amt,
+            CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 8 = 6 THEN CAST(0 AS DECIMAL(18,2))
                 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS ask_amt,
             CASE WHEN o_orderstatus = 'F' AND (o_orderkey % 5 = 4 OR o_orderkey % 4 = 2)
                 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END

@@ -93,11 +93,11 @@ class SampleTables:
             F.when(key % 4 != 0, F.date_add(day, (180 + key % 90).cast("int"))).alias(
                 "expected_date"
             ),
-            F.when(key % 3 != 0, F.date_add(day, (key % 120).cast("int"))).alias(
+            F.when((key % 3 != 0) & (key % 8 != 5), F.date_add(day, (key % 120).cast("int"))).alias(
                 "initial_contribution_dt"
             ),
-            price.alias("original_ask_amt"),
-            F.when(key % 3 == 0, zero).otherwise(price).alias("ask_amt"),
+            F.when(key % 9 == 0, zero).otherwise(price).alias("original_ask_amt"),
+            F.when((key % 3 == 0) | (key % 8 == 6), zero).otherwise(price).alias("ask_amt"),
             F.when(finished & ((key % 5 == 4) | (key % 4 == 2)), price)
             .otherwise(zero)
             .alias("granted_amt"),

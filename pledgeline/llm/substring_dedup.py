@@ -37,7 +37,7 @@ from pledgeline.llm.common import shared_folder, stored, text_or_empty
 WINDOW = 35
 SEED = 8
 #: Documents in one batch that a task hands back.
-BATCH = 256
+BATCH = 128
 
 #: A row is known by its id and this hash of its text, as ids may be null or occur twice.
 KEY = ["doc_id", "text_hash"]
@@ -126,21 +126,41 @@ def _anchors(window: int, seed: int):
     return run
 
 
+def _pairs(column: pa.ListArray, one: str, two: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two integer fields of each list of structs; empty for null lists."""
+    result = []
+    for row in column:
+        held = row.values
+        if held is None:
+            result.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        else:
+            fields = [held.field(name).to_numpy(zero_copy_only=False) for name in (one, two)]
+            result.append((fields[0].astype(np.int64), fields[1].astype(np.int64)))
+    return result
+
+
 def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                at = np.concatenate(
-                    [np.arange(r["first"], r["last"] + 1) for r in row["ranges"]]
-                )
-                one, two = windows_of(_word_hashes(row["text"].encode().split()), at, window)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                begins, ones, twos = [], [], []
+                ranges = _pairs(part.column(3), "first", "last")
+                for text, (first, last) in zip(part.column(2), ranges):
+                    held = last - first + 1
+                    begin = np.repeat(first - np.cumsum(held) + held, held) + np.arange(held.sum())
+                    one, two = windows_of(_word_hashes(text.as_py().encode().split()), begin, window)
+                    begins.append(begin)
+                    ones.append(one)
+                    twos.append(two)
+                rows = pa.array(np.repeat(np.arange(len(begins)), [len(b) for b in begins]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["doc_id"]] * len(at), pa.int64()),
-                        pa.array([row["text_hash"]] * len(at), pa.int64()),
-                        pa.array(at.astype(np.int32)),
-                        pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int64)),
+                        part.column(0).take(rows),
+                        part.column(1).take(rows),
+                        pa.array(np.concatenate(begins).astype(np.int32)),
+                        pa.array(np.concatenate(ones).view(np.int64)),
+                        pa.array(np.concatenate(twos).view(np.int64)),
                     ],
                     ["doc_id", "text_hash", "at", "w1", "w2"],
                 )
@@ -148,26 +168,25 @@ def _windows(window: int):
     return run
 
 
-def _covered(n: int, spans: list[dict] | None) -> np.ndarray:
-    steps = np.zeros(n + 1, np.int64)
-    for s in spans or []:
-        steps[s["begin"]] += 1
-        steps[s["until"]] -= 1
+def _covered(n: int, begin: np.ndarray, until: np.ndarray) -> np.ndarray:
+    steps = np.bincount(begin, minlength=n + 1) - np.bincount(until, minlength=n + 1)
     return np.cumsum(steps[:n]) > 0
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, BATCH):
+            part = batch.slice(at, BATCH)
             rows = []
-            for row in batch.slice(at, BATCH).to_pylist():
-                words = row["text"].encode().split()
-                gone = _covered(len(words), row["spans"])
+            spans = _pairs(part.column(2), "begin", "until")
+            for doc_id, text, (begin, until) in zip(part.column(0), part.column(1), spans):
+                words = text.as_py().encode().split()
+                gone = _covered(len(words), begin, until)
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
                 kept = [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
                 rows.append(
                     {
-                        "doc_id": row["doc_id"],
+                        "doc_id": doc_id.as_py(),
                         "n_words": len(words),
                         "n_removed": len(words) - len(kept),
                         "spans": [
@@ -177,8 +196,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "kept": b" ".join(kept).decode(),
                     }
                 )
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, _KEPT_ARROW)
+            yield pa.RecordBatch.from_pylist(rows, _KEPT_ARROW)
 
 
 _KEPT_ARROW = pa.schema(

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # A word is a run of characters other than these six white-space characters (fixed by contract).
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Spark's setting for removing shuffle files when a query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables that the driver and every executor can see.
@@ -42,7 +45,13 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     their own, so that adaptive execution can split hot join keys.
     """
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

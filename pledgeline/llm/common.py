@@ -62,14 +62,15 @@ def text_or_empty(name: str = "text") -> Column:
 def only_once(docs: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``docs`` whose keys (nulls equal) are in ``chosen``; of repeated rows, one.
 
-    ``chosen`` has each combination of keys once.
+    ``chosen`` has each combination of keys once. Columns named ``_llm_…`` are the operators' own.
     """
-    right = chosen.select(*[F.col(k).alias("_chosen_" + k) for k in keys])
-    same = [F.col(k).eqNullSafe(F.col("_chosen_" + k)) for k in keys]
-    first = Window.partitionBy(*keys).orderBy(F.lit(0))
+    # as one struct the keys are never null, and the join's exchange serves the window too
+    key = F.struct(*keys)
+    first = Window.partitionBy("_llm_key").orderBy(F.lit(0))
     return (
-        docs.join(right, same, "left_semi")
-        .withColumn("_repeat", F.row_number().over(first))
-        .filter("_repeat = 1")
-        .drop("_repeat")
+        docs.withColumn("_llm_key", key)
+        .join(chosen.select(key.alias("_llm_key")), "_llm_key", "left_semi")
+        .withColumn("_llm_repeat", F.row_number().over(first))
+        .filter("_llm_repeat = 1")
+        .select(*docs.columns)
     )

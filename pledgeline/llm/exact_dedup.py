@@ -208,6 +208,6 @@ def exact_duplicates(docs: DataFrame, history: DataFrame | None = None) -> DataF
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = exact_duplicates(docs).filter("kept").select("doc_id", F.hex("digest").alias("_digest"))
-    marked = docs.withColumn("_digest", F.upper(F.sha2(text_or_empty(), 256)))
-    return only_once(marked, kept, ["doc_id", "_digest"]).drop("_digest")
+    kept = exact_duplicates(docs).filter("kept").select("doc_id", F.hex("digest").alias("_llm_digest"))
+    marked = docs.withColumn("_llm_digest", F.upper(F.sha2(text_or_empty(), 256)))
+    return only_once(marked, kept, ["doc_id", "_llm_digest"]).drop("_llm_digest")

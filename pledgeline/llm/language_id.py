@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS, HELD_OUT = 4, 2
@@ -338,7 +338,7 @@ def label(model: Model, texts: list[str], evidence: _Evidence | None = None):
     ]
 
 
-def fold() -> F.Column:
+def fold() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS).cast("long"))
 
 

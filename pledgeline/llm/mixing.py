@@ -293,18 +293,18 @@ def taken_documents(docs: DataFrame) -> DataFrame:
     have both in common, each gets the count of one of them.
     """
     counts = mix(docs).select(
-        F.col("doc_id").alias("_id"),
-        F.col("source").alias("_of"),
-        F.coalesce(F.round(F.try_divide("taken", "size")), F.lit(0)).cast("int").alias("_times"),
+        F.col("doc_id").alias("_llm_id"),
+        F.col("source").alias("_llm_of"),
+        F.coalesce(F.round(F.try_divide("taken", "size")), F.lit(0)).cast("int").alias("_llm_times"),
     )
-    alike = Window.partitionBy("_id", "_of").orderBy("_times")
-    counts = counts.withColumn("_number", F.row_number().over(alike)).filter("_times > 0")
+    alike = Window.partitionBy("_llm_id", "_llm_of").orderBy("_llm_times")
+    counts = counts.withColumn("_llm_number", F.row_number().over(alike)).filter("_llm_times > 0")
     same_row = Window.partitionBy("doc_id", "source").orderBy(F.lit(0))
-    numbered = docs.withColumn("_row", F.row_number().over(same_row))
+    numbered = docs.withColumn("_llm_row", F.row_number().over(same_row))
     matches = (
-        numbered["doc_id"].eqNullSafe(counts["_id"])
-        & numbered["source"].eqNullSafe(counts["_of"])
-        & (numbered["_row"] == counts["_number"])
+        numbered["doc_id"].eqNullSafe(counts["_llm_id"])
+        & numbered["source"].eqNullSafe(counts["_llm_of"])
+        & (numbered["_llm_row"] == counts["_llm_number"])
     )
-    each = F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")
-    return numbered.join(counts, matches).select(*docs.columns, each).drop("_time")
+    each = F.explode(F.sequence(F.lit(1), F.col("_llm_times"))).alias("_llm_time")
+    return numbered.join(counts, matches).select(*docs.columns, each).drop("_llm_time")

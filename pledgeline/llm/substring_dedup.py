@@ -284,11 +284,13 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     one space.
     """
     folder = shared_folder(docs.sparkSession)
-    spans = (
+    spans = stored(
         repeated_spans(docs, folder, window, seed)
         .groupBy(*KEY)
         .agg(F.collect_list(F.struct("begin", "until")).alias("spans"))
-        .select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "spans")
+        .select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "spans"),
+        folder,
+        "spans",
     )
     texts = _keyed(docs)
     return (

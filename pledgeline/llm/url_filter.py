@@ -166,7 +166,8 @@ def _with_rules(urls: DataFrame, rules: DataFrame, folder: str, name: str) -> Da
         F.col("host").alias("_host"), F.col("path").alias("_path"), "rule", "verdict"
     )
     same = (urls["host"] == found["_host"]) & (urls["path"] == found["_path"])
-    return urls.join(found, same, "left").drop("_host", "_path")
+    # as many rows as URLs, and far larger in memory than as a file: not to be broadcast
+    return urls.join(found.hint("merge"), same, "left").drop("_host", "_path")
 
 
 def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
@@ -204,7 +205,7 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     )
     urls = stored(urls, folder, "urls")
     judged = stored(_with_rules(urls, rules, folder, "pages"), folder, "judged")
-    return judged.join(decided, judged["alias"] == decided["node"], "left").select(
+    return judged.join(decided.hint("merge"), judged["alias"] == decided["node"], "left").select(
         "page_id",
         "host",
         "path",

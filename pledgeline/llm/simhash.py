@@ -19,7 +19,9 @@ three bits, so the components are the same as with all pairs.
 Defined results: a text that is null or has no words has fingerprint zero, linked like any other. A
 text of fewer than three words has one shingle, all its words. Rows with equal ids or texts each give
 a row. ``component_id`` ignores null ids; it is null if all ids of a component are. Columns other than
-``doc_id`` and ``text`` are ignored.
+``doc_id`` and ``text`` are ignored. Of each component ``one_of_each`` keeps the document with the
+smallest id, a null id being the largest, and among equal ids the one with the smallest SHA-256 (null
+texts first); it is known by id and digest, so equal or null ids of several components don't meet.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pledgeline.llm.common import only_once, shared_folder, stored
@@ -60,17 +62,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the ``carried`` columns and ``fp``, the fingerprint as a signed long."""
+    kept = ["doc_id", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(text.as_py(), shingle) for text in batch.column(1)]
+            fps = [fingerprint(text.as_py(), shingle) for text in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"]
+                [*batch.columns[:-1], pa.array(fps, pa.int64())], [*kept, "fp"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    schema = docs.select(*kept).withColumn("fp", F.lit(0).cast("long")).schema
+    return docs.select(*kept, "text").mapInArrow(run, schema)
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -142,21 +146,26 @@ def links(distinct: DataFrame, folder: str, radius: int = RADIUS, max_bucket: in
     return pairs.union(stars.select(F.col("fp").alias("src"), F.col("centre").alias("dst")))
 
 
+def _rooted(prints: DataFrame, least: Column, folder: str, radius: int, max_bucket: int) -> DataFrame:
+    """``fp``, ``least`` (the aggregate of its rows) and ``root`` of each distinct fingerprint."""
+    distinct = stored(prints.groupBy("fp").agg(least.alias("least")), folder, "distinct")
+    roots = components(links(distinct.select("fp"), folder, radius, max_bucket), folder)
+    return stored(
+        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")
+        ),
+        folder,
+        "rooted",
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, max_bucket: int = MAX_BUCKET
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``fp`` and ``component_id``, the smallest id reachable."""
     folder = shared_folder(docs.sparkSession)
     prints = stored(fingerprints(docs, shingle), folder, "prints")
-    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), folder, "distinct")
-    roots = components(links(least.select("fp"), folder, radius, max_bucket), folder)
-    rooted = stored(
-        least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        ),
-        folder,
-        "rooted",
-    )
+    rooted = _rooted(prints, F.min("doc_id"), folder, radius, max_bucket)
     smallest = stored(
         rooted.groupBy("root").agg(F.min("least").alias("component_id")), folder, "smallest"
     )
@@ -168,5 +177,12 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each component, with all its columns."""
-    classes = near_duplicates(docs).select("component_id").distinct()
-    return only_once(docs, classes.withColumnRenamed("component_id", "doc_id"), ["doc_id"])
+    folder = shared_folder(docs.sparkSession)
+    digest = F.coalesce(F.unhex(F.sha2("text", 256)), F.lit(b""))
+    marked = docs.withColumn("_llm_digest", digest)
+    prints = stored(fingerprints(marked, carried=("_llm_digest",)), folder, "prints")
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_llm_digest")
+    rooted = _rooted(prints, F.min(rank), folder, RADIUS, MAX_BUCKET)
+    # equal texts have equal fingerprints, so no id and digest is chosen for two components
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    return only_once(marked, chosen, ["doc_id", "_llm_digest"]).drop("_llm_digest")

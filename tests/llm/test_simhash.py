@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -71,6 +72,26 @@ def test_empty_and_kept(spark):
     assert bag([r.doc_id] for r in kept.collect()) == bag({(r[2],) for r in expected(rows())})
 
 
+def test_one_of_each_component_whatever_its_ids(spark):
+    draw = random.Random(11)
+    a, b, c, d, e, f = (" ".join(f"w{draw.randrange(9999)}" for _ in range(400)) for _ in range(6))
+    near_b, near_c = b + " end", c + " end"
+    assert [(naive(x) ^ naive(y)).bit_count() <= 3 for x, y in ((b, near_b), (c, near_c))] == [True, True]
+    table = [
+        # unrelated texts without an id, one of them twice
+        *[(None, a), (None, d), (None, d)],
+        # one id with three unrelated texts, of which one is a near copy
+        *[(5, e), (5, f), (5, near_b), (3, b)],
+        # near copies with and without an id, or with the same id
+        *[(None, near_b), (9, c), (9, near_c), (None, None), (None, "")],
+    ]
+    least_c = min(c, near_c, key=lambda text: hashlib.sha256(text.encode()).digest())
+    expect = bag([(None, a), (None, d), (5, e), (5, f), (3, b), (9, least_c), (None, None)])
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    for parts in (1, 3):
+        assert bag(simhash.one_of_each(docs.repartition(parts)).collect()) == expect
+
+
 def test_components(spark):
     draw = random.Random(1)
     path = [(k, k + 1) for k in range(100, 160)]

@@ -6,8 +6,10 @@ article (menus, forms, scripts and so on by element or role, adverts and notices
 and id) have ratio zero. The ratios are smoothed along the page by a Gaussian, and lines above one
 standard deviation of the smoothed ratios, or all with text on pages where nothing stands out, form the
 content clusters. The region is the element with the article: ``article`` or ``main`` if most of the
-clusters' text lies in such elements, else the innermost element with most of it. Its lines from the
-first to the last that belong to it are the main text, short paragraphs and headings included.
+clusters' text lies in such elements, else the innermost element that holds all of it, so that no
+content line is left out. In an ``article`` or ``main`` all lines are the main text, and the clusters
+decide no more; in another region all lines from the first to the last content line, and those before
+and after them that are not mostly links. Short paragraphs, lists and headings are included.
 
 Defined results: null and empty html, and pages without text, give an empty text. Unclosed and
 misnested elements end with their parent. Character references are decoded, white space (as ``str.split``
@@ -27,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Width of the Gaussian in lines, and the share of the clusters' text that a region has to hold.
+#: Width of the Gaussian in lines, and the share of the clusters' text that makes ``article`` or ``main``
+#: elements the region.
 SIGMA = 1.5
 MOST = 0.6
 #: Pages in one batch that a task hands back.
@@ -222,20 +225,17 @@ def content_lines(lines: list[Line]) -> np.ndarray:
 
 
 def _region(lines: list[Line], chosen: np.ndarray, articles: set[int]) -> list[Line]:
-    weight = {}
-    total = 0
-    for line, wanted in zip(lines, chosen):
-        if wanted:
-            total += len(line.text)
-            for number in line.inside:
-                weight[number] = weight.get(number, 0) + len(line.text)
+    total = sum(len(n.text) for n, c in zip(lines, chosen) if c)
     in_articles = sum(
         len(n.text) for n, c in zip(lines, chosen) if c and not articles.isdisjoint(n.inside)
     )
     if in_articles >= MOST * total:
         return [n for n in lines if not n.apart and not articles.isdisjoint(n.inside)]
-    holding = [number for number, held in weight.items() if held >= MOST * total]
-    innermost = max(holding, default=None)
+    holding = None
+    for line, wanted in zip(lines, chosen):
+        if wanted:
+            holding = set(line.inside) if holding is None else holding.intersection(line.inside)
+    innermost = max(holding or (), default=None)
     inside = [
         k for k, n in enumerate(lines) if not n.apart and (innermost is None or innermost in n.inside)
     ]

@@ -37,6 +37,27 @@ def test_main_text(html):
     assert html_extract.main_text(html) == CASES[html]
 
 
+PAGE = "<div id=top>{0}</div><div id=post>{1}</div><div class=sidebar><p>{2}</p></div>"
+ITEMS = [f"Item {k} of a list, with as many words as the items of a list may have. " * 2 for k in range(10)]
+FOUR, TEN = ("x" * 39 + " ") * 10, ("y" * 39 + " ") * 25
+
+#: Nested articles without ``article`` or ``main``, with their lines.
+NESTED = {
+    f"<h1>T</h1><p>{FOUR}</p><section><p>{TEN}</p></section>": ["T", FOUR, TEN],
+    f"<section><p>{TEN}</p></section><section><h2>S</h2><p>{FOUR}</p></section>": [TEN, "S", FOUR],
+    f"<p>{LONG}</p><ul>{''.join(f'<li>{i}' for i in ITEMS)}</ul><p>{LONG}</p>": [LONG, *ITEMS, LONG],
+    f"<div><p>{LONG}</p><p>{LONG}</p></div><div><p>{LONG}</p></div>": [LONG] * 3,
+    f"<p>{FOUR}</p><blockquote><p>{TEN}</p></blockquote><p>Tiny.</p><p>{FOUR}</p>": [FOUR, TEN, "Tiny.", FOUR],
+    f"<div><p>{TEN}</p></div><table><tr><td>{FOUR}</table>": [TEN, FOUR],
+}
+
+
+@pytest.mark.parametrize("html", NESTED, ids=range(len(NESTED)))
+def test_nested_regions_lose_no_line(html):
+    got = html_extract.main_text(PAGE.format(MENU, html, LONG))
+    assert got.split("\n\n") == [line.strip() for line in NESTED[html]]
+
+
 def test_very_long_pages():
     text = html_extract.main_text("<article>" + "<p>word</p>" * 50_000 + "</article>")
     assert text.count("word") == 50_000

@@ -15,8 +15,9 @@ may hold any share of the pages: joins back to the pages are between written tab
 execution splits.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path, no rule and no alias,
-and is allowed. Null html has no links. Links to other schemes than http(s) are ignored, and an alias
-is known by host, path and query, so that scheme and fragment make no difference. Rows with equal ids
+and is allowed. Null html has no links. Links to other schemes than http(s) are ignored. Relative
+links lose their ``.`` and ``..`` segments; URLs written in full are compared as they are. An alias is
+known by host, path and query, so that scheme and fragment make no difference. Rows with equal ids
 or URLs each give a row. Columns other than ``page_id``, ``url`` and ``html`` are ignored.
 """
 
@@ -93,6 +94,24 @@ def _resolved() -> Column:
     )
 
 
+def _without_dots(url: Column) -> Column:
+    """The URL without ``.`` and ``..`` segments in its path (RFC 3986, 5.2.4)."""
+    segments = F.split(F.regexp_extract(url, r"^http://[^/?#]*/([^?#]*)", 1), "/", -1)
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(s == ".", kept)
+        .otherwise(F.concat(kept, F.array(s))),
+        # a path that ends in dots is that of a folder
+        lambda kept: F.when(
+            F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))
+        ).otherwise(kept),
+    )
+    site, tail = F.regexp_extract(url, "^([^?#]*?//[^/?#]*/)", 1), F.regexp_extract(url, r"(?s)^[^?#]*(.*)", 1)
+    return F.concat(site, F.array_join(kept, "/"), tail)
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """``from_url, to_url`` of the pages' canonical links and refreshing redirects."""
     # only head tags that are neither in a comment nor in a script
@@ -133,7 +152,14 @@ def page_links(pages: DataFrame) -> DataFrame:
         F.regexp_replace(F.trim("target"), "&amp;", "&").alias("target"),
         F.regexp_extract("path", r"(?s)^(.*/)", 1).alias("folder"),
     )
-    return absolute.select("from_url", _resolved().alias("to_url")).dropna()
+    # URLs in full and those of the page's own path stay as they are written
+    relative = ~F.col("target").rlike(r"(?i)^https?://|^\?")
+    links = absolute.select("from_url", _resolved().alias("to_url"), relative.alias("relative")).dropna()
+    dotted = F.col("relative") & F.col("to_url").rlike(r"^http://[^/?#]*/([^?#]*/)?\.\.?([/?#]|$)")
+    return links.select(
+        "from_url",
+        F.when(dotted, _without_dots(F.col("to_url"))).otherwise(F.col("to_url")).alias("to_url"),
+    )
 
 
 def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:

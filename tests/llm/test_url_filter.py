@@ -103,3 +103,23 @@ def test_redirect_table_and_no_rules(spark):
 
 def test_no_pages(spark):
     assert judged(spark, []) == []
+
+
+def test_dot_segments_of_relative_links(spark):
+    targets = {
+        "../a": "/a", "./b": "/d/b", ".": "/d/", "..": "/", "../../../a?x=../y#/../z": "/a?x=../y#/../z",
+        "/x/./y/../z/": "/x/z/", "/x//../y": "/x/y", "c/..": "/d/", "..c/.d": "/d/..c/.d", "?../a": "/d/e?../a",
+        "//h/d/../a": "/a", "e?./": "/d/e?./", "http://h/d/../a": "/d/../a",
+    }
+    pages = [(k, "http://h/d/e", f'<link rel="canonical" href="{t}">') for k, t in enumerate(targets)]
+    links = url_filter.page_links(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert bag(links.select("to_url").collect()) == bag((f"http://h{path}",) for path in targets.values())
+    pages = [
+        (1, "http://h/d/e", '<link rel=canonical href="../a">'),
+        (2, "http://h/a", ""),
+        (3, "http://h/d/f", '<meta http-equiv=refresh content="0; url=./g">'),
+        (4, "http://h/d/g", ""),
+    ]
+    rules = url_filter.rule_table(spark, [("block", "h", "/a"), ("block", "h", "/d/f")])
+    judged = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), rules)
+    assert {r.page_id: (r.verdict, r.aliases) for r in judged.collect()} == dict.fromkeys((1, 2, 3, 4), ("block", True))

@@ -13,6 +13,7 @@ from pledgeline.llm import (
     exact_dedup,
     html_extract,
     language_id,
+    minhash,
     mixing,
     quality_rules,
     simhash,
@@ -101,6 +102,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 def _sql_attribute(name: str) -> str:
@@ -231,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op13_minhash_near_dedup": op13_minhash_near_dedup,
     }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pledgeline.llm import (
     bpe,
+    conversation_repair,
     exact_dedup,
     html_extract,
     language_id,
@@ -20,6 +21,7 @@ from pledgeline.llm import (
     substring_dedup,
     token_count,
     url_filter,
+    whitening,
 )
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -102,6 +104,14 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair(_table(spark, folder, "conversations"))
+
+
 def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
@@ -236,6 +246,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_minhash_near_dedup": op13_minhash_near_dedup,
     }
 

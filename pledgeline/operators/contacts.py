@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pledgeline.functions.fiscal import as_date
 from pledgeline.functions.values import display_name
+from pledgeline.plans.membership import bitmap, may_hold
 from pledgeline.plans.skew import splittable_join
 
 
@@ -77,11 +78,20 @@ def contacts_enriched(
 
 
 def contacts_in_role(contacts: DataFrame, roles: DataFrame) -> DataFrame:
-    """Contacts whose credited person or author is in ``roles``, each contact once."""
+    """Contacts whose credited person or author is in ``roles``, each contact once.
+
+    A bitmap of the role's people drops nearly all other contacts where they are read; what is left is
+    checked by joins.
+    """
     columns = contacts.columns
     people = roles.select("fundraiser_entity_id").distinct()
-    rows = contacts
-    for key, mark in (("contact_credit_entity_id", "_credit"), ("author_entity_id", "_author")):
+    words = bitmap(people)
+    keys = {"contact_credit_entity_id": "_credit", "author_entity_id": "_author"}
+    possible = F.lit(False)
+    for key in keys:
+        possible = possible | may_hold(words, F.col(key))
+    rows = contacts.filter(possible)
+    for key, mark in keys.items():
         marked = people.select(F.col("fundraiser_entity_id").alias(key), F.lit(True).alias(mark))
         rows = splittable_join(rows, marked, [key], "left")
     return rows.filter(F.col("_credit") | F.col("_author")).select(*columns)

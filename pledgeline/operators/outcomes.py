@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pledgeline.functions.fiscal import as_date
@@ -14,10 +14,13 @@ from pledgeline.operators.qualifications import (
     DISQUALIFIED,
     POSITIVE,
     StageRule,
+    assignment_flags,
+    proposal_facts,
     qualification_status,
+    stage_facts,
 )
 from pledgeline.operators.roles import with_record_type
-from pledgeline.plans.skew import splittable_join
+from pledgeline.plans.skew import largest_per_key, splittable_join
 
 # a fundraiser with no active assignment elsewhere counts as having left there on this day
 NEVER_ELSEWHERE = dt.date(1930, 1, 1)
@@ -254,6 +257,44 @@ def unit_outcomes(
     )
 
 
+def _assigned_in_window(
+    dated_assignment: DataFrame,
+    unit: str,
+    start: dt.date | str,
+    end: dt.date | str,
+    as_of: dt.date | str,
+    fundraisers: list[int] | None,
+) -> DataFrame:
+    first, last, now = (F.lit(as_date(d)) for d in (start, end, as_of))
+    return dated_assignment.withColumn(
+        "_ended", F.coalesce(F.col("assignment_end_dt"), now)
+    ).filter(
+        both(
+            F.col("assignment_begin_dt") <= last,
+            F.col("_ended") >= first,
+            F.col("office_assigned_to_cd") == unit,
+            one_of(F.col("assigned_to_entity_id_nbr"), fundraisers),
+        )
+    )
+
+
+def _open_in_window(
+    proposal: DataFrame,
+    start: dt.date | str,
+    end: dt.date | str,
+    as_of: dt.date | str,
+    plan_types: list[str] | None,
+) -> DataFrame:
+    first, last, now = (F.lit(as_date(d)) for d in (start, end, as_of))
+    return proposal.filter(
+        both(
+            F.col("start_dt") <= last,
+            F.coalesce(F.col("stop_dt"), now) >= first,
+            one_of(F.col("proposal_type"), plan_types),
+        )
+    )
+
+
 def window_portfolio(
     dated_assignment: DataFrame,
     proposal: DataFrame,
@@ -267,54 +308,56 @@ def window_portfolio(
     """Proposals of a unit open in the window with the fundraisers assigned in the window.
 
     Both sides are aggregated before they meet: the proposal columns do not depend on the assignment
-    nor the assignment dates on the proposal.
+    nor the assignment dates on the proposal. Texts are grouping keys first, so that rows are combined
+    by hash before the shuffle; the largest of each is taken among the few that are left.
     """
-    first, last, now = (F.lit(as_date(d)) for d in (start, end, as_of))
-    ended = F.coalesce(F.col("assignment_end_dt"), now)
     assigned = (
-        dated_assignment.filter(
-            both(
-                F.col("assignment_begin_dt") <= last,
-                ended >= first,
-                F.col("office_assigned_to_cd") == unit,
-                one_of(F.col("assigned_to_entity_id_nbr"), fundraisers),
-            )
-        )
+        _assigned_in_window(dated_assignment, unit, start, end, as_of, fundraisers)
         .groupBy("proposal_id", "assigned_to_entity_id_nbr")
         .agg(
             F.min("assignment_begin_dt").alias("assign_begin_dt"),
-            F.max(ended).alias("assign_end_dt"),
+            F.max("_ended").alias("assign_end_dt"),
         )
     )
-    held = (
-        proposal.filter(
-            both(
-                F.col("start_dt") <= last,
-                F.coalesce(F.col("stop_dt"), now) >= first,
-                one_of(F.col("proposal_type"), plan_types),
-            )
-        )
-        .groupBy("proposal_id")
-        .agg(
-            F.max("prospect_id").alias("prospect_id"),
-            F.max("stage_code").alias("stage"),
-            F.max("stage_desc").alias("stage_desc"),
-            F.max("stage_rank_code").alias("stage_rank"),
-            F.max("start_dt").alias("proposal_begin_dt"),
-            F.max("proposal_title").alias("proposal_title"),
-            F.max("original_ask_amt").alias("target_ask"),
-            F.max("expected_date").alias("target_date"),
-            F.max("ask_amt").alias("actual_ask"),
-            F.max("initial_contribution_dt").alias("actual_date"),
-            F.max("granted_amt").alias("commit_amt"),
-            F.max("stop_dt").alias("commit_dt"),
-            F.max(F.datediff(now, F.col("proposal_stage_begin_dt"))).alias("days_in_stage"),
-        )
+    measures = {
+        "prospect_id": F.col("prospect_id"),
+        "proposal_begin_dt": F.col("start_dt"),
+        "target_ask": F.col("original_ask_amt"),
+        "target_date": F.col("expected_date"),
+        "actual_ask": F.col("ask_amt"),
+        "actual_date": F.col("initial_contribution_dt"),
+        "commit_amt": F.col("granted_amt"),
+        "commit_dt": F.col("stop_dt"),
+        "days_in_stage": F.datediff(F.lit(as_date(as_of)), F.col("proposal_stage_begin_dt")),
+    }
+    texts = {
+        "stage": "stage_code",
+        "stage_desc": "stage_desc",
+        "stage_rank": "stage_rank_code",
+        "proposal_title": "proposal_title",
+    }
+    alike = (
+        _open_in_window(proposal, start, end, as_of, plan_types)
+        .groupBy("proposal_id", *[F.col(c).alias(name) for name, c in texts.items()])
+        .agg(*[F.max(c).alias(name) for name, c in measures.items()])
     )
+    held = largest_per_key(alike, "proposal_id", [*measures, *texts])
     return splittable_join(assigned, held, ["proposal_id"]).select(
         "proposal_id",
         "assigned_to_entity_id_nbr",
-        *[c for c in held.columns if c != "proposal_id"],
+        "prospect_id",
+        "stage",
+        "stage_desc",
+        "stage_rank",
+        "proposal_begin_dt",
+        "proposal_title",
+        "target_ask",
+        "target_date",
+        "actual_ask",
+        "actual_date",
+        "commit_amt",
+        "commit_dt",
+        "days_in_stage",
         "assign_begin_dt",
         "assign_end_dt",
     )
@@ -338,65 +381,76 @@ def total_qualifications(
     """Qualified proposals of a unit with prospect, manager and the month of their latest move.
 
     Exclusion works on whole proposals: one excluded assignment of a portfolio fundraiser drops the
-    proposal for all. The set of qualified proposals is found first; what has a ``proposal_id`` is
-    reduced to it before it is aggregated or joined.
+    proposal for all. Every input is read once (proposals for their facts, for the portfolio and for the
+    description): one pass over the assignments finds the qualified proposals with their prospects and
+    latest move, and that small set then meets the descriptions, before anything of them is aggregated.
     """
-    first, last = (F.lit(as_date(d)) for d in (start, end))
-    portfolio = window_portfolio(
-        dated_assignment, proposal, unit, start, end, as_of, fundraisers, plan_types
-    )
-    in_portfolio = (
-        portfolio.select(F.col("assigned_to_entity_id_nbr").alias("assignment_entity_id"))
+    first, last = as_date(start), as_date(end)
+    rules, accepted = {"campus": CAMPUS}, {"campus": F.col("primary_ind") == "Y"}
+    # the portfolio as two kinds of keys: the proposals that can qualify, the people who can exclude
+    of = lambda person, key: F.struct(F.lit(person).alias("_person"), F.col(key).alias("_key"))
+    keys = (
+        _assigned_in_window(dated_assignment, unit, start, end, as_of, fundraisers)
+        .select("proposal_id", "assigned_to_entity_id_nbr")
+        .distinct()
+        .join(
+            _open_in_window(proposal, start, end, as_of, plan_types).select("proposal_id"),
+            "proposal_id",
+            "left_semi",
+        )
+        .select(F.inline(F.array(of(False, "proposal_id"), of(True, "assigned_to_entity_id_nbr"))))
         .distinct()
-        .withColumn("_in_portfolio", F.lit(True))
     )
-    marked = splittable_join(
+    facts = stage_facts(stage, rules, first, last, latest=True).join(
+        proposal_facts(proposal, first, accepted), "proposal_id"
+    )
+    flags = assignment_flags(rules, accepted, first, last, included_when=_picked(unit, fundraisers))
+    asked = splittable_join(
         assignment.select(
-            "assignment_entity_id", "office_code", "proposal_id", "start_date", "stop_date"
+            "assignment_entity_id",
+            "office_code",
+            "proposal_id",
+            F.col("prospect_id").alias("assigned_prospect_id"),
+            "start_date",
+            "stop_date",
         ),
-        in_portfolio,
-        ["assignment_entity_id"],
-        "left",
-    )
-    status = qualification_status(
-        marked,
-        stage,
-        proposal,
+        facts,
         ["proposal_id"],
-        {"campus": CAMPUS},
-        {"campus": F.col("primary_ind") == "Y"},
-        start,
-        end,
-        included_when=_picked(unit, fundraisers),
-        excluded_when=F.col("_in_portfolio"),
-        only=portfolio.select("proposal_id").distinct(),
+    ).select(
+        "proposal_id",
+        "assigned_prospect_id",
+        F.col("campus_latest").alias("_moved"),
+        flags["campus_included"].alias("_included"),
+        # every assignment asks for its proposal, one that excludes for its fundraiser too
+        F.inline(
+            F.array(
+                of(False, "proposal_id"),
+                F.when(flags["campus_excluded"], of(True, "assignment_entity_id")),
+            )
+        ),
     )
-    qualified = status.filter("campus_included and not campus_excluded").select("proposal_id")
-    latest_move = (
-        stage.join(qualified, "proposal_id", "left_semi")
-        .filter(
-            F.to_date("stage_date").between(first, last)
-            & F.col("stage_code").isin(list(CAMPUS.include))
+    every = Window.partitionBy("proposal_id")
+    qualified = (
+        splittable_join(asked.filter(F.col("_key").isNotNull()), keys, ["_person", "_key"])
+        .groupBy("proposal_id", "assigned_prospect_id", "_moved")
+        .agg(
+            F.bool_or(F.col("_included") & ~F.col("_person")).alias("_included"),
+            F.bool_or("_person").alias("_excluded"),
         )
-        .groupBy("proposal_id")
-        .agg(F.max(F.struct("proposal_stage_id", "stage_date")).alias("move"))
-        .select("proposal_id", F.col("move.stage_date").alias("stage_date"))
-    )
-    prospects = (
-        assignment.select("proposal_id", F.col("prospect_id").alias("assigned_prospect_id"))
-        .join(qualified, "proposal_id", "left_semi")
-        .distinct()
+        # one row per prospect of a proposal
+        .withColumn("_included", F.max("_included").over(every))
+        .withColumn("_excluded", F.max("_excluded").over(every))
+        .filter("_included and not _excluded")
+        .select("proposal_id", "assigned_prospect_id", F.col("_moved").alias("stage_date"))
     )
-    names = prospect.groupBy(
-        F.col("prospect_id").alias("assigned_prospect_id"), "prospect_name"
-    ).agg(
-        F.max(F.when(F.col("prospect_entity_primary_ind") == "Y", F.col("entity_id"))).alias(
+    names = prospect.select(
+        F.col("prospect_id").alias("assigned_prospect_id"),
+        "prospect_name",
+        F.when(F.col("prospect_entity_primary_ind") == "Y", F.col("entity_id")).alias(
             "_primary_entity"
-        )
+        ),
     )
-    held = proposal.filter(F.col("primary_ind") == "Y").join(
-        qualified, "proposal_id", "left_semi"
-    ).select(
+    held = proposal.filter(F.col("primary_ind") == "Y").select(
         "proposal_id", "prospect_id", "stage_desc", "stage_code", F.col("entity_id").alias("_donor")
     )
     summary = entity_prospect_summary.select(
@@ -416,32 +470,31 @@ def total_qualifications(
         "primary_manager_first_nm",
     ]
     manager = F.when(
-        F.col("row.primary_manager_last_nm").isNotNull(),
-        listed_name(F.col("row.primary_manager_last_nm"), F.col("row.primary_manager_first_nm")),
+        F.col("primary_manager_last_nm").isNotNull(),
+        listed_name(F.col("primary_manager_last_nm"), F.col("primary_manager_first_nm")),
     )
+    smallest = Window.partitionBy("proposal_id").orderBy("stage_date", *described, "entity_id")
     return (
-        qualified.join(latest_move, "proposal_id")
-        .join(held, "proposal_id")
+        qualified.join(held, "proposal_id")
         .join(proposal_summary.select("proposal_id", "proposal_assignments"), "proposal_id")
-        .join(prospects, "proposal_id")
         .join(names, "assigned_prospect_id")
         .join(summary, "_donor")
         .groupBy("proposal_id", "stage_date", *described)
         .agg(F.max("_primary_entity").alias("entity_id"))
         # one description per proposal: the smallest where there are several
-        .groupBy("proposal_id", "stage_date")
-        .agg(F.min(F.struct(*described, "entity_id")).alias("row"))
+        .withColumn("_place", F.row_number().over(smallest))
+        .filter("_place = 1")
         .select(
             "proposal_id",
-            "row.prospect_id",
-            "row.prospect_name",
-            "row.entity_id",
-            F.replace("row.proposal_assignments", F.lit(") DO"), F.lit(")")).alias(
+            "prospect_id",
+            "prospect_name",
+            "entity_id",
+            F.replace("proposal_assignments", F.lit(") DO"), F.lit(")")).alias(
                 "proposal_assignments"
             ),
-            "row.stage_desc",
-            "row.stage_code",
-            "row.capacity_rating_desc",
+            "stage_desc",
+            "stage_code",
+            "capacity_rating_desc",
             manager.alias("primary_manager_last_nm"),
             F.date_format("stage_date", "yyyy-MM").alias("dt_sort"),
             F.date_format("stage_date", "MMMM yyyy").alias("dt_disp"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pledgeline.functions.values import both, listed_name, one_of
+from pledgeline.functions.values import both, flag, listed_name, one_of
 from pledgeline.operators.roles import current_role, with_record_type
 from pledgeline.plans.skew import number_rows, splittable_join
 
@@ -97,11 +97,25 @@ def _is_planned():
     )
 
 
+# one more than the largest id, which stands for a missing one
+_AFTER_IDS = 1 << 63
+
+
+def _row_order() -> Column:
+    """``assignment_id``, then ``entity_id``, missing ones last, as one number (ids are not negative)."""
+    number = lambda c: F.coalesce(
+        F.col(c).cast("decimal(20,0)"), F.lit(str(_AFTER_IDS)).cast("decimal(20,0)")
+    )
+    step = F.lit(str(_AFTER_IDS + 1)).cast("decimal(20,0)")
+    return (number("assignment_id") * step + number("entity_id")).cast("decimal(38,0)")
+
+
 def planned_asks_by_fundraiser(portfolio: DataFrame) -> DataFrame:
     """Planned asks per fundraiser and unit, plus the part the unit counts through each of them.
 
-    A unit counts a shared proposal once, through its first assignment (``rn3 = 1``). That one is
-    found with a minimum per proposal and unit over the planned rows only.
+    A unit counts a shared proposal once, through its first assignment (``rn3 = 1``). What is read of
+    that row is kept by the least row number while rows are combined, all of fixed width, so that no
+    row is sorted; its name goes along as a hash, which tells the names of one person apart.
     """
     totals = portfolio.groupBy("assignment_entity_id", "assignment_name", "office_code").agg(
         F.coalesce(F.sum(F.when(_is_planned(), F.col("original_ask_amt"))), F.lit(0)).alias(
@@ -109,36 +123,26 @@ def planned_asks_by_fundraiser(portfolio: DataFrame) -> DataFrame:
         ),
         F.count_distinct(F.when(_is_planned(), F.col("proposal_id"))).alias("total_target_ask_cnt"),
     )
-    first = F.min(
-        F.struct(
-            # missing ids last, as in the row numbers
-            F.col("assignment_id").isNull().alias("unnumbered"),
-            "assignment_id",
-            F.col("entity_id").isNull().alias("unnamed"),
-            "entity_id",
-            "assignment_entity_id",
-            "assignment_name",
-            "original_ask_amt",
-            _is_planned().alias("planned"),
-        )
-    )
+    first = {
+        "_owner": F.col("assignment_entity_id"),
+        "_owner_name": F.xxhash64("assignment_name"),
+        "_amount": F.col("original_ask_amt"),
+        "_planned": flag(_is_planned()),
+    }
     owned = (
-        portfolio.groupBy("proposal_id", "office_code")
-        .agg(first.alias("first"))
-        .filter("first.planned")
-        .groupBy(
-            F.col("first.assignment_entity_id").alias("_owner"),
-            F.col("first.assignment_name").alias("_owner_name"),
-            F.col("office_code").alias("_office"),
-        )
+        portfolio.withColumns({**first, "_order": _row_order()})
+        .groupBy("proposal_id", F.col("office_code").alias("_office"))
+        .agg(*[F.min_by(name, "_order").alias(name) for name in first])
+        .filter("_planned")
+        .groupBy("_owner", "_owner_name", "_office")
         .agg(
             F.count(F.lit(1)).alias("unit_target_ask_cnt"),
-            F.sum("first.original_ask_amt").alias("unit_target_ask"),
+            F.sum("_amount").alias("unit_target_ask"),
         )
     )
     same = (
         F.col("assignment_entity_id").eqNullSafe(F.col("_owner"))
-        & F.col("assignment_name").eqNullSafe(F.col("_owner_name"))
+        & (F.xxhash64("assignment_name") == F.col("_owner_name"))
         & F.col("office_code").eqNullSafe(F.col("_office"))
     )
     return totals.join(owned, same, "left").select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pledgeline.functions.values import flag
 from pledgeline.plans.skew import splittable_join
 
 ASSIGNMENT_NAMES = {
@@ -65,12 +66,12 @@ def primary_entities(prospect: DataFrame, primary_entity_only: bool = True) -> D
     with ``primary_entity_only`` so is every row that is not primary.
     """
     per_prospect = prospect.groupBy("prospect_id").agg(
-        F.coalesce(F.max("prospect_entity_primary_ind"), F.lit("N")).alias("_has_primary"),
+        F.bool_or(flag(F.col("prospect_entity_primary_ind") == "Y")).alias("_has_primary"),
         F.count(F.lit(1)).alias("_rows"),
         F.min("entity_id").alias("_lowest"),
     )
     revised = (
-        F.when(F.col("_has_primary") == "Y", F.col("prospect_entity_primary_ind"))
+        F.when(F.col("_has_primary"), F.col("prospect_entity_primary_ind"))
         .when((F.col("_rows") == 1) | (F.col("entity_id") == F.col("_lowest")), "Y")
         .otherwise("N")
     )

@@ -1,10 +1,11 @@
 """Qualifications: proposals that left stage QU in a window while assigned, minus the exclusions.
 
 Inclusion and exclusion are conditions on the same assignment, so one pass decides both. Stage
-events are first reduced to one row per proposal (first QU date, first and last exit date, the days
-with a move in the window); proposals likewise. Each assignment meets that single row, and a group
-is kept if any of its assignments includes it and none excludes it. That gives the same set as
-subtracting one query from the other, without joining events to events or events to assignments.
+events are first reduced to one row per proposal: first QU date, first and last exit date, and the days
+of the window with a move as bits of longs. Proposals likewise. Each assignment meets that single row,
+and a group is kept if any of its assignments includes it and none excludes it. That gives the same set
+as subtracting one query from the other, without joining events to events or events to assignments.
+Every measure of a proposal has a fixed width, so stage events are combined before the shuffle by hash.
 """
 
 from __future__ import annotations
@@ -40,44 +41,97 @@ POSITIVE = StageRule(
 DISQUALIFIED = StageRule(include=("DQ",), exclude=("DQ",))
 
 
+#: Days per word of a day bitmap.
+WORD = 64
+
+
+def _words(start: dt.date, end: dt.date) -> int:
+    return max(1, -(-((end - start).days + 1) // WORD))
+
+
+def _day_bits(wanted: Column, day: Column, start: dt.date, word: int) -> Column:
+    """One word of the bitmap of the days (from ``start`` on) of the rows that are wanted."""
+    offset = F.datediff(day, F.lit(start))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(offset, F.lit(WORD)))
+    inside = wanted & offset.between(word * WORD, word * WORD + WORD - 1)
+    return F.bit_or(F.when(inside, bit).otherwise(F.lit(0).cast("long")))
+
+
+def any_day_between(words: list[Column], start: dt.date, first: Column, last: Column) -> Column:
+    """Whether a bitmap of days has one from ``first`` to ``last``, both known."""
+    found = F.lit(False)
+    ones = F.lit(-1).cast("long")
+    for k, word in enumerate(words):
+        low = F.greatest(F.datediff(first, F.lit(start)) - k * WORD, F.lit(0))
+        high = F.least(F.datediff(last, F.lit(start)) - k * WORD, F.lit(WORD - 1))
+        mask = F.call_function("shiftleft", ones, low).bitwiseAND(
+            F.call_function("shiftrightunsigned", ones, WORD - 1 - high)
+        )
+        found = found | ((low <= high) & (word.bitwiseAND(mask) != 0))
+    return found
+
+
+# stage ids are any longs: with the day of the window they make one number that has their order
+_ID_STEP = 1 << 20
+
+
+def latest_day(stage_id: Column, day: Column, start: dt.date) -> Column:
+    """An aggregate that keeps the day of the row with the largest id (missing ones first), then day."""
+    missing = F.lit(str(-(1 << 63) - 1)).cast("decimal(19,0)")
+    number = F.coalesce(stage_id.cast("decimal(19,0)"), missing)
+    packed = number * F.lit(_ID_STEP) + F.datediff(day, F.lit(start))
+    return F.max(packed.cast("decimal(38,0)"))
+
+
+def unpacked_day(packed: Column, start: dt.date) -> Column:
+    return F.date_add(F.lit(start), F.pmod(packed, F.lit(_ID_STEP)).cast("int"))
+
+
 def stage_facts(
-    stage: DataFrame, rules: dict[str, StageRule], start: dt.date, end: dt.date
+    stage: DataFrame,
+    rules: dict[str, StageRule],
+    start: dt.date,
+    end: dt.date,
+    latest: bool = False,
 ) -> DataFrame:
     """One row per proposal that was in QU by the end of the window, for all rules at once.
 
-    ``<rule>_moves`` holds the distinct days in the window with an including stage after the first
-    QU day, at most one entry per day of the window; ``<rule>_first_exit`` and ``<rule>_last_exit``
-    the first and last day with an excluding stage.
+    ``<rule>_days_<k>`` hold the days of the window with an including stage as bits;
+    ``<rule>_first_exit`` and ``<rule>_last_exit`` the first and last day with an excluding stage. With
+    ``latest``, ``<rule>_latest`` is the day of the last such move by stage id.
     """
-    code, day = F.col("stage_code"), F.to_date("stage_date")
-    flags = {"in_qu": (code == "QU") & (day <= F.lit(end))}
+    code, day = F.col("stage_code"), F.col("day")
+    in_qu = flag((code == "QU") & (day <= F.lit(end)))
+    wanted, measures = in_qu, [F.min(F.when(in_qu, day)).alias("first_qu")]
     for name, rule in rules.items():
-        flags[name + "_exits"] = code.isin(list(rule.exclude))
-        moves = code.isin(list(rule.include)) & day.between(F.lit(start), F.lit(end))
-        flags[name + "_moves"] = moves
-    # events shrink to days before any list is made
-    days = (
-        stage.select("proposal_id", day.alias("day"), *[flag(f).alias(n) for n, f in flags.items()])
-        .filter(" or ".join(flags))
-        .groupBy("proposal_id", "day")
-        .agg(*[F.bool_or(n).alias(n) for n in flags])
-    )
-    measures = [F.min(F.when(F.col("in_qu"), F.col("day"))).alias("first_qu")]
-    for name in rules:
-        exits = F.when(F.col(name + "_exits"), F.col("day"))
+        exits = flag(code.isin(list(rule.exclude)))
+        moves = flag(code.isin(list(rule.include)) & day.between(F.lit(start), F.lit(end)))
+        wanted = wanted | exits | moves
         measures += [
-            F.min(exits).alias(name + "_first_exit"),
-            F.max(exits).alias(name + "_last_exit"),
-            F.collect_list(F.when(F.col(name + "_moves"), F.col("day"))).alias(name + "_moves"),
+            F.min(F.when(exits, day)).alias(name + "_first_exit"),
+            F.max(F.when(exits, day)).alias(name + "_last_exit"),
+            *[
+                _day_bits(moves, day, start, k).alias(f"{name}_days_{k}")
+                for k in range(_words(start, end))
+            ],
         ]
-    return (
-        days.groupBy("proposal_id")
+        if latest:
+            number = F.when(moves, F.col("proposal_stage_id"))
+            measures.append(
+                latest_day(number, F.when(moves, day), start).alias(name + "_latest")
+            )
+    facts = (
+        stage.withColumn("day", F.to_date("stage_date"))
+        .filter(wanted)
+        .groupBy("proposal_id")
         .agg(*measures)
         .filter(F.col("first_qu").isNotNull())
-        .withColumns(
-            {f"{n}_moves": F.expr(f"filter({n}_moves, d -> d > first_qu)") for n in rules}
-        )
     )
+    if latest:
+        facts = facts.withColumns(
+            {f"{name}_latest": unpacked_day(F.col(f"{name}_latest"), start) for name in rules}
+        )
+    return facts
 
 
 def proposal_facts(
@@ -104,40 +158,21 @@ def proposal_facts(
     )
 
 
-def qualification_status(
-    assignment: DataFrame,
-    stage: DataFrame,
-    proposal: DataFrame,
-    keys: list[str],
+def assignment_flags(
     rules: dict[str, StageRule],
     accepted: dict[str, Column | None],
-    start: dt.date | str,
-    end: dt.date | str,
+    start: dt.date,
+    end: dt.date,
     included_when: Column | None = None,
     excluded_when: Column | None = None,
-    only: DataFrame | None = None,
-) -> DataFrame:
-    """``<rule>_included`` and ``<rule>_excluded`` per group of ``keys``.
-
-    ``included_when`` and ``excluded_when`` are conditions on the assignment. ``accepted`` gives for
-    each rule a condition on the proposal, for inclusion only; with ``None`` inclusion does not look
-    at proposals at all. ``only`` limits the work to some distinct ``proposal_id``s, before anything
-    is aggregated: give it where no other proposal can be included and exclusions alone do not matter.
-    """
-    start, end = as_date(start), as_date(end)
-    if only is not None:
-        stage = stage.join(only, "proposal_id", "left_semi")
-    facts = stage_facts(stage, rules, start, end).join(
-        proposal_facts(proposal, start, accepted), "proposal_id", "left"
-    )
+) -> dict[str, Column]:
+    """``<rule>_included`` and ``<rule>_excluded`` of an assignment that met its proposal's facts."""
     flags = {}
     for name in rules:
-        included = flag(
-            F.expr(
-                f"exists({name}_moves, d -> start_date <= d"
-                " and (stop_date is null or stop_date >= d))"
-            )
-        )
+        days = [F.col(f"{name}_days_{k}") for k in range(_words(start, end))]
+        after_qu = F.greatest(F.col("start_date"), F.date_add("first_qu", 1))
+        until = F.least(F.coalesce(F.col("stop_date"), F.lit(end)), F.lit(end))
+        included = F.col("start_date").isNotNull() & any_day_between(days, start, after_qu, until)
         if accepted[name] is not None:
             included = included & flag(F.col(name + "_accepted"))
         if included_when is not None:
@@ -153,6 +188,35 @@ def qualification_status(
         if excluded_when is not None:
             excluded = excluded & flag(excluded_when)
         flags |= {name + "_included": included, name + "_excluded": excluded}
+    return flags
+
+
+def qualification_status(
+    assignment: DataFrame,
+    stage: DataFrame,
+    proposal: DataFrame,
+    keys: list[str],
+    rules: dict[str, StageRule],
+    accepted: dict[str, Column | None],
+    start: dt.date | str,
+    end: dt.date | str,
+    included_when: Column | None = None,
+    only: DataFrame | None = None,
+) -> DataFrame:
+    """``<rule>_included`` and ``<rule>_excluded`` per group of ``keys``.
+
+    ``included_when`` is a condition on the assignment. ``accepted`` gives for each rule a condition on
+    the proposal, for inclusion only; with ``None`` inclusion does not look at proposals at all.
+    ``only`` limits the result to some distinct ``proposal_id``s: give it where no other proposal can be
+    included and exclusions alone do not matter.
+    """
+    start, end = as_date(start), as_date(end)
+    facts = stage_facts(stage, rules, start, end)
+    if only is not None:
+        # the facts lie by proposal already, with all events combined
+        facts = facts.join(only, "proposal_id", "left_semi")
+    facts = facts.join(proposal_facts(proposal, start, accepted), "proposal_id", "left")
+    flags = assignment_flags(rules, accepted, start, end, included_when)
     return (
         splittable_join(assignment, facts, ["proposal_id"])
         .select(*keys, *[condition.alias(name) for name, condition in flags.items()])
@@ -163,7 +227,6 @@ def qualification_status(
 
 
 def _campus_status(
-    portfolio: DataFrame,
     assignment: DataFrame,
     stage: DataFrame,
     proposal: DataFrame,
@@ -172,40 +235,28 @@ def _campus_status(
     offices: list[str] | None,
     plan_types: list[str] | None,
 ) -> DataFrame:
-    """Status per portfolio fundraiser (with ``_units``, their portfolio units) and proposal."""
-    in_offices = one_of(F.col("office_code"), offices)
-    # a fundraiser's portfolio units as one list, attached to the rows that survive
-    units = (
-        portfolio.select("assignment_entity_id", "office_code")
-        .distinct()
-        .groupBy("assignment_entity_id")
-        .agg(F.sort_array(F.collect_list(F.struct("office_code"))).alias("_units"))
-    )
-    assigned = splittable_join(
+    """Status per fundraiser and proposal, whether or not in a portfolio."""
+    return qualification_status(
         assignment.select(
             "assignment_entity_id", "office_code", "proposal_id", "start_date", "stop_date"
         ),
-        units,
-        ["assignment_entity_id"],
-    )
-    return qualification_status(
-        assigned,
         stage,
         proposal,
-        ["assignment_entity_id", "_units", "proposal_id"],
+        ["assignment_entity_id", "proposal_id"],
         {"campus": CAMPUS},
         {"campus": both(one_of(F.col("proposal_type"), plan_types))},
         start,
         end,
-        included_when=in_offices,
-        only=None
-        if in_offices is None
-        else assignment.filter(in_offices).select("proposal_id").distinct(),
+        included_when=one_of(F.col("office_code"), offices),
     )
 
 
-def _by_unit(status: DataFrame) -> DataFrame:
-    return status.select("assignment_entity_id", F.inline("_units"), "proposal_id")
+def _by_unit(found: DataFrame, portfolio: DataFrame) -> DataFrame:
+    """What was found, once for each unit that the fundraiser has in the portfolio."""
+    units = portfolio.select("assignment_entity_id", "office_code").distinct()
+    return splittable_join(
+        found.select("assignment_entity_id", "proposal_id"), units, ["assignment_entity_id"]
+    ).select("assignment_entity_id", "office_code", "proposal_id")
 
 
 def qualifications(
@@ -224,10 +275,8 @@ def qualifications(
     assignment while the result carries the unit of the portfolio; both filters bear on inclusion
     only.
     """
-    status = _campus_status(
-        portfolio, assignment, stage, proposal, start, end, offices, plan_types
-    )
-    return _by_unit(status.filter("campus_included and not campus_excluded"))
+    status = _campus_status(assignment, stage, proposal, start, end, offices, plan_types)
+    return _by_unit(status.filter("campus_included and not campus_excluded"), portfolio)
 
 
 def qualification_exclusions(
@@ -243,8 +292,8 @@ def qualification_exclusions(
     Excluded are proposals once in QU that reached a later stage before the window or outside the
     assignment, stopped before the window whatever their stages, or died in QU.
     """
-    status = _campus_status(portfolio, assignment, stage, proposal, start, end, None, None)
-    return _by_unit(status.filter("campus_excluded"))
+    status = _campus_status(assignment, stage, proposal, start, end, None, None)
+    return _by_unit(status.filter("campus_excluded"), portfolio)
 
 
 def qualification_counts(qualified: DataFrame) -> DataFrame:

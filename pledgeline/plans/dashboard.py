@@ -26,6 +26,7 @@ from pledgeline.operators.trends import (
     qualification_totals,
     trend_columns,
 )
+from pledgeline.plans.membership import bitmap, may_hold
 from pledgeline.plans.skew import splittable_join
 
 SECTIONS = [
@@ -74,9 +75,11 @@ def scoped_assignments(
     units: list[str] | None = None,
     fundraisers: list[int] | None = None,
 ) -> DataFrame:
-    """``DO`` assignments of fundraisers in the role."""
+    """``DO`` assignments of fundraisers in the role, filtered by a bitmap of these before the join."""
+    words = bitmap(in_role.select("fundraiser_entity_id"))
     assignment = tables["assignment"].filter(
         both(
+            may_hold(words, F.col("assignment_entity_id")),
             F.col("assignment_type") == "DO",
             one_of(F.col("unit_desc"), units),
             one_of(F.col("assignment_entity_id"), fundraisers),

@@ -37,6 +37,18 @@ def splittable_join(
     )
 
 
+def largest_per_key(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The largest value of each column per key, texts included, one row per key.
+
+    For rows that hash aggregation has brought down to a few per key: an aggregate of a text sorts its
+    input before and after the shuffle, this sorts it once.
+    """
+    same = Window.partitionBy(key)
+    tops = [F.max(c).over(same).alias(c) for c in columns]
+    first = F.row_number().over(same.orderBy(F.lit(0))).alias("_first")
+    return rows.select(key, *tops, first).filter("_first = 1").drop("_first")
+
+
 def block_of(id_column: str):
     """The block of an id; ids that are missing make a block of their own."""
     return F.floor(F.col(id_column) / F.lit(BLOCK_IDS)).cast("long")

@@ -144,6 +144,42 @@ def test_unit_never_exceeds_total(build):
     assert rows(planned_asks_by_unit(portfolio)) == expected
 
 
+def test_first_owner_with_missing_ids_and_ties(spark):
+    """The unit counts a proposal through its first row: missing ids last, then the smallest entity."""
+    rng = random.Random(9)
+    columns = "assignment_id assignment_entity_id assignment_name office_code proposal_id entity_id"
+    table = []
+    for proposal in range(120):
+        ids = rng.sample([None, 0, 1, 5, 1 << 40, (1 << 63) - 1], rng.randint(1, 4))
+        for i in ids:
+            person = rng.choice([None, 1, 2, 3])
+            name = rng.choice(["A, B", "C, D", None])
+            for entity in rng.sample([None, 0, 7, (1 << 63) - 1], rng.randint(1, 3)):
+                planned = rng.random() < 0.6
+                table.append((i, person, name, rng.choice("xy") if i == 5 else "x", proposal, entity,
+                              Decimal(rng.randint(1, 9)), Decimal(0 if planned else 1)))
+    portfolio = spark.createDataFrame(table, ", ".join(
+        f"{c} {'string' if c in ('assignment_name', 'office_code') else 'long'}"
+        for c in columns.split()) + ", original_ask_amt decimal(18,2), ask_amt decimal(18,2)"
+    ).withColumn("expected_date", F.lit("2022-01-01").cast("date")).withColumn(
+        "stop_dt", F.lit(None).cast("date")).repartition(5)
+    first = {}
+    for row in table:
+        rank = (row[0] is None, row[0] or 0, row[5] is None, row[5] or 0)
+        key = (row[4], row[3])
+        first[key] = min(first.get(key, (rank, row)), (rank, row), key=lambda r: r[0])
+    owned = {}
+    for _, row in first.values():
+        if row[7] == 0:
+            held = owned.setdefault((row[1], row[2], row[3]), [0, Decimal(0)])
+            held[0] += 1
+            held[1] += row[6]
+    people = {(r[1], r[2], r[3]) for r in table}
+    expected = sorted(((*k, *owned.get(k, (0, None))) for k in people), key=repr)
+    assert rows(planned_asks_by_fundraiser(portfolio), "assignment_entity_id", "assignment_name",
+                "office_code", "unit_target_ask_cnt", "unit_target_ask") == expected
+
+
 @pytest.mark.parametrize("size", [1, 40, 5000, 1 << 20])
 def test_row_numbers_with_hot_groups(build, block_ids, size):
     rng = random.Random(size)

@@ -3,6 +3,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_portfolio import assigned, held
 
 from pledgeline.operators.outcomes import (
@@ -15,9 +16,11 @@ from pledgeline.operators.outcomes import (
 )
 from pledgeline.operators.qualifications import (
     CAMPUS,
+    any_day_between,
     qualification_counts,
     qualification_exclusions,
     qualifications,
+    stage_facts,
 )
 
 START, END, AS_OF = "2021-07-01", "2022-06-30", "2022-12-31"
@@ -297,3 +300,51 @@ def test_total_qualifications(inputs, table):
         (1, 1, "P", 101, "(Unit A)", "d", "PD", "c", "M, ", "2021-11", "November 2021", 1)]
     # at the grain of the fundraiser the other report keeps proposal 2
     assert _ids(unit_qualified(assignment, stage, proposal, "A", START, END)) == [(1, 1), (1, 2)]
+
+
+@pytest.mark.parametrize("length", [1, 64, 65, 400])
+def test_day_bitmaps(spark, length):
+    """Every window length: whether a day of the set lies in an interval, against a search."""
+    rng = random.Random(length)
+    start = dt.date(2021, 7, 1)
+    end = start + dt.timedelta(length - 1)
+    near = lambda: start + dt.timedelta(rng.randrange(-40, length + 40))
+    stages, asked, days = [], [], {}
+    for p in range(60):
+        days[p] = {near() for _ in range(rng.randrange(4))}
+        stages += [(1000 * p, p, "QU", dt.datetime(2020, 1, 1))]
+        stages += [(1000 * p + i, p, "CU", dt.datetime.combine(d, dt.time(13)))
+                   for i, d in enumerate(sorted(days[p]), 1)]
+        asked += [(p, near(), near()) for _ in range(6)] + [(p, start, start), (p, end, end)]
+    facts = stage_facts(
+        spark.createDataFrame(
+            stages, "proposal_stage_id long, proposal_id long, stage_code string, stage_date timestamp"
+        ),
+        {"campus": CAMPUS}, start, end, latest=True)
+    words = [c for c in facts.columns if c.startswith("campus_days_")]
+    assert len(words) == -(-length // 64)
+    intervals = spark.createDataFrame(asked, "proposal_id long, first date, last date")
+    hit = any_day_between(
+        [F.col(w) for w in words], start,
+        F.greatest("first", F.lit(start)), F.least("last", F.lit(end)))
+    got = intervals.join(facts, "proposal_id").select(
+        "proposal_id", "first", "last", hit.alias("hit"), "campus_latest")
+    for p, first, last, found, latest in got.collect():
+        inside = [d for d in days[p] if start <= d <= end]
+        assert found == any(first <= d <= last for d in inside)
+        assert latest == max(inside, default=None)
+
+
+def test_latest_move_by_id_then_day(spark):
+    stages = [
+        (9, 1, "QU", "2021-01-01"), (8, 1, "CU", "2022-03-01"), (10, 1, "PD", "2021-09-01"),
+        (7, 2, "QU", "2021-01-01"), (5, 2, "CU", "2021-09-01"), (5, 2, "PD", "2021-10-01"),
+        (None, 3, "QU", "2021-01-01"), (None, 3, "CU", "2021-11-01"), (-4, 3, "CU", "2021-08-01"),
+        ((1 << 63) - 1, 4, "CU", "2021-08-01"), (1, 4, "QU", "2021-01-01"),
+        (2, 4, "CU", "2021-12-01"),
+    ]
+    stage = spark.createDataFrame(
+        stages, "proposal_stage_id long, proposal_id long, stage_code string, stage_date string")
+    facts = stage_facts(stage, {"campus": CAMPUS}, dt.date(2021, 7, 1), dt.date(2022, 6, 30), True)
+    assert [(p, str(d)) for p, d in rows(facts, "proposal_id", "campus_latest")] == [
+        (1, "2021-09-01"), (2, "2021-10-01"), (3, "2021-08-01"), (4, "2021-08-01")]

@@ -4,22 +4,24 @@ Targets: the sources, in code point order, share ``SHARE`` times all words by th
 gives at most ``MAX_PASSES`` times its size, and what it cannot give is shared anew by weight among the
 others. That ends at one level: every target is the smaller of the cap and level times weight.
 
-Blocks: each source's documents, shuffled by a hash of the id, form one stream of words, cut into
-blocks of ``BLOCK_WORDS`` words. Schedule: slot n of the mix has the point frac(n * golden ratio), which
-lies in the share of one source on the cumulative targets; any run of slots holds each source about in
-proportion. A source's slots are ranked, and the slot of rank r takes block r of its stream, from the
-start again after the last, until the target is reached; the last slot takes part of a block. Slots
-that the points leave short at the end of the schedule are added behind it, so that every target is
-met to the word.
+Blocks: each source's documents, shuffled by a hash of id and text, form one stream of words, cut into
+blocks of ``BLOCK_WORDS`` words. Schedule: draw n of the mix has the point frac(n * golden ratio), which
+lies in the share of one source on the cumulative targets; any run of draws holds each source about in
+proportion. A source's draws are ranked, and the draw of rank r takes block r of its stream, from the
+start again after the last, until the target is reached; the last one takes part of a block. Where the
+points leave a source short, the missing slots are spread evenly between the draws, so that every target
+is met to the word. Draw n has slot 2n, added slots have odd numbers.
 
 All steps are DataFrame operations. A source may hold any share of the rows: its documents are cut
 into runs by the leading digits of the hash, running sums go over runs first and then inside each, and
-slots are ranked the same way. Windows over whole sources see one row per run, and the single window
-over all sources one row per source.
+slots are ranked the same way. Equal rows (same id, source and text) go through all that as one row with
+their number. Windows over whole sources see one row per run, and the single window over all sources one
+row per source. Tables that grow with the documents are joined by sorting, never broadcast.
 
 Defined results: a null text has no words. A null source is a source, the last one. Documents without
-words, or of an empty table, are taken zero times. Rows with equal ids keep apart by size. The order is
-that of md5(id), so reruns agree. Columns other than ``doc_id``, ``text`` and ``source`` are ignored.
+words, or of an empty table, are taken zero times. Rows are known by id (null or not), source and SHA-256
+of the text, so equal ids of different texts keep apart. The order is that of the MD5 of id and that
+digest, so reruns agree. Columns other than ``doc_id``, ``text`` and ``source`` are ignored.
 """
 
 from __future__ import annotations
@@ -44,12 +46,22 @@ CELLS = 1024
 GOLDEN = "0.6180339887498948482045868"
 
 
+def _digest() -> Column:
+    """The SHA-256 of the text; empty for a null one."""
+    return F.coalesce(F.sha2("text", 256), F.lit(""))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source`` and ``size``, the number of words."""
-    return docs.select(
-        "doc_id",
-        "source",
-        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+    """``doc_id``, ``source``, ``digest``, ``size`` (the number of words) and how many ``copies``."""
+    return (
+        docs.select(
+            "doc_id",
+            "source",
+            _digest().alias("digest"),
+            F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+        )
+        .groupBy("doc_id", "source", "digest", "size")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
@@ -60,7 +72,7 @@ def _source_order() -> list[Column]:
 def targets(measured: DataFrame) -> DataFrame:
     """Per source: ``source_size``, ``docs``, ``weight``, ``target``, and its ``low``..``high`` share."""
     per_source = measured.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")
+        F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count(F.lit(1)).alias("docs")
     )
     # one row per source: the only windows without a partition key
     everything = Window.partitionBy(F.lit(0))
@@ -95,11 +107,17 @@ def targets(measured: DataFrame) -> DataFrame:
 
 
 def _hashed() -> Column:
-    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "digest"))
+
+
+def _ahead(words: str) -> Column:
+    """The sum over the earlier runs of a source."""
+    earlier = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(words).over(earlier), F.lit(0))
 
 
 def streams(measured: DataFrame, per_source: DataFrame, folder: str) -> DataFrame:
-    """The documents with ``begin``, the words before each one in its source's shuffled stream."""
+    """A row per document with ``begin``, the words before it in its source's shuffled stream."""
     s = per_source.select(F.col("source").alias("_source"), F.col("docs").alias("_docs"))
     head = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long")
     runs = F.ceil(F.col("_docs") / F.lit(RUN_DOCS))
@@ -107,35 +125,46 @@ def streams(measured: DataFrame, per_source: DataFrame, folder: str) -> DataFram
         measured.join(s, measured["source"].eqNullSafe(s["_source"]))
         .withColumn("_hash", _hashed())
         .withColumn("run", F.floor(head * runs / F.lit(1 << 32)).cast("long"))
-        .select("doc_id", "source", "size", "_hash", "run"),
+        .select("doc_id", "source", "digest", "size", "copies", "_hash", "run"),
         folder,
         "dealt",
     )
-    ahead = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    words = F.col("size") * F.col("copies")
+    # as one struct the keys are never null, and the window's exchange serves the join
+    place = F.struct("source", "run").alias("_run")
     offsets = stored(
         dealt.groupBy("source", "run")
-        .agg(F.sum("size").alias("words"))
-        .select("source", "run", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset")),
+        .agg(F.sum(words).alias("words"))
+        .select(place, _ahead("words").alias("_offset")),
         folder,
         "offsets",
-    ).select(F.col("source").alias("_source"), F.col("run").alias("_run"), "offset")
-    same = dealt["source"].eqNullSafe(offsets["_source"]) & (dealt["run"] == offsets["_run"])
+    )
     inside = (
-        Window.partitionBy("source", "run")
-        .orderBy("_hash", "doc_id", "size")
+        Window.partitionBy("_run")
+        .orderBy("_hash", "doc_id", "digest")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_copy")
     return (
-        dealt.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(offsets, same)
-        .select("doc_id", "source", "size", (F.col("offset") + F.col("_inside")).alias("begin"))
+        dealt.select("*", place)
+        .withColumn("_inside", F.coalesce(F.sum(words).over(inside), F.lit(0)))
+        .join(offsets.hint("merge"), "_run")
+        .select("*", copy)
+        .select(
+            "doc_id",
+            "source",
+            "digest",
+            "size",
+            (F.col("_offset") + F.col("_inside") + F.col("_copy") * F.col("size")).alias("begin"),
+        )
     )
 
 
 def schedule(per_source: DataFrame, folder: str) -> DataFrame:
-    """The slots of the mix in order: ``slot``, ``source``, ``rank``, ``block``, ``words``.
+    """The slots of the mix: ``slot``, ``source``, ``rank``, ``pass``, ``block``, ``words``.
 
-    ``words`` is how many words of the block the slot takes, from the block's start.
+    ``pass`` is how often the source was gone through before, ``words`` how many words of the block the
+    slot takes, from the block's start.
     """
     spark = per_source.sparkSession
     size, target = F.col("source_size"), F.least(
@@ -175,37 +204,38 @@ def schedule(per_source: DataFrame, folder: str) -> DataFrame:
         .withColumn("cell", F.floor(F.col("point") * CELLS).cast("long"))
         .join(cells, "cell")
         .filter((F.col("low") <= F.col("point")) & (F.col("point") < F.col("high")))
-        .select("slot", "source", F.floor(F.col("slot") / RUN_SLOTS).cast("long").alias("run"))
+        .select((2 * F.col("slot")).alias("slot"), "source")
     )
     drawn = stored(drawn, folder, "drawn")
-    ahead = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = stored(
-        drawn.groupBy("source", "run")
+    drawn_of = drawn.groupBy(F.col("source").alias("_source")).agg(F.count(F.lit(1)).alias("_held"))
+    missing = F.col("slots") - F.col("_held")
+    added = (
+        quota.join(drawn_of, quota["source"].eqNullSafe(drawn_of["_source"]), "left")
+        .withColumn("_held", F.coalesce("_held", F.lit(0)))
+        .filter("_held < slots")
+        .select("source", missing.alias("_missing"), F.explode(F.sequence(F.lit(1), missing)).alias("_k"))
+        # evenly between the draws
+        .select(
+            (F.expr(f"((2 * _k - 1) * {points}L) div (2 * _missing)") * 2 + 1).alias("slot"), "source"
+        )
+    )
+    run = F.floor(F.col("slot") / (2 * RUN_SLOTS)).cast("long").alias("run")
+    both = stored(drawn.unionByName(added).select("*", run), folder, "slots")
+    place = F.struct("source", "run").alias("_run")
+    before = stored(
+        both.groupBy("source", "run")
         .agg(F.count(F.lit(1)).alias("held"))
-        .withColumn("ahead", F.coalesce(F.sum("held").over(ahead), F.lit(0))),
+        .select(place, _ahead("held").alias("_before")),
         folder,
         "runs",
     )
-    offsets = runs.select(F.col("source").alias("_source"), F.col("run").alias("_run"), "ahead")
-    same = drawn["source"].eqNullSafe(offsets["_source"]) & (drawn["run"] == offsets["_run"])
-    within = Window.partitionBy("source", "run").orderBy("slot")
-    ranked = (
-        drawn.withColumn("_number", F.row_number().over(within) - 1)
-        .join(offsets, same)
-        .select("slot", "source", (F.col("ahead") + F.col("_number")).alias("rank"))
-    )
-    drawn_of = runs.groupBy(F.col("source").alias("_source")).agg(F.sum("held").alias("held"))
-    short = (
-        quota.join(drawn_of, quota["source"].eqNullSafe(drawn_of["_source"]), "left")
-        .withColumn("held", F.coalesce("held", F.lit(0)))
-        .filter("held < slots")
-        .select(
-            "source", F.explode(F.sequence(F.col("held"), F.col("slots") - 1)).alias("rank")
-        )
-        # behind the drawn slots, the sources taking turns
-        .select((F.lit(points + 1) + F.col("rank")).alias("slot"), "source", "rank")
+    within = Window.partitionBy("_run").orderBy("slot")
+    slots = (
+        both.select("*", place)
+        .withColumn("_number", F.row_number().over(within) - 1)
+        .join(before.hint("merge"), "_run")
+        .select("slot", "source", (F.col("_before") + F.col("_number")).alias("rank"))
     )
-    slots = ranked.unionByName(short)
     q = quota.select(
         F.col("source").alias("_source"), "source_size", "target", "blocks", "slots"
     )
@@ -217,34 +247,31 @@ def schedule(per_source: DataFrame, folder: str) -> DataFrame:
         slots.join(q, slots["source"].eqNullSafe(q["_source"]))
         .filter("rank < slots")
         .withColumn("block", F.pmod("rank", "blocks"))
+        .withColumn("pass", F.floor(F.col("rank") / F.col("blocks")).cast("long"))
         .withColumn("words", F.least(held, F.col("target") - position).cast("long"))
         .filter("words > 0")
-        .select("slot", "source", "rank", "block", "words")
+        .select("slot", "source", "rank", "pass", "block", "words")
     )
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken``.
+    """One row per document: what the mix takes of it, and where.
 
-    ``taken`` is the number of its words that the mix takes, counted as often as it takes them.
+    ``doc_id, source, digest, size, begin`` (the words before it in its source's stream), ``source_size,
+    target, taken`` (how many of its words the mix takes, counted as often as it takes them), ``first_slot``
+    and ``last_slot`` (null if it takes none) and ``slots``, the first slot of each pass that takes it.
     """
     folder = shared_folder(docs.sparkSession)
     measured = stored(sizes(docs), folder, "sizes")
     per_source = stored(targets(measured), folder, "targets")
     stream = stored(streams(measured, per_source, folder), folder, "streams")
     slots = stored(schedule(per_source, folder), folder, "schedule")
-    # how much of a block is taken: whole blocks once or twice, one block of a source in part
-    taken_blocks = stored(
-        slots.groupBy("source", "block", "words").agg(F.count(F.lit(1)).alias("times")),
-        folder,
-        "blocks",
-    ).select(F.col("source").alias("_source"), F.col("block").alias("_block"), "words", "times")
+    at_block = F.struct("source", "block").alias("_block")
     end = F.col("begin") + F.col("size")
     pieces = stream.filter("size > 0").select(
-        "doc_id",
         "source",
-        "size",
         "begin",
+        end.alias("_end"),
         F.explode(
             F.sequence(
                 F.floor(F.col("begin") / BLOCK_WORDS).cast("long"),
@@ -252,59 +279,80 @@ def mix(docs: DataFrame) -> DataFrame:
             )
         ).alias("block"),
     )
-    at = F.col("_block") * BLOCK_WORDS
-    shared = F.greatest(
-        F.lit(0), F.least(end, at + F.col("words")) - F.greatest(F.col("begin"), at)
-    )
-    same = pieces["source"].eqNullSafe(taken_blocks["_source"]) & (
-        pieces["block"] == taken_blocks["_block"]
-    )
-    # the place in the stream tells rows of equal ids apart
-    row = ["source", "begin", "size", "doc_id"]
+    at = F.col("block") * BLOCK_WORDS
+    shared = F.least(F.col("_end"), at + F.col("words")) - F.greatest(F.col("begin"), at)
+    passes = [
+        F.min(F.when(F.col("pass") == k, F.col("slot"))).alias(f"_slot_{k}") for k in range(MAX_PASSES)
+    ]
+    # a place in a stream is the place of one document that has words
     taken = (
-        pieces.join(taken_blocks, same)
-        .groupBy(*row)
-        .agg(F.sum(shared * F.col("times")).alias("taken"))
-        .select(*[F.col(c).alias("_" + c) for c in row], "taken")
+        pieces.select("*", at_block)
+        .join(slots.select("slot", "pass", "words", at_block).hint("merge"), "_block")
+        .withColumn("_shared", shared)
+        .filter("_shared > 0")
+        .groupBy("source", "begin")
+        .agg(
+            F.sum("_shared").alias("taken"),
+            F.min("slot").alias("first_slot"),
+            F.max("slot").alias("last_slot"),
+            *passes,
+        )
+        .select(F.struct("source", "begin").alias("_at"), "*")
+        .drop("source", "begin")
     )
-    matches = F.lit(True)
-    for c in row:
-        matches = matches & stream[c].eqNullSafe(taken["_" + c])
+    at_word = F.when(F.col("size") > 0, F.struct("source", "begin")).alias("_at")
     s = per_source.select(F.col("source").alias("_of"), "source_size", "target")
     return (
-        stream.join(taken, matches, "left")
+        stream.select("*", at_word)
+        .join(taken.hint("merge"), "_at", "left")
         .join(s, stream["source"].eqNullSafe(s["_of"]))
         .select(
             "doc_id",
             "source",
+            "digest",
             "size",
+            "begin",
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            "first_slot",
+            "last_slot",
+            F.array(*[f"_slot_{k}" for k in range(MAX_PASSES)]).alias("slots"),
         )
     )
 
 
 def taken_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents, with all their columns: each as often as the mix takes it.
+    """The mix as documents, with all their columns: each as often as the mix takes it, in slot order.
 
     A document that the end of a target cuts counts by the nearest whole number, so a source's words
-    differ from its target by half a document at most. Rows are known by id and source; of rows that
-    have both in common, each gets the count of one of them.
+    differ from its target by half a document at most. Of rows that are equal in id, source and text,
+    one (the least by its other columns) stands for all, as often as the mix takes them together.
     """
-    counts = mix(docs).select(
-        F.col("doc_id").alias("_llm_id"),
-        F.col("source").alias("_llm_of"),
-        F.coalesce(F.round(F.try_divide("taken", "size")), F.lit(0)).cast("int").alias("_llm_times"),
+    times = F.coalesce(F.round(F.try_divide("taken", "size")), F.lit(0)).cast("int")
+    key = F.struct("doc_id", "source", "digest").alias("_llm_key")
+    # a pass that takes less than half of a document comes last
+    takes = (
+        mix(docs)
+        .filter("taken > 0")
+        .select(key, "source", "begin", F.explode(F.slice("slots", 1, times)).alias("_llm_slot"))
+        .select("_llm_key", "_llm_slot", F.col("source").alias("_llm_of"), F.col("begin").alias("_llm_begin"))
+    )
+    takes = stored(takes, shared_folder(docs.sparkSession), "takes")
+    marked = docs.withColumn(
+        "_llm_key", F.struct("doc_id", "source", _digest().alias("digest"))
     )
-    alike = Window.partitionBy("_llm_id", "_llm_of").orderBy("_llm_times")
-    counts = counts.withColumn("_llm_number", F.row_number().over(alike)).filter("_llm_times > 0")
-    same_row = Window.partitionBy("doc_id", "source").orderBy(F.lit(0))
-    numbered = docs.withColumn("_llm_row", F.row_number().over(same_row))
-    matches = (
-        numbered["doc_id"].eqNullSafe(counts["_llm_id"])
-        & numbered["source"].eqNullSafe(counts["_llm_of"])
-        & (numbered["_llm_row"] == counts["_llm_number"])
+    unordered = ("map<", "variant")
+    orderable = [
+        f.name for f in docs.schema.fields if not any(u in f.dataType.simpleString() for u in unordered)
+    ]
+    least = Window.partitionBy("_llm_key").orderBy(*orderable)
+    in_order = ["_llm_slot", "_llm_of", "_llm_begin"]
+    return (
+        marked.withColumn("_llm_place", F.row_number().over(least))
+        .filter("_llm_place = 1")
+        .join(takes.hint("merge"), "_llm_key")
+        .repartitionByRange(*in_order)
+        .sortWithinPartitions(*in_order)
+        .select(*docs.columns)
     )
-    each = F.explode(F.sequence(F.lit(1), F.col("_llm_times"))).alias("_llm_time")
-    return numbered.join(counts, matches).select(*docs.columns, each).drop("_llm_time")

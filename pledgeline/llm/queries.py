@@ -53,7 +53,13 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, folder, "documents"))
     return mixed.select(
-        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
+        "doc_id",
+        "size",
+        "source_size",
+        F.round("target", 6).alias("target"),
+        "taken",
+        "first_slot",
+        "last_slot",
     )
 
 
@@ -180,7 +186,10 @@ SELECT page_id, u.host, u.path, rule, coalesce(verdict, decision, 'allow') AS ve
 FROM u LEFT JOIN best USING (host, path) LEFT JOIN groups ON node = alias"""
 
 ORACLE_OP3 = f"""
-WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+WITH d AS (
+    SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
+        CASE WHEN text IS NULL THEN '' ELSE sha256(text) END AS digest
+    FROM documents),
 s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
@@ -197,20 +206,57 @@ f AS (
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
     FROM w),
 t AS (
-    SELECT source, source_size,
+    SELECT source, source_size, place,
         least(cap, weight * (SELECT level FROM f WHERE level <= cap / weight
             ORDER BY cap / weight, place LIMIT 1)) AS target
     FROM f),
-q AS (SELECT *, least(CAST(round(target) AS BIGINT), 2 * source_size) AS words FROM t),
+q AS (
+    SELECT *, least(CAST(round(target) AS BIGINT), 2 * source_size) AS words,
+        (source_size + 1023) // 1024 AS blocks,
+        sum(target) OVER (ORDER BY place) / sum(target) OVER () AS high
+    FROM t),
+u AS (
+    SELECT *, coalesce(lag(high) OVER (ORDER BY place), 0) AS low,
+        CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * blocks
+            + (words % source_size + 1023) // 1024 END AS slots
+    FROM q),
+n AS (SELECT CAST(sum(slots) AS BIGINT) AS points FROM u),
+draws AS (
+    SELECT k, CAST(CAST(k AS DECIMAL(13, 0)) * 0.6180339887498948482045868 % 1 AS DOUBLE) AS point
+    FROM (SELECT unnest(range(1, points + 1)) AS k FROM n)),
+drawn AS (
+    SELECT place, 2 * k AS slot
+    FROM draws JOIN u ON low <= point AND point < high AND source_size > 0),
+short AS (
+    SELECT place, slots - count(slot) AS missing
+    FROM u LEFT JOIN drawn USING (place) GROUP BY place, slots),
+added AS (
+    SELECT place, ((2 * k - 1) * points) // (2 * missing) * 2 + 1 AS slot
+    FROM (SELECT place, missing, unnest(range(1, missing + 1)) AS k FROM short), n),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY place ORDER BY slot) - 1 AS rank
+    FROM (FROM drawn UNION ALL FROM added)),
+held AS (
+    SELECT place, slot, (rank % blocks) * 1024 AS place_at, least(
+        1024, source_size - (rank % blocks) * 1024,
+        words - (rank // blocks) * source_size - (rank % blocks) * 1024) AS many
+    FROM ranked JOIN u USING (place) WHERE rank < slots),
 b AS (
-    SELECT *, coalesce(sum(size) OVER (PARTITION BY source
-        ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, size
+    SELECT d.*, u.*, coalesce(sum(size) OVER (PARTITION BY place
+        ORDER BY md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', digest)), doc_id, digest
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
-    FROM d)
+    FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source),
+seen AS (
+    SELECT place, begin, min(slot) AS first_slot, max(slot) AS last_slot
+    FROM b JOIN held USING (place)
+    WHERE many > 0 AND size > 0 AND place_at < begin + size AND place_at + many > begin
+    GROUP BY place, begin)
 SELECT doc_id, size, source_size, round(target, 6) AS target,
     CAST(CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * size
-        + greatest(0, least(begin + size, words % source_size) - begin) END AS BIGINT) AS taken
-FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source"""
+        + greatest(0, least(begin + size, words % source_size) - begin) END AS BIGINT) AS taken,
+    CASE WHEN size > 0 THEN first_slot END AS first_slot,
+    CASE WHEN size > 0 THEN last_slot END AS last_slot
+FROM b LEFT JOIN seen USING (place, begin)"""
 
 ORACLE_OP9 = f"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents),

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 from fractions import Fraction
 
 import pytest
@@ -25,22 +26,23 @@ def targets(size):
         fixed |= {s: Fraction(2 * size[s]) for s in above}
 
 
+def hashed(doc_id, digest):
+    return hashlib.md5(f"{'' if doc_id is None else doc_id}:{digest}".encode()).hexdigest()
+
+
 def expected(table):
     streams = {}
     for row in table:
-        streams.setdefault(row[3], []).append((row[0], len(words_of(row[1]))))
-    size = {s: sum(n for _, n in docs) for s, docs in streams.items()}
+        digest = "" if row[1] is None else hashlib.sha256(row[1].encode()).hexdigest()
+        streams.setdefault(row[3], []).append((row[0], digest, len(words_of(row[1]))))
+    size = {s: sum(n for *_, n in docs) for s, docs in streams.items()}
     wanted, result = targets(size), []
     for source, docs in streams.items():
-        docs.sort(
-            key=lambda d: (
-                hashlib.md5(("" if d[0] is None else str(d[0])).encode()).hexdigest(), d[0] or 0, d[1]
-            )
-        )
+        docs.sort(key=lambda d: hashed(d[0], d[1]))
         words = min(round(wanted[source]), 2 * size[source])
         passes, rest = divmod(words, size[source]) if size[source] else (0, 0)
         begin = 0
-        for doc_id, n in docs:
+        for doc_id, _, n in docs:
             taken = passes * n + max(0, min(begin + n, rest) - begin)
             result.append((doc_id, n, size[source], round(float(wanted[source]), 3), taken))
             begin += n
@@ -59,19 +61,24 @@ def test_against_brute_force(spark, monkeypatch, block, run_docs, run_slots):
     assert found(mixing.mix(documents(spark))) == expected(rows())
 
 
-def test_any_run_of_slots_is_near_the_shares(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
+def shares_and_sources(spark, slots_of):
     measured = spark.range(400).select(
         F.col("id").alias("doc_id"),
         F.concat(F.lit("s"), F.floor(F.sqrt("id") / 4).cast("string")).alias("source"),
         (F.col("id") % 17 + 1).alias("size"),
+        F.lit(1).alias("copies"),
     )
     per_source = mixing.targets(measured)
-    share = {r.source: r.target for r in per_source.collect()}
+    return {r.source: r.target for r in per_source.collect()}, slots_of(per_source)
+
+
+def test_any_run_of_slots_is_near_the_shares(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
+    share, slots = shares_and_sources(
+        spark, lambda p: mixing.schedule(p, shared_folder(spark)).orderBy("slot", "source").collect()
+    )
     total = sum(share.values())
-    slots = mixing.schedule(per_source, shared_folder(spark)).orderBy("slot").collect()
     assert sum(r.words for r in slots) == sum(round(t) for t in share.values())
-    assert len({r.slot for r in slots}) >= len(slots) - len(share) ** 2
     for source, target in share.items():
         at = [k for k, r in enumerate(slots) if r.source == source]
         assert [slots[k].rank for k in at] == list(range(len(at)))
@@ -80,6 +87,67 @@ def test_any_run_of_slots_is_near_the_shares(spark, monkeypatch):
             assert abs(held - n * target / total) < 2 + math.log2(n)
 
 
+def test_documents_come_in_the_order_of_the_schedule(spark, monkeypatch):
+    """Any beginning of the mix holds each source about in proportion, in words."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
+    draw = random.Random(6)
+    table = []
+    for k in range(900):
+        source = draw.choice("aaaaaabbbc")
+        table.append((k, " ".join(f"w{k}x{j}" for j in range(draw.randint(1, 6))), source))
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string").repartition(7)
+    mixed = [(r.source, len(r.text.split())) for r in mixing.taken_documents(docs).collect()]
+    target = {r.source: r.target for r in mixing.mix(docs).collect()}
+    total, held, words = sum(target.values()), dict.fromkeys(target, 0), 0
+    for k, (source, n) in enumerate(mixed):
+        held[source] += n
+        words += n
+        if k % 50 == 49:
+            for s, t in target.items():
+                # a few blocks of 8 words
+                assert abs(held[s] - words * t / total) < 8 * (3 + math.log2(words))
+    for s, t in target.items():
+        assert abs(held[s] - t) <= 3.5
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_missing_and_repeated_ids(spark, parts):
+    """A third without an id, and one id in three texts: targets are met and reruns agree."""
+    draw = random.Random(4)
+    table = []
+    for k in range(300):
+        n = draw.choice([5, 40, 2000])
+        doc_id = None if k % 3 == 0 else 7 if k in (1, 2, 4) else k
+        table.append((doc_id, f"t{k} " + "x " * (n - 1), "ab"[k % 7 == 0], "en"))
+    table += table[:20]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string, lang string")
+    runs = [mixing.taken_documents(docs.repartition(parts)).collect() for _ in range(2)]
+    assert runs[0] == runs[1]
+    rows_of = [r[3] for r in expected([(r[0], r[1], None, r[2]) for r in table])]
+    assert len(rows_of) == len(table)
+    for source in "ab":
+        target = next(r.target for r in mixing.mix(docs).collect() if r.source == source)
+        words = sum(len(r.text.split()) for r in runs[0] if r.source == source)
+        assert abs(words - target) <= 1000.5
+    # the same documents in any number of partitions
+    mark = hashlib.sha256(repr(sorted((str(r.doc_id), r.text) for r in runs[0])).encode()).hexdigest()
+    assert SAME.setdefault("mix", mark) == mark
+
+
+SAME = {}
+
+
+def test_no_window_holds_more_than_a_run_of_a_source_without_ids(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN_DOCS", 10)
+    table = [(None, f"text {k} " * (k % 5), "a") for k in range(200)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string")
+    folder = shared_folder(spark)
+    measured = mixing.sizes(docs)
+    mixing.streams(measured, mixing.targets(measured), folder)
+    runs = spark.read.parquet(f"{folder}/dealt").groupBy("source", "run").count().collect()
+    assert len(runs) >= 15 and max(r["count"] for r in runs) <= 30
+
+
 def test_empty(spark):
     assert mixing.mix(no_documents(spark)).count() == 0
     assert mixing.taken_documents(no_documents(spark)).count() == 0

@@ -34,16 +34,11 @@ def activity_window(
     """
     start, end, as_of = (F.lit(as_date(d)) for d in (start, end, as_of))
     wanted = portfolio.select(*FUNDRAISER_UNIT).distinct()
-    assigned = (
-        assignment.filter(
-            (F.col("assignment_type") == "DO")
-            & (F.col("stop_date").isNull() | (F.col("stop_date") >= start))
-            & (F.col("start_date") <= end)
-        )
-        .select(*FUNDRAISER_UNIT, "proposal_id", "start_date", "stop_date")
-        .join(with_record_type(record_type, ["SF"]), "assignment_entity_id", "left_semi")
-    )
-    assigned = splittable_join(assigned, wanted, FUNDRAISER_UNIT, "left_semi")
+    assigned = assignment.filter(
+        (F.col("assignment_type") == "DO")
+        & (F.col("stop_date").isNull() | (F.col("stop_date") >= start))
+        & (F.col("start_date") <= end)
+    ).select(*FUNDRAISER_UNIT, "proposal_id", "start_date", "stop_date")
     held = proposal.filter((F.col("primary_ind") == "Y") & (F.col("start_dt") <= end)).select(
         "proposal_id",
         "entity_id",
@@ -74,7 +69,8 @@ def activity_window(
         & (F.coalesce(F.col("stop_date"), as_of) >= stopped)
         & (stopped <= end)
     )
-    rows = assigned.join(held, "proposal_id").select(
+    # the facts meet first, where they lie; a semi join of people would be moved below that
+    rows = splittable_join(assigned, held, ["proposal_id"]).select(
         "office_code",
         "assignment_entity_id",
         "proposal_id",
@@ -87,6 +83,8 @@ def activity_window(
         F.col("entity_id").alias("_donor"),
         takes_gifts.alias("_takes_gifts"),
     )
+    rows = rows.join(with_record_type(record_type, ["SF"]).distinct(), "assignment_entity_id")
+    rows = splittable_join(rows, wanted, FUNDRAISER_UNIT)
     # equal amounts merge before the join; rows that take no gifts match none and stay single
     gifts = (
         gift.filter(

@@ -37,34 +37,23 @@ def active_portfolio(
     each costs an exchange. Their order is ``assignment_id``, so ``rn3 = 1`` is the first assignment
     of the unit to the proposal. ``assignment_id`` identifies a row.
     """
-    assigned = (
-        assignment.filter(
-            both(
-                F.col("active_ind") == "Y",
-                F.col("assignment_type") == "DO",
-                one_of(F.col("assignment_entity_id"), fundraisers),
-                one_of(F.col("office_code"), offices),
-            )
-        )
-        .join(with_record_type(record_type, record_types), "assignment_entity_id", "left_semi")
-        .select(
-            "assignment_id",
-            "assignment_entity_id",
-            listed_name(F.col("assignment_last_name"), F.col("assignment_first_name")).alias(
-                "assignment_name"
-            ),
-            "office_code",
-            "office_desc",
-            "proposal_id",
+    assigned = assignment.filter(
+        both(
+            F.col("active_ind") == "Y",
+            F.col("assignment_type") == "DO",
+            one_of(F.col("assignment_entity_id"), fundraisers),
+            one_of(F.col("office_code"), offices),
         )
+    ).select(
+        "assignment_id",
+        "assignment_entity_id",
+        listed_name(F.col("assignment_last_name"), F.col("assignment_first_name")).alias(
+            "assignment_name"
+        ),
+        "office_code",
+        "office_desc",
+        "proposal_id",
     )
-    if roles is not None:
-        in_role = (
-            current_role(goal, role_fy)
-            .filter(F.col("fundraiser_role").isin(list(roles)))
-            .select(F.col("entity_id").alias("assignment_entity_id"))
-        )
-        assigned = splittable_join(assigned, in_role, ["assignment_entity_id"], "left_semi")
     held = proposal.filter(
         both(
             F.col("active_ind") == "Y",
@@ -83,7 +72,18 @@ def active_portfolio(
         "ask_amt",
         "original_ask_amt",
     )
+    # the facts meet first, where they lie; tables of people come after, as inner joins of distinct
+    # people, since a semi join would be moved below the join of the facts
     rows = splittable_join(assigned, held, ["proposal_id"])
+    staff = with_record_type(record_type, record_types).distinct()
+    rows = rows.join(staff, "assignment_entity_id")
+    if roles is not None:
+        in_role = (
+            current_role(goal, role_fy)
+            .filter(F.col("fundraiser_role").isin(list(roles)))
+            .select(F.col("entity_id").alias("assignment_entity_id"))
+        )
+        rows = splittable_join(rows, in_role, ["assignment_entity_id"])
     numberings = {name: ROW_NUMBER_KEYS[name] for name in row_numbers}
     return number_rows(rows, numberings, "assignment_id", ["entity_id"])
 

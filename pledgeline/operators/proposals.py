@@ -55,7 +55,7 @@ def assigned_proposals(
     )
     if primary_prop_only:
         held = held.distinct()
-    return assigned.join(held, "proposal_id")
+    return splittable_join(assigned, held, ["proposal_id"])
 
 
 def primary_entities(prospect: DataFrame, primary_entity_only: bool = True) -> DataFrame:

@@ -12,6 +12,11 @@ one task never has to hold more of a group than that.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +24,27 @@ from pyspark.sql import functions as F
 BLOCK_IDS = 1 << 20
 
 
+@dataclass(frozen=True)
+class Layout:
+    """The key that stored facts are bucketed by, and its values that are too hot for one task."""
+
+    key: str
+    hot: tuple = ()
+
+
+_LAYOUT: ContextVar[Layout | None] = ContextVar("layout", default=None)
+
+
+@contextmanager
+def colocated(layout: Layout) -> Iterator[None]:
+    """Build queries for facts in a layout (see ``sources.layout``)."""
+    before = _LAYOUT.set(layout)
+    try:
+        yield
+    finally:
+        _LAYOUT.reset(before)
+
+
 def splittable_join(
     facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner"
 ) -> DataFrame:
@@ -28,7 +54,32 @@ def splittable_join(
     execution does not split such a join: all facts of a hot key would meet in one task. Joining on
     the key and one bit of its hash shuffles both sides for this join (the lookup once more, which
     has one row per key), and no later grouping can reuse that partitioning.
+
+    Where facts are co-located by the key, only the rows of hot keys are joined like that; the others
+    meet in their buckets, without an exchange.
     """
+    layout = _LAYOUT.get()
+    if layout is not None and keys == [layout.key]:
+        return _bucketed_join(facts, lookup, layout, how)
+    return _split_join(facts, lookup, keys, how)
+
+
+def _bucketed_join(facts: DataFrame, lookup: DataFrame, layout: Layout, how: str) -> DataFrame:
+    key = F.col(layout.key)
+    if not layout.hot:
+        return facts.join(lookup, layout.key, how)
+    ordinary = F.lit(True)
+    for value in layout.hot:
+        # one comparison each: files tell from their statistics that all of a row group is hot
+        ordinary = ordinary & (key != value)
+    is_hot = key.isin(list(layout.hot))
+    in_place = facts.filter(ordinary | key.isNull()).join(lookup.filter(ordinary), layout.key, how)
+    return in_place.unionByName(
+        _split_join(facts.filter(is_hot), lookup.filter(is_hot), [layout.key], how)
+    )
+
+
+def _split_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
     bit = F.pmod(F.xxhash64(*keys), F.lit(2).cast("long"))
     return (
         facts.withColumn("_bit", bit)

@@ -11,11 +11,15 @@ Two signatures agree in a share s of their places; since unequal minima agree by
 counted by ``bit_count``. Pairs whose estimate is so low that a pair at the threshold would show it with
 probability 1e-9 at most are dropped; all others are decided by their full sets.
 
-Groups of near copies: first every set meets the smallest set of its buckets only, which joins nearly all
-of a large group with work in proportion to its size. Then only buckets that still hold different
-components are compared, and in them only sets of different components: pair by pair in buckets of up to
-``MAX_BUCKET`` sets; larger ones in blocks of ``BLOCK`` signatures, each task comparing two blocks and
-returning only pairs that pass the estimate. So no bucket is cut and none is gathered in one task.
+Groups of near copies: first every set meets the smallest set of its buckets only, which joins much of a
+large group with work in proportion to its size. Then only buckets that still hold different components
+go on. Of their sets, a shingle that no other of them has can be shared with nobody, so a set with too
+many such shingles is alone and leaves, and the others bound the similarity of a pair. What is left falls
+into clusters (sets connected over buckets). A cluster is compared in tasks of one or two blocks, which hold
+the full sets: the bounds and the estimate choose pairs of different components, the most typical sets
+first, full sets decide, and a link joins the components at once, so that pairs inside a component are
+skipped and a task returns fewer links than it has sets. No pair of candidates ever becomes a row, no
+bucket is cut and none is gathered in one task.
 
 Defined results: a text that is null or has no words has an empty set, linked with nothing, and is its
 own component. Rows with equal ids or texts each give a row. ``component_id`` ignores null ids; it is null
@@ -30,6 +34,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,14 +50,14 @@ ROWS = 4
 HASHES = BANDS * ROWS
 BITS = 4
 LONGS = HASHES * BITS // 64
-MAX_BUCKET = 64
-BLOCK = 2048
+#: Sets, and shingles of sets, in a block of a cluster.
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 21
 #: Shingles permuted at once.
 SLICE = 1 << 12
 
 SIGNATURE = [f"s{k}" for k in range(LONGS)]
-SKETCH = "key binary, n long, bands array<long>, " + "".join(f"{s} long, " for s in SIGNATURE)
-SKETCH += "hashes array<long>"
+SKETCH = "key binary, n long, bands array<long>, " + ", ".join(f"{s} long" for s in SIGNATURE)
 
 # each permutation of 32-bit values is x -> factor * x + shift
 _SEEDS = np.array([xxhash.xxh64_intdigest(b"", k) for k in range(HASHES)], np.uint64)
@@ -121,29 +126,30 @@ def packed(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(places << shifts, axis=2).view(np.int64)
 
 
+def _listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
+
+
+def _key(hashes: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+
+
 def _sketch(texts: list[str | None]) -> list[pa.Array]:
     sets = [shingles(t) for t in texts]
     lengths = np.array([len(s) for s in sets])
-    none = lengths == 0
     least = np.array([minima(s) for s in sets]).reshape(-1, HASHES)
-    keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-    offsets = lambda sizes: pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-    listed = lambda values, sizes: pa.ListArray.from_arrays(
-        offsets(sizes), pa.array(values, pa.int64())
-    )
-    values = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
     signature = packed(least)
     return [
-        pa.array(keys, pa.binary()),
+        pa.array([_key(s) for s in sets], pa.binary()),
         pa.array(lengths, pa.int64()),
-        listed(bands_of(least[~none]).ravel(), np.where(none, 0, BANDS)),
+        _listed(bands_of(least[lengths > 0]).ravel(), np.where(lengths > 0, BANDS, 0)),
         *[pa.array(signature[:, k]) for k in range(LONGS)],
-        listed(values, lengths),
     ]
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and, of its set, ``key`` (null if empty), size, bands, packed signature and hashes."""
+    """``doc_id`` and, of its set, ``key`` (null if empty), size, bands and packed signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,10 +159,36 @@ def sketches(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SKETCH}"
-    names = ["doc_id", "key", "n", "bands", *SIGNATURE, "hashes"]
+    names = ["doc_id", "key", "n", "bands", *SIGNATURE]
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def full_sets(docs: DataFrame, least: DataFrame, needed: DataFrame) -> DataFrame:
+    """``key`` and ``hashes`` of the keys that are needed.
+
+    Only the document of the smallest id of each key (``least``) is read again; the sets of all documents
+    would take twice the room of their texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                sets = [shingles(t) for t in batch.column(0).slice(k, 512).to_pylist()]
+                values = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+                keys = pa.array([_key(s) for s in sets], pa.binary())
+                hashes = _listed(values, np.array([len(s) for s in sets]))
+                yield pa.RecordBatch.from_arrays([keys, hashes], ["key", "hashes"])
+
+    carriers = least.join(needed.hint("merge"), "key", "left_semi").select("least").distinct()
+    texts = docs.select("doc_id", "text")
+    read = texts.join(
+        carriers.hint("merge"), texts["doc_id"].eqNullSafe(carriers["least"]), "left_semi"
+    ).select("text")
+    sets = read.mapInArrow(run, "key binary, hashes array<long>").dropDuplicates(["key"])
+    # equal or missing ids bring other documents along
+    return sets.join(needed.hint("merge"), "key", "left_semi")
+
+
 def agreement(left: list[Column], right: list[Column]) -> Column:
     """In how many places two packed signatures agree."""
     lowest = sum(1 << k for k in range(0, 64, BITS))
@@ -196,16 +228,8 @@ def probable(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     return both.filter(passes).select("src", "dst")
 
 
-def confirmed(pairs: DataFrame, sketched: DataFrame, folder: str, name: str) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-    sets = stored(
-        sketched.select("key", "hashes")
-        .join(needed.hint("merge"), "key", "left_semi")
-        .dropDuplicates(["key"]),
-        folder,
-        name + "-sets",
-    )
     shared = F.size(F.array_intersect("src_hashes", "dst_hashes"))
     union = F.size("src_hashes") + F.size("dst_hashes") - shared
     return (
@@ -216,60 +240,135 @@ def confirmed(pairs: DataFrame, sketched: DataFrame, folder: str, name: str) ->
     )
 
 
-def _compared(group: pa.Table) -> pa.Table:
-    """Pairs between two blocks of one bucket: sets of different components that pass the estimate."""
-    signs = np.column_stack([group[s].to_numpy() for s in SIGNATURE]).view(np.uint64)
-    sizes, component = group["n"].to_numpy(), np.array(group["component"].to_pylist(), object)
-    own, low, high = (group[c].to_numpy() for c in ("own", "low", "high"))
-    left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-    _, component = np.unique(component.astype("S16"), return_inverse=True)
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """``key`` and ``own``: how many of a set's shingles no other set has, where there are any."""
+    once = (
+        sets.select("key", F.explode("hashes").alias("hash"))
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("held"), F.min("key").alias("key"))
+        .filter("held = 1")
+    )
+    return once.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _pairs_of(signs, sizes, shared, component, left, right) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the left and the right that may be similar, by bounds and estimate, in parts."""
     lowest = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
-    src, dst = [], []
     for k in range(0, len(left), 64):
         rows = left[k : k + 64]
-        bits = signs[rows, None] ^ signs[None, right]
+        most = np.minimum(shared[rows, None], shared[None, right])
+        union = sizes[rows, None] + sizes[None, right] - most
+        a, b = np.nonzero(
+            (100 * most >= PERCENT * union) & (component[rows, None] != component[None, right])
+        )
+        bits = signs[rows[a]] ^ signs[right[b]]
         for shift in (1 << j for j in range(BITS.bit_length() - 1)):
             bits |= bits >> np.uint64(shift)
-        agreeing = HASHES - np.bitwise_count(bits & lowest).sum(axis=2, dtype=np.int64)
-        m, n = sizes[rows, None], sizes[None, right]
-        good = (agreeing >= LEAST_AGREEMENT) & (component[rows, None] != component[None, right])
-        good &= 100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n)
-        a, b = np.nonzero(good)
-        src.append(rows[a])
-        dst.append(right[b])
-    at = lambda rows: group["key"].take(pa.array(np.concatenate([*rows, np.empty(0, np.int64)])))
-    return pa.table({"src": at(src).combine_chunks(), "dst": at(dst).combine_chunks()})
-
-
-def _in_blocks(crowded: DataFrame, distinct: DataFrame, block: int) -> DataFrame:
-    blocks = F.ceil(F.col("held") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+        agreeing = HASHES - np.bitwise_count(bits & lowest).sum(axis=1, dtype=np.int64)
+        good = agreeing >= LEAST_AGREEMENT
+        yield rows[a[good]], right[b[good]]
+
+
+def _linked(group: pa.Table) -> pa.Table:
+    """Links between the components of the clusters in a group, from one block or between two."""
+    # the sets that differ least from the others first: they join most
+    order = pc.sort_indices(group.append_column("part_own", pc.divide(
+        pc.cast(group["own"], pa.float64()), group["n"])), [("cluster", "ascending"), ("part_own", "ascending")])
+    group = group.take(order).combine_chunks()
+    signs = np.column_stack([group[s].to_numpy() for s in SIGNATURE]).view(np.uint64)
+    sizes = group["n"].to_numpy()
+    shared = sizes - group["own"].to_numpy()
+    numbered = lambda c: np.unique(
+        np.array(group[c].to_pylist(), object).astype("S16"), return_inverse=True
+    )[1]
+    cluster, component = numbered("cluster"), numbered("component")
+    own, low, high = (group[c].to_numpy() for c in ("block", "low", "high"))
+    hashes = group["hashes"].chunk(0)
+    values, begins = hashes.values.to_numpy().view(np.uint64), hashes.offsets.to_numpy()
+    parent = list(range(int(component.max(initial=-1)) + 1))
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    src, dst = [], []
+    edges = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1], True])
+    for begin, end in zip(edges[:-1], edges[1:]):
+        rows = np.arange(begin, end)
+        left, right = rows[own[rows] == low[rows]], rows[own[rows] == high[rows]]
+        for some, others in _pairs_of(signs, sizes, shared, component, left, right):
+            for i, j in zip(some.tolist(), others.tolist()):
+                a, b = root(component[i]), root(component[j])
+                if a == b:
+                    continue
+                one, other = values[begins[i] : begins[i + 1]], values[begins[j] : begins[j + 1]]
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * both >= PERCENT * (len(one) + len(other) - both):
+                    parent[a] = b
+                    src.append(i)
+                    dst.append(j)
+    at = lambda rows: group["key"].take(pa.array(rows, pa.int64())).combine_chunks()
+    return pa.table({"src": at(src), "dst": at(dst)})
+
+
+def _within_clusters(
+    members: DataFrame, folder: str, block: int, block_shingles: int
+) -> DataFrame:
+    """Links between different components of each cluster; ``members`` holds the full sets."""
+    held = stored(
+        members.groupBy(F.col("cluster").alias("key"))
+        .agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+        .select(
+            "key",
+            "shingles",
+            F.greatest(
+                F.ceil(F.col("sets") / F.lit(block)), F.ceil(F.col("shingles") / F.lit(block_shingles))
+            )
+            .cast("int")
+            .alias("blocks"),
+        ),
+        folder,
+        "clusters",
+    )
+    # clusters of one block share tasks of about a block
+    small = held.filter("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
+    tasks = 1 + small // block_shingles
+    sized = held.select(F.col("key").alias("cluster"), "blocks").hint("merge")
+    alone = F.col("blocks") == 1
     return (
-        crowded.join(distinct.select("key", *SIGNATURE).hint("merge"), "key")
-        .withColumn("blocks", blocks)
-        .withColumn("own", own)
+        members.join(sized, "cluster")
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("own", "other"))
-        .withColumn("high", F.greatest("own", "other"))
-        .groupBy("band", "value", "low", "high")
-        .applyInArrow(_compared, "src binary, dst binary")
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .withColumn("task", F.when(alone, F.pmod(F.xxhash64("cluster"), F.lit(tasks))))
+        .withColumn("of", F.when(~alone, F.col("cluster")))
+        .groupBy("task", "of", "low", "high")
+        .applyInArrow(_linked, "src binary, dst binary")
     )
 
 
 def links(
     distinct: DataFrame,
-    sketched: DataFrame,
+    docs: DataFrame,
+    least: DataFrame,
     folder: str,
-    max_bucket: int = MAX_BUCKET,
     block: int = BLOCK,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
-    """``src, dst``: links between distinct sets, enough to have the components of all links."""
+    """``src, dst``: links between distinct sets, enough to have the components of all links.
+
+    ``distinct`` has the sketch of each set, ``least`` the smallest id of the documents that have it.
+    """
     bucket = ["band", "value"]
-    banded = distinct.select("key", "n", F.posexplode("bands").alias(*bucket))
+    banded = distinct.select("key", F.posexplode("bands").alias(*bucket))
     shared = stored(
         banded.groupBy(*bucket)
         .agg(F.count(F.lit(1)).alias("held"), F.min("key").alias("centre"))
-        .filter("held > 1"),
+        .filter("held > 1")
+        .drop("held"),
         folder,
         "buckets",
     )
@@ -281,7 +380,9 @@ def links(
         folder,
         "nearest",
     ).select("src", "dst")
-    first = stored(confirmed(nearest, sketched, folder, "nearest"), folder, "first")
+    needed = nearest.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+    sets = stored(full_sets(docs, least, needed), folder, "nearest-sets")
+    first = stored(confirmed(nearest, sets), folder, "nearest-links")
     roots = components(first, folder, "stars").withColumnRenamed("node", "key")
     placed = stored(
         met.drop("centre")
@@ -291,37 +392,54 @@ def links(
         folder,
         "placed",
     )
-    unsettled = (
+    unsettled = _of_several(placed, bucket)
+    going_on = stored(placed.join(unsettled.hint("merge"), bucket), folder, "unsettled")
+    sets = stored(
+        full_sets(docs, least, going_on.select("key").distinct()), folder, "unsettled-sets"
+    )
+    own = stored(_own_shingles(sets), folder, "own")
+    measured = (
+        sets.withColumn("n", F.size("hashes").cast("long"))
+        .join(own.hint("merge"), "key", "left")
+        .withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+        .filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n"))
+    )
+    measured = stored(measured, folder, "measured")
+    # a bucket may be settled by what has left it
+    going_on = going_on.join(measured.select("key").hint("merge"), "key", "left_semi")
+    going_on = stored(going_on, folder, "left")
+    going_on = stored(
+        going_on.join(_of_several(going_on, bucket).hint("merge"), bucket), folder, "open"
+    )
+    edges = going_on.join(
+        going_on.groupBy(*bucket).agg(F.min("key").alias("centre")).hint("merge"), bucket
+    ).select(F.col("centre").alias("src"), F.col("key").alias("dst"))
+    clusters = components(edges, folder, "clusters-of").select(
+        F.col("node").alias("key"), F.col("root").alias("cluster")
+    )
+    members = (
+        measured.join(clusters.hint("merge"), "key")
+        .join(distinct.select("key", *SIGNATURE).hint("merge"), "key")
+        .join(going_on.select("key", "component").distinct().hint("merge"), "key")
+    )
+    members = stored(members, folder, "members")
+    second = stored(_within_clusters(members, folder, block, block_shingles), folder, "second")
+    return first.union(second)
+
+
+def _of_several(placed: DataFrame, bucket: list[str]) -> DataFrame:
+    """The buckets that hold different components."""
+    return (
         placed.groupBy(*bucket)
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high")
         .select(*bucket)
     )
-    open_rows = stored(placed.join(unsettled.hint("merge"), bucket), folder, "open")
-    few = open_rows.filter(F.col("held") <= max_bucket)
-    end = lambda name: few.select(
-        *bucket, *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "component")]
-    )
-    differ = (F.col("src_key") < F.col("dst_key")) & (F.col("src_component") != F.col("dst_component"))
-    pairs = (
-        end("src")
-        .join(end("dst").hint("merge"), bucket)
-        .filter(differ & _alike(F.col("src_n"), F.col("dst_n")))
-        .select(F.col("src_key").alias("src"), F.col("dst_key").alias("dst"))
-        .distinct()
-    )
-    likely = probable(pairs, distinct)
-    crowded = open_rows.filter(F.col("held") > max_bucket)
-    if not crowded.isEmpty():
-        both = _in_blocks(crowded, distinct, block)
-        likely = likely.union(
-            both.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
-        ).distinct()
-    likely = stored(likely, folder, "likely")
-    return first.union(stored(confirmed(likely, sketched, folder, "likely"), folder, "second"))
-
-
-def near_duplicates(docs: DataFrame, max_bucket: int = MAX_BUCKET, block: int = BLOCK) -> DataFrame:
+
+
+def near_duplicates(
+    docs: DataFrame, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES
+) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest id reachable over links, ``kept`` tells whether it is the own id.
@@ -332,8 +450,8 @@ def near_duplicates(docs: DataFrame, max_bucket: int = MAX_BUCKET, block: int =
     distinct = stored(
         filled.select("key", "n", "bands", *SIGNATURE).dropDuplicates(["key"]), folder, "distinct"
     )
-    roots = components(links(distinct, filled, folder, max_bucket, block), folder)
     least = stored(filled.groupBy("key").agg(F.min("doc_id").alias("least")), folder, "least")
+    roots = components(links(distinct, docs, least, folder, block, block_shingles), folder)
     rooted = stored(
         least.join(roots.withColumnRenamed("node", "key").hint("merge"), "key", "left").select(
             "key", "least", F.coalesce("root", "key").alias("root")

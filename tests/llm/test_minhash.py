@@ -65,11 +65,11 @@ def test_awkward_cases(spark):
     assert minhash.near_duplicates(no_documents(spark)).count() == 0
 
 
-@pytest.mark.parametrize("max_bucket, block", [(64, 2048), (2, 5)])
-def test_against_all_pairs(spark, max_bucket, block):
+@pytest.mark.parametrize("block, shingles", [(1024, 1 << 21), (5, 3000)])
+def test_against_all_pairs(spark, block, shingles):
     table = families()
     docs = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
-    assert found(minhash.near_duplicates(docs, max_bucket, block)) == expected(table)
+    assert found(minhash.near_duplicates(docs, block, shingles)) == expected(table)
 
 
 def test_estimate_is_near_the_similarity(spark):

@@ -48,6 +48,10 @@ RESCALED = 8
 MOST_TRANSITION = 12.0
 #: Words whose evidence a Python worker remembers.
 REMEMBERED = 300_000
+#: Cells (times x chains x languages) of a grid of chains that are worked on together.
+CELLS = 1 << 20
+#: Tokens of texts that are labelled at once; longer texts go in parts.
+PART = 1 << 16
 #: Documents in one batch that a task labels at once, and characters after which it is cut.
 BATCH = 256
 BATCH_CHARS = 1 << 21
@@ -151,6 +155,16 @@ def _packed(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return time, np.repeat(column, lengths), alive
 
 
+def _alike(lengths: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """The chains in blocks of similar length whose grid stays within ``CELLS``."""
+    order = np.argsort(-lengths, kind="stable")
+    begin = 0
+    while begin < len(order):
+        until = begin + max(1, CELLS // (k * int(lengths[order[begin]])))
+        yield order[begin:until]
+        begin = until
+
+
 def forward_backward(
     scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, expect: bool = True
 ):
@@ -159,6 +173,21 @@ def forward_backward(
     ``scores`` is word x label, the chains one after another; every length is positive.
     """
     k = scores.shape[1]
+    starts = np.cumsum(lengths) - lengths
+    marginals, expected = np.empty(scores.shape), np.zeros((k, k))
+    for chosen in _alike(lengths, k):
+        of = lengths[chosen]
+        words = np.arange(of.sum()) + np.repeat(starts[chosen] - (np.cumsum(of) - of), of)
+        marginals[words], moved = _forward_backward(scores[words], of, transitions, expect)
+        expected += moved
+    return marginals, expected
+
+
+def _forward_backward(
+    scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, expect: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """The same on one grid of times and chains."""
+    k = scores.shape[1]
     time, column, alive = _packed(lengths)
     steps, chains = len(alive), len(lengths)
     evidence = np.ones((steps, chains, k))
@@ -302,39 +331,57 @@ class _Evidence(dict):
         return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
 
-def label(model: Model, texts: list[str], evidence: _Evidence | None = None):
-    """(language, score) of each text."""
-    evidence = _Evidence(model) if evidence is None else evidence
-    tokens: list[str] = []
-    lengths, owners = [], []
+def _chained(texts: list[str]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+    """Tokens, lengths of chains and the texts that these belong to, in parts of about ``PART`` tokens."""
+    tokens, lengths, owners = [], [], []
     for number, text in enumerate(texts):
-        for line in text.split("\n"):
-            words = line.split()
+        begin = 0
+        while begin < len(text):
+            # a line, or a part of a long one that ends at white space
+            until = text.find("\n", begin, begin + BATCH_CHARS)
+            if until < 0:
+                until = min(len(text), begin + BATCH_CHARS)
+                while until < len(text) and not text[until].isspace():
+                    until += 1
+            words = text[begin:until].split()
+            begin = until + 1
             tokens += words
             for k in range(0, len(words), CHAIN):
                 lengths.append(min(CHAIN, len(words) - k))
                 owners.append(number)
-    lengths = np.array(lengths, np.int64)
-    rows = evidence.rows(tokens)
-    owner = np.repeat(np.array(owners, np.int64), lengths)
-    # tokens without a letter are no part of a chain
-    word = rows > 0
-    chain = np.repeat(np.arange(len(lengths)), lengths)[word]
-    lengths = np.bincount(chain, minlength=len(lengths))
-    lengths = lengths[lengths > 0]
-    if not len(lengths) or not model.languages:
+            if len(tokens) >= PART:
+                yield tokens, lengths, owners
+                tokens, lengths, owners = [], [], []
+    if tokens:
+        yield tokens, lengths, owners
+
+
+def label(model: Model, texts: list[str], evidence: _Evidence | None = None):
+    """(language, score) of each text."""
+    evidence = _Evidence(model) if evidence is None else evidence
+    k = len(model.languages)
+    sums, held = np.zeros((len(texts), k)), np.zeros(len(texts))
+    for tokens, lengths, owners in _chained(texts):
+        lengths = np.array(lengths, np.int64)
+        rows = evidence.rows(tokens)
+        owner = np.repeat(np.array(owners, np.int64), lengths)
+        # tokens without a letter are no part of a chain
+        word = rows > 0
+        chain = np.repeat(np.arange(len(lengths)), lengths)[word]
+        lengths = np.bincount(chain, minlength=len(lengths))
+        lengths = lengths[lengths > 0]
+        if not len(lengths) or not k:
+            continue
+        scores = evidence.table[rows[word]]
+        marginals, _ = forward_backward(scores, lengths, model.transitions, expect=False)
+        held += np.bincount(owner[word], minlength=len(texts))
+        for j in range(k):
+            sums[:, j] += np.bincount(owner[word], marginals[:, j], len(texts))
+    if not k:
         return [(UNKNOWN, 0.0)] * len(texts)
-    scores = evidence.table[rows[word]]
-    marginals, _ = forward_backward(scores, lengths, model.transitions, expect=False)
-    held = np.bincount(owner[word], minlength=len(texts))
-    sums = np.stack(
-        [np.bincount(owner[word], marginals[:, j], len(texts)) for j in range(len(model.languages))],
-        axis=1,
-    )
-    best = sums.argmax(axis=1)
     return [
         (model.languages[b], min(1.0, float(sums[i, b] / held[i]))) if held[i] else (UNKNOWN, 0.0)
-        for i, b in enumerate(best)
+        for i, b in enumerate(sums.argmax(axis=1))
     ]
 
 

@@ -77,3 +77,40 @@ def test_nothing_to_learn_from(spark):
     assert [tuple(r)[2:] for r in language_id.languages(df).collect()] == [("und", 0.0)]
     one = spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in language_id.languages(one).collect()] == [("en", 1.0)]
+
+
+def test_long_texts_take_bounded_memory():
+    """Many short lines and one long one: the same rows as in any other blocks, in bounded memory."""
+    import tracemalloc
+
+    draw = np.random.default_rng(2)
+    words = {"a": ["lorem", "ipsa", "dola"], "b": ["kuu", "mies", "ja"]}
+    texts = [(" ".join(draw.choice(words[l], 40)), l) for l in "ab" for _ in range(20)]
+    model = language_id.train(texts)
+    lines = [str(w) for w in draw.choice(words["a"], 200_000)]
+    text = "\n".join(lines) + "\n" + " ".join(draw.choice(words["b"], 3000))
+    tracemalloc.start()
+    got = language_id.label(model, [text, "kuu ja", text[:500]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    assert [g[0] for g in got] == ["a", "b", "a"]
+    # in one grid
+    scores = draw.normal(size=(500, 3))
+    lengths = np.array([1, 64, 3, 200, 1, 1, 230])
+    moves = draw.normal(size=(3, 3))
+    whole = language_id._forward_backward(scores, lengths, moves, True)
+    cells, language_id.CELLS = language_id.CELLS, 100
+    try:
+        parts = language_id.forward_backward(scores, lengths, moves)
+    finally:
+        language_id.CELLS = cells
+    assert np.allclose(whole[0], parts[0], atol=1e-12) and np.allclose(whole[1], parts[1])
+    # a text is cut between words only, wherever its parts end
+    part, language_id.PART, size, language_id.BATCH_CHARS = language_id.PART, 7, language_id.BATCH_CHARS, 50
+    try:
+        again = language_id.label(model, [text[:5000], "kuu ja"])
+    finally:
+        language_id.PART, language_id.BATCH_CHARS = part, size
+    tokens = [t for tokens, *_ in language_id._chained([text]) for t in tokens]
+    assert tokens == text.split() and [g[0] for g in again] == ["a", "b"]

@@ -2,14 +2,20 @@
 
 The standard library's parser reads a page as a stream of events. Block elements cut it into lines; a
 line's ratio is its characters outside links over its tags. Lines of elements that never hold the
-article (menus, forms, scripts and so on by element or role, adverts and notices by the words in class
+article (menus, forms, scripts and so on by element or role, adverts and notices by the names in class
 and id) have ratio zero. The ratios are smoothed along the page by a Gaussian, and lines above one
 standard deviation of the smoothed ratios, or all with text on pages where nothing stands out, form the
-content clusters. The region is the element with the article: ``article`` or ``main`` if most of the
-clusters' text lies in such elements, else the innermost element that holds all of it, so that no
-content line is left out. In an ``article`` or ``main`` all lines are the main text, and the clusters
-decide no more; in another region all lines from the first to the last content line, and those before
-and after them that are not mostly links. Short paragraphs, lists and headings are included.
+content clusters.
+
+Clusters choose the regions. Where most of their text lies in ``article`` or ``main`` elements, the regions
+are these elements, and outside them the lines from the first to the last content line of each stretch;
+otherwise the region is the innermost element that holds all content lines. In a region, lines of mostly
+links are left out if they lie before the first or after the last content line, or in a run of
+``LINK_RUN`` or more that are no content lines. Other lines stay: short paragraphs, lists, headings.
+
+A name in class or id counts as a hint if all its parts are words for such elements or for boxes in
+general, at least one of the former: ``cookie-bar`` does, ``legal-analysis`` does not. In an article, some
+names (``DOUBTFUL``) count only where the element's text is mostly links or tags.
 
 Defined results: null and empty html, and pages without text, give an empty text. Unclosed and
 misnested elements end with their parent. Character references are decoded, white space (as ``str.split``
@@ -67,6 +73,20 @@ HINTS = frozenset(
 NOT_ARTICLES = frozenset(
     "comment comments reply replies related recommended ad ads advert sponsored promo teaser".split()
 )
+#: Words of class and id that say nothing about what an element holds.
+PLAIN = frozenset(
+    "box block container wrapper wrap list section area bar side top bottom left right inner outer main "
+    "content item items row col column group panel holder slot unit zone region body head link links "
+    "button buttons icon icons text title post posts article articles page site web global primary "
+    "secondary fixed sticky small large full form field tool tools more all js is has iframe google "
+    "bottombar wide label frame module component layout element mobile desktop".split()
+)
+#: Hints that, in an article, may also name a part of it.
+DOUBTFUL = frozenset("share sharing social related legal search recommended".split())
+#: Characters per tag under which the text of an element is mostly tags.
+FEW_CHARS = 20
+#: Lines of mostly links in a row that are a menu.
+LINK_RUN = 3
 #: Elements that hold one paragraph or less, and so are no region.
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre figcaption caption address".split())
 NO_REGION = INLINE | LEAVES
@@ -88,11 +108,44 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 @dataclass
 class Element:
     tag: str
+    #: Its place among all elements in page order, and that of the last one inside it.
     number: int
+    last: int
+    #: The element around it that may be a region.
+    holder: "Element | None"
     silent: bool
     apart: bool
     link: bool
     in_article: bool
+    #: The innermost element around it, or itself, with a doubtful hint.
+    doubt: "Doubt | None"
+
+
+@dataclass
+class Doubt:
+    above: "Doubt | None"
+    chars: int = 0
+    link_chars: int = 0
+    tags: int = 0
+    apart: bool | None = None
+
+    def add(self, chars: int, link_chars: int, tags: int) -> None:
+        self.chars += chars
+        self.link_chars += link_chars
+        self.tags += tags
+
+    def is_apart(self) -> bool:
+        """Whether the text of the element, or of a doubtful one around it, is mostly links or tags."""
+        chain = [self]
+        while chain[-1].apart is None and chain[-1].above is not None:
+            chain.append(chain[-1].above)
+        apart = False
+        for doubt in reversed(chain):
+            if doubt.apart is None:
+                heavy = 2 * doubt.link_chars > doubt.chars or doubt.chars < FEW_CHARS * doubt.tags
+                doubt.apart = apart or heavy
+            apart = doubt.apart
+        return apart
 
 
 @dataclass
@@ -101,11 +154,29 @@ class Line:
     tags: int
     link_chars: int
     apart: bool
-    #: Numbers of the open elements that may be a region, outermost first.
-    inside: tuple[int, ...]
+    #: The innermost open element that may be a region.
+    holder: Element | None
+    in_article: bool
+    doubt: Doubt | None
+
+    @property
+    def of_links(self) -> bool:
+        return 2 * self.link_chars > len(self.text)
 
 
-def _hinted(tag: str, attrs: dict[str, str | None], in_article: bool) -> bool:
+def _hints(attrs: dict[str, str | None]) -> set[str]:
+    """The hints in names of which all parts are hints or plain words."""
+    found = set()
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+        words = {word.lower() for word in _PARTS.findall(name)}
+        hints = words & HINTS
+        if hints and all(w in PLAIN or w.isdigit() or len(w) == 1 for w in words - hints):
+            found |= hints
+    return found
+
+
+def _hinted(tag: str, attrs: dict[str, str | None], in_article: bool) -> bool | None:
+    """Whether an element is apart by its attributes; None if that depends on its text."""
     if tag in WHOLE_PAGE:
         return False
     if (attrs.get("role") or "").lower() in ROLES:
@@ -113,22 +184,27 @@ def _hinted(tag: str, attrs: dict[str, str | None], in_article: bool) -> bool:
     style = (attrs.get("style") or "").replace(" ", "").lower()
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style:
         return True
-    named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    words = {word.lower() for word in _PARTS.findall(named)}
+    hints = _hints(attrs)
     if tag in ("article", "main"):
-        return not words.isdisjoint(NOT_ARTICLES)
-    # in an article, a header holds the title
-    return not words.isdisjoint(HINTS - HEADER_HINTS if in_article else HINTS)
+        return not hints.isdisjoint(NOT_ARTICLES)
+    if in_article:
+        hints -= HEADER_HINTS  # in an article, a header holds the title
+        if hints and hints <= DOUBTFUL:
+            return None
+    return bool(hints)
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page, and which elements are an ``article`` or ``main``."""
+    """Collects the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[Element] = []
+        #: Places in ``open`` of each tag, and of the elements that cut lines.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
         self.lines: list[Line] = []
-        self.articles: set[int] = set()
+        self.doubts: list[Doubt] = []
         self.count = 0
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
@@ -136,11 +212,30 @@ class Lines(HTMLParser):
     def cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            apart = bool(self.open) and self.open[-1].apart
-            inside = tuple(e.number for e in self.open if e.tag not in NO_REGION)
-            self.lines.append(Line(text, self.tags, self.link_chars, apart, inside))
+            top = self.open[-1] if self.open else None
+            line = Line(
+                text,
+                self.tags,
+                self.link_chars,
+                top is not None and top.apart,
+                top and (top if top.tag not in NO_REGION else top.holder),
+                top is not None and top.in_article,
+                top and top.doubt,
+            )
+            self.lines.append(line)
         self.parts, self.tags, self.link_chars = [], 0, 0
 
+    def close_from(self, place: int) -> None:
+        for element in reversed(self.open[place:]):
+            element.last = self.count
+            self.places[element.tag].pop()
+            if element.tag not in INLINE:
+                self.blocks.pop()
+        del self.open[place:]
+
+    def last_place(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def handle_starttag(self, tag, attrs):
         if tag in ("br", "wbr"):
             self.parts.append(" " if tag == "br" else "")
@@ -148,7 +243,10 @@ class Lines(HTMLParser):
         if tag not in INLINE:
             self.cut()
             if tag in SIBLINGS:
-                self.end_siblings(*SIBLINGS[tag])
+                kinds, parents = SIBLINGS[tag]
+                before = self.last_place(kinds)
+                if before > self.last_place(parents | APART):
+                    self.close_from(before)
         self.tags += 1
         if tag in VOID:
             return
@@ -156,17 +254,26 @@ class Lines(HTMLParser):
         above = self.open[-1] if self.open else None
         in_article = above is not None and above.in_article
         hinted = _hinted(tag, dict(attrs), in_article) if attrs else False
+        doubt = above and above.doubt
+        if hinted is None:
+            doubt = Doubt(doubt)
+            self.doubts.append(doubt)
         article = tag in ("article", "main") and not hinted
-        apart = hinted or (tag in APART and not (tag == "header" and in_article))
+        apart = hinted is True or (tag in APART and not (tag == "header" and in_article))
         if above is not None and above.apart and not article:
             apart = True
         silent = tag in SILENT or (above is not None and above.silent and tag != "body")
         # a hinted inline element is left out of its line
-        silent = silent or (hinted and tag in INLINE)
+        silent = silent or (hinted is True and tag in INLINE)
         link = tag == "a" or (above is not None and above.link)
-        if article and not (above is not None and above.silent):
-            self.articles.add(self.count)
-        self.open.append(Element(tag, self.count, silent, apart, link, article or in_article))
+        holder = above and (above if above.tag not in NO_REGION else above.holder)
+        within = in_article or (article and not (above is not None and above.silent))
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag not in INLINE:
+            self.blocks.append(len(self.open))
+        self.open.append(
+            Element(tag, self.count, self.count, holder, silent, apart, link, within, doubt)
+        )
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -177,21 +284,10 @@ class Lines(HTMLParser):
         if tag not in INLINE:
             self.cut()
         self.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                return
-            # an inline element doesn't end the blocks in it
-            if tag in INLINE and self.open[k].tag not in INLINE:
-                return
-
-    def end_siblings(self, kinds: frozenset[str], parents: frozenset[str]) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k].tag in kinds:
-                del self.open[k:]
-                return
-            if self.open[k].tag in parents or self.open[k].tag in APART:
-                return
+        place = self.last_place([tag])
+        # an inline element doesn't end the blocks in it
+        if place >= 0 and not (tag in INLINE and self.blocks and self.blocks[-1] > place):
+            self.close_from(place)
 
     def handle_data(self, data):
         if self.open and self.open[-1].silent:
@@ -203,6 +299,20 @@ class Lines(HTMLParser):
     def unknown_decl(self, data):
         """A marked section is no text."""
 
+    def finish(self) -> list[Line]:
+        self.close()
+        self.cut()
+        self.close_from(0)
+        for line in self.lines:
+            if line.doubt is not None:
+                line.doubt.add(len(line.text), line.link_chars, line.tags)
+        for doubt in reversed(self.doubts):  # inner ones come after outer ones
+            if doubt.above is not None:
+                doubt.above.add(doubt.chars, doubt.link_chars, doubt.tags)
+        for line in self.lines:
+            line.apart = line.apart or (line.doubt is not None and line.doubt.is_apart())
+        return self.lines
+
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     if not len(ratios):
@@ -224,36 +334,64 @@ def content_lines(lines: list[Line]) -> np.ndarray:
     return (smooth > smooth.std()) & (ratios > 0) if smooth.std() > 0 else ratios > 0
 
 
-def _region(lines: list[Line], chosen: np.ndarray, articles: set[int]) -> list[Line]:
-    total = sum(len(n.text) for n, c in zip(lines, chosen) if c)
-    in_articles = sum(
-        len(n.text) for n, c in zip(lines, chosen) if c and not articles.isdisjoint(n.inside)
-    )
-    if in_articles >= MOST * total:
-        return [n for n in lines if not n.apart and not articles.isdisjoint(n.inside)]
-    holding = None
-    for line, wanted in zip(lines, chosen):
-        if wanted:
-            holding = set(line.inside) if holding is None else holding.intersection(line.inside)
-    innermost = max(holding or (), default=None)
-    inside = [
-        k for k, n in enumerate(lines) if not n.apart and (innermost is None or innermost in n.inside)
-    ]
-    # lines of mostly links before the first and after the last content line are menus
-    wanted = [k for k in inside if chosen[k]] or inside
-    return [
-        lines[k]
-        for k in inside
-        if wanted[0] <= k <= wanted[-1] or 2 * lines[k].link_chars <= len(lines[k].text)
-    ]
+def _around(first: Element | None, last: Element | None) -> Element | None:
+    """The innermost element that holds both lines' holders."""
+    while first is not None and last is not None and not first.number <= last.number <= first.last:
+        first = first.holder
+    return first if last is not None else None
+
+
+def _regions(lines: list[Line], chosen: np.ndarray) -> list[int]:
+    """The places of the lines in the regions that the content lines choose."""
+    wanted = [k for k in range(len(lines)) if chosen[k]]
+    total = sum(len(lines[k].text) for k in wanted)
+    in_articles = sum(len(lines[k].text) for k in wanted if lines[k].in_article)
+    open_lines = [k for k, n in enumerate(lines) if not n.apart]
+    if not wanted:
+        return open_lines
+    if in_articles < MOST * total:
+        # lines come in page order, so what holds the first and the last holds all
+        region = _around(lines[wanted[0]].holder, lines[wanted[-1]].holder)
+        if region is None:
+            return open_lines
+        return [
+            k
+            for k in open_lines
+            if lines[k].holder is not None and region.number <= lines[k].holder.number <= region.last
+        ]
+    kept, stretch = [], []
+    for k in [*open_lines, len(lines)]:
+        outside = k < len(lines) and not lines[k].in_article
+        if outside:
+            stretch.append(k)
+            continue
+        content = [j for j in stretch if chosen[j]]
+        kept += [j for j in stretch if content and content[0] <= j <= content[-1]]
+        stretch = []
+        kept += [k] if k < len(lines) else []
+    return kept
+
+
+def _kept(lines: list[Line], chosen: np.ndarray) -> list[Line]:
+    places = _regions(lines, chosen)
+    content = [i for i, k in enumerate(places) if chosen[k]] or [0, len(places) - 1]
+    result, menu = [], []
+    for i, k in enumerate([*places, None]):
+        if k is not None and lines[k].of_links and not chosen[k]:
+            menu.append((i, lines[k]))
+            continue
+        if len(menu) < LINK_RUN:
+            result += [line for at, line in menu if content[0] < at < content[-1]]
+        menu = []
+        result += [lines[k]] if k is not None else []
+    # a page of links alone is its links
+    return result or [lines[k] for k in places]
 
 
 def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html or "")
-    parser.close()
-    parser.cut()
-    lines = parser.lines
+    lines = parser.finish()
     if lines and all(n.apart for n in lines):
         # everything bears a hint: then the hints say nothing
         for n in lines:
@@ -261,7 +399,9 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     chosen = content_lines(lines)
-    return "\n\n".join(n.text for n in _region(lines, chosen, parser.articles))
+    # a line of mostly links is content on a page of links only
+    texts = chosen & ~np.array([n.of_links for n in lines])
+    return "\n\n".join(n.text for n in _kept(lines, texts if texts.any() else chosen))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

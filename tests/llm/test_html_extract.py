@@ -1,3 +1,7 @@
+import math
+import random
+import time
+
 import pytest
 from llm_cases import bag
 
@@ -58,6 +62,83 @@ def test_nested_regions_lose_no_line(html):
     assert got.split("\n\n") == [line.strip() for line in NESTED[html]]
 
 
+PARA = "A paragraph of the article with quite some words in it, so that it stands out here. " * 3
+LINKS = "".join(f"<li><a href='/{k}'>Link number {k}</a></li>" for k in range(20))
+ARTICLES = {
+    # text of the article beside the element
+    f"<article><p>{LONG}</p></article><div><p>{LONG[:150]}</p></div>": [LONG, LONG[:150]],
+    f"<main><p>{LONG}</p><p>{LONG}</p></main><div><h2>More</h2><p>{LONG}</p><p>x</p><p>{PARA}</p></div>":
+        [LONG, LONG, "More", LONG, "x", PARA],
+    # names that only contain a hint
+    **{
+        f"<article><p>{PARA}</p><div class='{name}'><p>{PARA}</p></div></article>": [PARA, PARA]
+        for name in ("legal-analysis", "social-impact", "related-work", "lead-in share", "search-history")
+    },
+    # and names that are one
+    **{
+        f"<article><p>{PARA}</p><div class='{name}'>{more}</div><p>{PARA}</p></article>": [PARA, PARA]
+        for name, more in {
+            "share-buttons": "<a href=x>Mail</a> <a href=y>Print</a>",
+            "related": f"<ul>{LINKS}</ul>",
+            "ad-slot-2": f"<p>{PARA}</p>",
+            "cookie-notice": f"<p>{PARA}</p>",
+            "commentList": f"<p>{PARA}</p>",
+        }.items()
+    },
+    # menus without a hint
+    f"<main><div><a href=a>Home</a> <a href=b>About</a></div><p>{PARA}</p><ul>{LINKS}</ul></main>": [PARA],
+    f"<article><p>{PARA}</p><ul>{LINKS}</ul><p>{PARA}</p></article>": [PARA, PARA],
+    # one link between paragraphs is text
+    f"<article><p>{PARA}</p><p><a href=x>The whole report</a></p><p>{PARA}</p></article>":
+        [PARA, "The whole report", PARA],
+}
+
+
+@pytest.mark.parametrize("html", ARTICLES, ids=range(len(ARTICLES)))
+def test_clusters_decide_in_articles(html):
+    page = f"<nav>{MENU}</nav>{html}<footer>{LONG}</footer>"
+    assert html_extract.main_text(page).split("\n\n") == [line.strip() for line in ARTICLES[html]]
+
+
+def test_ratio_smoothing_and_threshold_by_hand():
+    """Against sums over all lines, each written out."""
+    draw = random.Random(3)
+    for _ in range(30):
+        lines = []
+        for _ in range(draw.randint(1, 40)):
+            text = "x" * draw.choice([3, 10, 80, 400])
+            links = draw.choice([0, 0, len(text), len(text) // 2])
+            lines.append(
+                html_extract.Line(text, draw.randint(0, 4), links, draw.random() < 0.2, None, False, None)
+            )
+        ratios = [0 if n.apart else (len(n.text) - n.link_chars) / max(n.tags, 1) for n in lines]
+        if not any(ratios):
+            ratios = [0 if n.apart else len(n.text) for n in lines]
+        smooth = []
+        for i in range(len(lines)):
+            near = [(math.exp(-((i - j) ** 2) / 4.5), r) for j, r in enumerate(ratios) if abs(i - j) <= 4]
+            smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+        mean = sum(smooth) / len(smooth)
+        deviation = math.sqrt(sum((v - mean) ** 2 for v in smooth) / len(smooth))
+        got = html_extract.content_lines(lines)
+        for chosen, v, r in zip(got, smooth, ratios):
+            if abs(v - deviation) > 1e-9:
+                assert bool(chosen) == (r > 0 and (v > deviation or deviation == 0))
+
+
+@pytest.mark.parametrize("page", [
+    "<div>word" * 16_000,
+    "<div>" * 16_000 + "</section>" * 16_000 + "word",
+    "<p><i>" + "<b>" * 16_000 + "</i>x" * 4000,
+    "<ul><li>word" * 12_000,
+    "<article><div class=share>word" * 5000,
+])
+def test_deep_nesting_takes_linear_time(page):
+    began = time.process_time()
+    assert html_extract.main_text(page)
+    assert time.process_time() - began < 2
+
+
 def test_very_long_pages():
     text = html_extract.main_text("<article>" + "<p>word</p>" * 50_000 + "</article>")
     assert text.count("word") == 50_000

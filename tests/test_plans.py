@@ -189,10 +189,11 @@ def test_trends_do_not_group_by_what_they_do_not_read(spark, name):
     assert "proposal_title" not in plan
 
 
-def test_numbering_evaluates_the_portfolio_twice(spark, settings):
-    """Once to number the rows, once to count the blocks, for all three numberings together."""
+def test_numbering_evaluates_the_portfolio_once(spark, settings):
+    """Rows and blocks of all three numberings read the same exchanges: at most each file once or twice."""
     settings(autoBroadcastJoinThreshold="-1", adaptive_autoBroadcastJoinThreshold="-1")
     df = registry.queries()["active_portfolio"](spark, SMALL)
     df.collect()
     final = _plan(df).split("== Initial Plan ==")[0]
-    assert len(re.findall(r"Scan parquet", final)) <= 20
+    assert len(re.findall(r"Scan parquet", final)) <= 8
+    assert "ReusedExchange" in final

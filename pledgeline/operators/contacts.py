@@ -49,18 +49,54 @@ def with_households(contacts: DataFrame, entity: DataFrame) -> DataFrame:
     )
 
 
-def with_fundraiser_name(contacts: DataFrame, entity: DataFrame) -> DataFrame:
-    """Add the name of the credited person, or of the author where there is none."""
-    named = lambda key, name: entity.select(
-        F.col("entity_id").alias(key), F.col("report_name").alias(name)
+# who a contact names, and what is looked up of them
+LOOKUPS = {
+    "contact_entity_id": "hh_corp_entity_id",
+    "contact_alt_entity_id": "hh_corp_entity_id",
+    "contact_credit_entity_id": "report_name",
+    "author_entity_id": "report_name",
+}
+
+
+def with_entities(
+    contacts: DataFrame, entity: DataFrame, among: DataFrame | None = None
+) -> DataFrame:
+    """Add both households and the fundraiser's name: the credited person, or the author if unnamed.
+
+    Contacts that name the same four people are one combination, which is unfolded into one narrow row
+    per person. These meet the entities in one join, are folded back, and the combinations meet the
+    contacts: these are shuffled once, however many people they name, and an entity that many contacts
+    name has few rows, whose oversized partitions are split. ``among`` may be a cheaper table of contacts
+    that includes these, to find the combinations in.
+    """
+    people = list(LOOKUPS)
+    named = F.struct(*people)
+    slots = F.array(
+        *[F.struct(F.lit(k).alias("_slot"), F.col(c).alias("_key")) for k, c in enumerate(people)]
+    )
+    asked = (
+        (contacts if among is None else among)
+        .select(*people)
+        .distinct()
+        .select(named.alias("_named"), F.inline(slots))
+        .filter(F.col("_key").isNotNull())
+    )
+    found = splittable_join(
+        asked,
+        entity.select(F.col("entity_id").alias("_key"), "hh_corp_entity_id", "report_name"),
+        ["_key"],
+    )
+    of = lambda k, column: F.max(F.when(F.col("_slot") == k, F.col(column)))
+    # sorted by combination, as the join with the contacts needs it
+    folded = found.groupBy("_named").agg(
+        *[of(k, column).alias(f"_{k}") for k, column in enumerate(LOOKUPS.values())]
     )
     return (
-        contacts.join(
-            named("contact_credit_entity_id", "_credited"), "contact_credit_entity_id", "left"
-        )
-        .join(named("author_entity_id", "_author"), "author_entity_id", "left")
-        .withColumn("fundraiser_name", F.coalesce("_credited", "_author"))
-        .drop("_credited", "_author")
+        splittable_join(contacts.withColumn("_named", named), folded, ["_named"], "left")
+        .withColumn("hh_corp_entity_id", F.col("_0"))
+        .withColumn("alt_hh_corp_entity_id", F.col("_1"))
+        .withColumn("fundraiser_name", F.coalesce("_2", "_3"))
+        .drop("_named", *[f"_{k}" for k in range(len(LOOKUPS))])
     )
 
 
@@ -73,8 +109,19 @@ def contacts_enriched(
     fundraisers: list[int] | None = None,
 ) -> DataFrame:
     """Contacts in the window with fiscal year, both households and fundraiser name."""
-    rows = contacts_between(contact, date_dim, start, end, fundraisers)
-    return with_fundraiser_name(with_households(rows, entity), entity)
+    return with_entities(contacts_between(contact, date_dim, start, end, fundraisers), entity)
+
+
+ROLE_KEYS = {"contact_credit_entity_id": "_credit", "author_entity_id": "_author"}
+
+
+def possibly_in_role(contacts: DataFrame, roles: DataFrame) -> DataFrame:
+    """The contacts that a bitmap of the role's people lets through: all in the role, few others."""
+    words = bitmap(roles.select("fundraiser_entity_id").distinct())
+    possible = F.lit(False)
+    for key in ROLE_KEYS:
+        possible = possible | may_hold(words, F.col(key))
+    return contacts.filter(possible)
 
 
 def contacts_in_role(contacts: DataFrame, roles: DataFrame) -> DataFrame:
@@ -83,18 +130,12 @@ def contacts_in_role(contacts: DataFrame, roles: DataFrame) -> DataFrame:
     A bitmap of the role's people drops nearly all other contacts where they are read; what is left is
     checked by joins.
     """
-    columns = contacts.columns
     people = roles.select("fundraiser_entity_id").distinct()
-    words = bitmap(people)
-    keys = {"contact_credit_entity_id": "_credit", "author_entity_id": "_author"}
-    possible = F.lit(False)
-    for key in keys:
-        possible = possible | may_hold(words, F.col(key))
-    rows = contacts.filter(possible)
-    for key, mark in keys.items():
+    rows = possibly_in_role(contacts, roles)
+    for key, mark in ROLE_KEYS.items():
         marked = people.select(F.col("fundraiser_entity_id").alias(key), F.lit(True).alias(mark))
         rows = splittable_join(rows, marked, [key], "left")
-    return rows.filter(F.col("_credit") | F.col("_author")).select(*columns)
+    return rows.filter(F.col("_credit") | F.col("_author")).select(*contacts.columns)
 
 
 def entity_display_name(entity: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from pledgeline.functions.values import both, one_of
 from pledgeline.operators.contacts import (
     contacts_between,
     contacts_in_role,
-    with_fundraiser_name,
+    possibly_in_role,
+    with_entities,
     with_households,
 )
 from pledgeline.operators.history import first_forward_moves
@@ -65,8 +66,10 @@ def scoped_contacts(
     contacts = contacts_between(tables["contact"], tables["date_dim"], start, end, fundraisers)
     if units is not None:
         contacts = contacts.filter(F.col("unit_desc").isin(list(units)))
-    contacts = with_households(contacts_in_role(contacts, in_role), tables["entity"])
-    return contacts if lean else with_fundraiser_name(contacts, tables["entity"])
+    in_scope = contacts_in_role(contacts, in_role)
+    if lean:
+        return with_households(in_scope, tables["entity"])
+    return with_entities(in_scope, tables["entity"], among=possibly_in_role(contacts, in_role))
 
 
 def scoped_assignments(

@@ -145,9 +145,22 @@ SORTED_AGGREGATES = {
     *[q for q in QUERIES if q.startswith(("first_forward", "dashboard_"))],
     "scoped_qualifications",
     "trend_qualifications",
+    # sorted by the key of the join that follows
+    "contacts_enriched",
+    "scoped_contacts",
 }
 
 
+@pytest.mark.parametrize("name", ["contacts_enriched", "scoped_contacts"])
+def test_contacts_meet_entities_once(spark, settings, name):
+    settings(autoBroadcastJoinThreshold="-1")
+    plan = _without_subqueries(_plan(registry.queries()[name](spark, SMALL)))
+    # the entities of the sample are customers and suppliers
+    assert len(re.findall(r"Scan parquet \S*\[c_custkey", plan)) == 1
+    # the wide rows of contacts are shuffled once for the entities, by all people they name
+    assert not re.search(r"hashpartitioning\(contact_(alt_)?entity_id#\w+, \d+\)", plan)
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_facts_are_combined_by_hash(spark, settings, name):
     settings(autoBroadcastJoinThreshold="-1")

@@ -1,7 +1,7 @@
 """Byte-level BPE over ranks: encoding by overlapping chunks, decoding by joining raw bytes.
 
 Texts of up to ``CHUNK_CHARS`` characters are encoded as they are. Longer ones are pre-tokenised as
-overlapping chunks in parallel, stitched where the pre-token boundaries of two chunks resynchronise
+overlapping chunks, each in a task of its own, stitched where the pre-token boundaries of two chunks resynchronise
 (see ``chunks``), and then the pieces, which together are exactly the text, are encoded apart.
 
 Within a text, no pre-token reaches from a character that isn't white space into white space, so a
@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
@@ -131,7 +132,8 @@ def _encoded_pieces(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = vocabulary.open()
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 piece = row["value"][row["begin"] - row["start"] : row["until"] - row["start"]]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -168,6 +170,8 @@ def encode(
     overlap_chars: int = OVERLAP_CHARS,
 ) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) of each document."""
+    if pattern != public_tokenizers.PATTERN:
+        raise ValueError("texts can be cut safely by the pattern of the public tokenizers only")
     spark = docs.sparkSession
     vocabulary = Vocabulary(spark, path, pattern)
     texts = docs.select("doc_id", text_or_empty().alias("text"))

@@ -7,6 +7,10 @@ the pre-token starts in its first overlap (``heads``) and in the overlap it shar
 (``tails``, without a margin at its end, where the cut may still change a decision). The smallest
 common one is the splice: the earlier chunk owns what lies before it and the later one the rest.
 
+Texts are only cut in the task that holds them; their chunks are dealt to all tasks, one row each, and
+read there. Neighbouring chunks meet by joins on their numbers, which carry heads and tails and no text,
+so nothing gathers a text's chunks again.
+
 Texts where some pair of chunks has no common start (one pre-token longer than the overlap) are cut
 again with an overlap ``WIDEN`` times as wide, until nothing fails; in the end one chunk holds the
 whole text.
@@ -17,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pledgeline.llm.common import stored
@@ -26,9 +30,13 @@ CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
 WIDEN = 8
 
-#: What a chunk reports: its own columns, then the common ones.
-COMMON = """doc_id long, digest string, copies long, k long, start long, n_chars long, n_bytes long,
-    heads array<long>, tails array<long>"""
+#: A chunk: which text it is of (id and digest), its place, its characters.
+PIECE = """of struct<doc_id: long, digest: string>, copies long, k long, start long, n_chars long,
+    n_bytes long, piece string"""
+#: What reading makes of it, before its own column.
+READ = """of struct<doc_id: long, digest: string>, copies long, k long, start long, n_chars long,
+    n_bytes long, heads array<long>, tails array<long>"""
+_OF = pa.struct([("doc_id", pa.int64()), ("digest", pa.string())])
 
 #: From the text of a chunk: the starts of its pre-tokens (within the chunk) and its own column.
 Reader = Callable[[str], tuple[list[int], object]]
@@ -45,37 +53,62 @@ def long_texts(docs: DataFrame, chunk_chars: int) -> DataFrame:
     )
 
 
-def _cut(reader: Callable[[], Reader], kind: str, chunk: int, overlap: int, margin: int):
-    """Function for mapInArrow: the chunks of each text, with what ``reader()`` finds in them."""
-    value_type = {"string": pa.string(), "array<long>": pa.list_(pa.int64())}[kind]
+def pieces(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
+    """The chunks of all texts (see ``long_texts``), dealt to tasks of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = reader()
         for batch in batches:
-            for row in batch.to_pylist():
-                text, n = row["text"], len(row["text"])
-                n_bytes = len(text.encode())
+            for row in range(batch.num_rows):
+                doc_id, text, copies, digest = (c[row].as_py() for c in batch.columns)
+                n, n_bytes = len(text), len(text.encode())
                 for k, start in enumerate(range(0, n, chunk)):
-                    piece = text[start : start + chunk + overlap]
-                    starts, value = read(piece)
-                    seen = n - start if start + len(piece) == n else len(piece) - margin
-                    heads = [start + s for s in starts if s <= overlap] if k else []
-                    tails = [start + s for s in starts if chunk <= s <= min(seen, chunk + overlap)]
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "doc_id": pa.array([row["doc_id"]], pa.int64()),
-                            "digest": [row["digest"]],
-                            "copies": pa.array([row["copies"]], pa.int64()),
-                            "k": pa.array([k], pa.int64()),
-                            "start": pa.array([start], pa.int64()),
-                            "n_chars": pa.array([n], pa.int64()),
-                            "n_bytes": pa.array([n_bytes], pa.int64()),
-                            "heads": pa.array([heads], pa.list_(pa.int64())),
-                            "tails": pa.array([tails], pa.list_(pa.int64())),
-                            "value": pa.array([value], value_type),
+                            "of": pa.array([(doc_id, digest)], _OF),
+                            **{
+                                name: pa.array([value], pa.int64())
+                                for name, value in (
+                                    ("copies", copies),
+                                    ("k", k),
+                                    ("start", start),
+                                    ("n_chars", n),
+                                    ("n_bytes", n_bytes),
+                                )
+                            },
+                            "piece": [text[start : start + chunk + overlap]],
                         }
                     )
 
+    # of a fixed number, so that the chunks of one text are not put together again for being small
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.select("doc_id", "text", "copies", "digest").mapInArrow(run, PIECE)
+    return rows.repartition(tasks, "of", "k")
+
+
+def _read(reader: Callable[[], Reader], kind: str, chunk: int, overlap: int, margin: int):
+    """Function for mapInArrow: what ``reader()`` finds in each chunk."""
+    value_type = {"string": pa.string(), "array<long>": pa.list_(pa.int64())}[kind]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = reader()
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                start, n, piece = (row.column(c)[0].as_py() for c in ("start", "n_chars", "piece"))
+                starts, value = read(piece)
+                seen = n - start if start + len(piece) == n else len(piece) - margin
+                heads = [start + s for s in starts if s <= overlap] if start else []
+                tails = [start + s for s in starts if chunk <= s <= min(seen, chunk + overlap)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *row.columns[:-1],
+                        pa.array([heads], pa.list_(pa.int64())),
+                        pa.array([tails], pa.list_(pa.int64())),
+                        pa.array([value], value_type),
+                    ],
+                    [*row.schema.names[:-1], "heads", "tails", "value"],
+                )
+
     return run
 
 
@@ -93,31 +126,40 @@ def spliced(
     ``reader`` builds the reading function once per task; its second result is the column ``value``,
     of the Spark type ``kind``. ``margin`` is how many characters a decision may look ahead.
     """
-    whole = Window.partitionBy("doc_id", "digest")
-    order = whole.orderBy("k")
-    common = F.array_min(F.array_intersect(F.lag("tails").over(order), F.col("heads")))
     result, todo, attempt = None, texts, 0
     while True:
-        rows = todo.mapInArrow(
-            _cut(reader, kind, chunk_chars, overlap_chars, margin), f"{COMMON}, value {kind}"
+        rows = pieces(todo, chunk_chars, overlap_chars).mapInArrow(
+            _read(reader, kind, chunk_chars, overlap_chars, margin), f"{READ}, value {kind}"
         )
-        cut = stored(
-            rows.withColumn("begin", F.when(F.col("k") == 0, F.lit(0)).otherwise(common))
-            .withColumn("until", F.coalesce(F.lead("begin").over(order), F.col("n_chars")))
-            .withColumn("failed", F.max(F.col("begin").isNull()).over(whole))
-            .drop("heads", "tails"),
+        read = stored(rows, folder, f"chunks-{attempt}")
+        ends = read.select("of", (F.col("k") + 1).alias("k"), F.col("tails").alias("_tails"))
+        common = F.array_min(F.array_intersect("_tails", "heads"))
+        begins = stored(
+            read.select("of", "k", "heads")
+            .join(ends.hint("merge"), ["of", "k"], "left")
+            .select("of", "k", F.when(F.col("k") == 0, F.lit(0)).otherwise(common).alias("begin")),
             folder,
-            f"chunks-{attempt}",
+            f"splices-{attempt}",
+        )
+        failed = stored(
+            begins.filter("begin is null").select("of").distinct(), folder, f"failed-{attempt}"
+        )
+        until = begins.select("of", (F.col("k") - 1).alias("k"), F.col("begin").alias("until"))
+        good = (
+            read.drop("heads", "tails")
+            .join(begins.hint("merge"), ["of", "k"])
+            .join(until.hint("merge"), ["of", "k"], "left")
+            .withColumn("until", F.coalesce("until", "n_chars"))
+            .join(failed.hint("merge"), "of", "left_anti")
+            .select("of.*", "*")
+            .drop("of")
         )
-        good = cut.filter("not failed").drop("failed")
         result = good if result is None else result.unionByName(good)
-        failed = cut.filter("failed").select("doc_id", "digest").distinct()
         if failed.isEmpty():
             return result
-        same = ["doc_id", "digest"]
-        again = failed.select(*[F.col(c).alias("_" + c) for c in same])
+        again = failed.select(F.col("of.digest").alias("digest"), F.col("of.doc_id").alias("_doc_id"))
         todo = texts.join(
-            again,
+            again.hint("merge").withColumnRenamed("digest", "_digest"),
             F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest")),
             "left_semi",
         )

@@ -82,6 +82,27 @@ def test_white_space_of_the_pattern_is_white_space_here(tik):
         assert tik.encode_ordinary(whole) == [i for p in parts for i in tik.encode_ordinary(p)], repr(c)
 
 
+def test_chunks_of_one_text_are_read_by_several_tasks(spark, tik):
+    from pyspark.sql import functions as F
+
+    from pledgeline.llm import chunks
+
+    draw = random.Random(5)
+    text = " ".join(f"word{draw.randrange(10**6)}" for _ in range(200_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    dealt = chunks.pieces(chunks.long_texts(docs, 1 << 14), 1 << 14, 1 << 8)
+    tasks = dealt.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == -(-len(text) // (1 << 14))
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row = bpe.encode(docs, PATH, PATTERN, 1 << 14, 1 << 8).first()
+    assert np.frombuffer(row.ids, "<u4").tolist() == tik.encode_ordinary(text)
+
+
+def test_other_patterns_are_refused(spark):
+    with pytest.raises(ValueError, match="pattern"):
+        bpe.encode(no_documents(spark), PATH, r"\w+|\W+")
+
+
 def test_empty_and_foreign_tokenizers(spark):
     empty = no_documents(spark)
     assert bpe.round_trip(empty, PATH, PATTERN).count() == 0

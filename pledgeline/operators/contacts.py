@@ -117,7 +117,7 @@ ROLE_KEYS = {"contact_credit_entity_id": "_credit", "author_entity_id": "_author
 
 def possibly_in_role(contacts: DataFrame, roles: DataFrame) -> DataFrame:
     """The contacts that a bitmap of the role's people lets through: all in the role, few others."""
-    words = bitmap(roles.select("fundraiser_entity_id").distinct())
+    words = bitmap(roles.select("fundraiser_entity_id"))
     possible = F.lit(False)
     for key in ROLE_KEYS:
         possible = possible | may_hold(words, F.col(key))

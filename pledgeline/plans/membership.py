@@ -20,19 +20,20 @@ def _position(key: Column, bits: int) -> Column:
 
 def bitmap(keys: DataFrame, bits: int = BITS) -> Column:
     """The bitmap of a table's single column, as a scalar subquery: an array of longs."""
-    at = _position(F.col(keys.columns[0]), bits)
-    one = F.lit(1).cast("long")
-    filled = (
-        keys.filter(F.col(keys.columns[0]).isNotNull())
-        .select(F.floor(at / 64).cast("long").alias("word"), F.pmod(at, F.lit(64)).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit").cast("int"))).alias("bits"))
-    )
+    key = F.col(keys.columns[0])
+    at = _position(key, bits)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
     # every word once, those without a key as zero, in order
-    words = keys.sparkSession.range(-(-bits // 64)).select(
+    words = keys.sparkSession.range(0, -(-bits // 64), 1, 1).select(
         F.col("id").alias("word"), F.lit(0).cast("long").alias("bits")
     )
-    whole = filled.union(words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    whole = (
+        keys.filter(key.isNotNull())
+        .select(F.floor(at / 64).cast("long").alias("word"), bit.alias("bits"))
+        .union(words)
+        .groupBy("word")
+        .agg(F.bit_or("bits").alias("bits"))
+    )
     in_order = F.sort_array(F.collect_list(F.struct("word", "bits")))
     return whole.agg(F.transform(in_order, lambda w: w["bits"]).alias("words")).scalar()
 

@@ -28,7 +28,8 @@ def working_folder(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see, removed when the application ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "pledgeline")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}")

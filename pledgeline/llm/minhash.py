@@ -392,7 +392,8 @@ def links(
         folder,
         "placed",
     )
-    unsettled = _of_several(placed, bucket)
+    # written first, so that hot buckets can be split
+    unsettled = stored(_of_several(placed, bucket), folder, "buckets-of-several")
     going_on = stored(placed.join(unsettled.hint("merge"), bucket), folder, "unsettled")
     sets = stored(
         full_sets(docs, least, going_on.select("key").distinct()), folder, "unsettled-sets"
@@ -408,12 +409,11 @@ def links(
     # a bucket may be settled by what has left it
     going_on = going_on.join(measured.select("key").hint("merge"), "key", "left_semi")
     going_on = stored(going_on, folder, "left")
-    going_on = stored(
-        going_on.join(_of_several(going_on, bucket).hint("merge"), bucket), folder, "open"
+    unsettled = stored(
+        _of_several(going_on, bucket, F.min("key").alias("centre")), folder, "open-buckets"
     )
-    edges = going_on.join(
-        going_on.groupBy(*bucket).agg(F.min("key").alias("centre")).hint("merge"), bucket
-    ).select(F.col("centre").alias("src"), F.col("key").alias("dst"))
+    going_on = stored(going_on.join(unsettled.hint("merge"), bucket), folder, "open")
+    edges = going_on.select(F.col("centre").alias("src"), F.col("key").alias("dst"))
     clusters = components(edges, folder, "clusters-of").select(
         F.col("node").alias("key"), F.col("root").alias("cluster")
     )
@@ -427,13 +427,13 @@ def links(
     return first.union(second)
 
 
-def _of_several(placed: DataFrame, bucket: list[str]) -> DataFrame:
-    """The buckets that hold different components."""
+def _of_several(placed: DataFrame, bucket: list[str], *more: Column) -> DataFrame:
+    """The buckets that hold different components, with more of their measures."""
     return (
         placed.groupBy(*bucket)
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), *more)
         .filter("low <> high")
-        .select(*bucket)
+        .drop("low", "high")
     )
 
 

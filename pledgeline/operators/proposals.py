@@ -45,17 +45,24 @@ def assigned_proposals(
     With ``primary_prop_only`` the rows of a proposal that differ only in entity and primary flag
     are one; not every proposal has a row marked primary.
     """
-    assigned = (
+    return splittable_join(
+        _do_assignments(assignment), _held_proposals(proposal, primary_prop_only), ["proposal_id"]
+    )
+
+
+def _do_assignments(assignment: DataFrame) -> DataFrame:
+    return (
         assignment.filter((F.col("assignment_type") == "DO") & F.col("proposal_id").isNotNull())
         .withColumnsRenamed(ASSIGNMENT_NAMES)
         .drop("entity_id", "prospect_id")
     )
+
+
+def _held_proposals(proposal: DataFrame, primary_prop_only: bool) -> DataFrame:
     held = proposal.withColumnsRenamed(PROPOSAL_NAMES).drop(
         "entity_id", "summary_entity_id", "primary_ind", "primary_ind_cnt"
     )
-    if primary_prop_only:
-        held = held.distinct()
-    return splittable_join(assigned, held, ["proposal_id"])
+    return held.distinct() if primary_prop_only else held
 
 
 def primary_entities(prospect: DataFrame, primary_entity_only: bool = True) -> DataFrame:
@@ -93,7 +100,11 @@ def proposal_fact(
     primary_prop_only: bool = True,
     primary_entity_only: bool = True,
 ) -> DataFrame:
-    """Assigned proposals with prospect and entity columns."""
+    """Assigned proposals with prospect and entity columns.
+
+    Prospects meet their entities and proposals their prospects before the assignments, which are the
+    most rows, are joined: a row as wide as the result is never shuffled or sorted.
+    """
     prospects = primary_entities(
         prospect.withColumnsRenamed(PROSPECT_NAMES).drop("expected_date"), primary_entity_only
     )
@@ -105,8 +116,11 @@ def proposal_fact(
         "capacity_rating_code",
         "capacity_rating_desc",
     )
-    return (
-        assigned_proposals(assignment, proposal, primary_prop_only)
-        .join(prospects, "prospect_id", "left")
-        .join(entities, "entity_id", "left")
-    )
+    assigned = _do_assignments(assignment)
+    held = _held_proposals(proposal, primary_prop_only).filter(F.col("proposal_id").isNotNull())
+    described = prospects.join(entities, "entity_id", "left")
+    keys = ["entity_id", "prospect_id", "proposal_id"]
+    columns = [*keys, *[c for df in (assigned, held, prospects, entities) for c in df.columns if c not in keys]]
+    return splittable_join(
+        assigned, held.join(described, "prospect_id", "left"), ["proposal_id"]
+    ).select(*columns)

@@ -210,3 +210,23 @@ def test_numbering_evaluates_the_portfolio_once(spark, settings):
     final = _plan(df).split("== Initial Plan ==")[0]
     assert len(re.findall(r"Scan parquet", final)) <= 8
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("name", ["proposal_fact", "proposal_fact_whole", "scoped_proposals"])
+def test_rows_as_wide_as_the_fact_are_not_shuffled(spark, settings, name):
+    """Assignments are joined last: prospects and entities are on the proposals by then."""
+    settings(autoBroadcastJoinThreshold="-1")
+    plan = _plan(registry.queries()[name](spark, SMALL))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "SortMergeJoin [proposal_id" in joins[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(prospect_id" in line]
+    assert exchanges and "Scan parquet" in plan
+    # below the exchanges by prospect there are customers and orders, but no line items
+    depth = lambda line: re.search(r"\w", line).start()
+    lines = plan.splitlines()
+    for top in exchanges:
+        at = lines.index(top)
+        for line in lines[at + 1 :]:
+            if depth(line) <= depth(top):
+                break
+            assert "l_orderkey" not in line

@@ -81,14 +81,18 @@ def with_entities(
         .select(named.alias("_named"), F.inline(slots))
         .filter(F.col("_key").isNotNull())
     )
+    # a task holds its share of the entities, not of the many times that they are named: those stream past
     found = splittable_join(
         asked,
-        entity.select(F.col("entity_id").alias("_key"), "hh_corp_entity_id", "report_name"),
+        entity.select(F.col("entity_id").alias("_key"), "hh_corp_entity_id", "report_name").hint(
+            "shuffle_hash"
+        ),
         ["_key"],
     )
     of = lambda k, column: F.max(F.when(F.col("_slot") == k, F.col(column)))
-    # sorted by combination, as the join with the contacts needs it
-    folded = found.groupBy("_named").agg(
+    # sorted by combination, as the join with the contacts needs it; a combination has one row per person,
+    # in as many places, so combining before the shuffle would only sort all of them once more
+    folded = found.repartition("_named").groupBy("_named").agg(
         *[of(k, column).alias(f"_{k}") for k, column in enumerate(LOOKUPS.values())]
     )
     return (

@@ -161,6 +161,17 @@ def test_contacts_meet_entities_once(spark, settings, name):
     assert not re.search(r"hashpartitioning\(contact_(alt_)?entity_id#\w+, \d+\)", plan)
 
 
+@pytest.mark.parametrize("name", ["contacts_enriched", "scoped_contacts"])
+def test_people_of_contacts_are_sorted_once(spark, settings, name):
+    """Only after they met the entities, by combination: one sort each, in tasks of equal size."""
+    settings(autoBroadcastJoinThreshold="-1")
+    lines = _without_subqueries(_plan(registry.queries()[name](spark, SMALL))).splitlines()
+    by_named = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(_named#\w+, \d", line)]
+    assert by_named and not any("SortAggregate" in lines[i + 1] for i in by_named)
+    found = next(line for line in lines[by_named[0] :] if "Join [" in line)
+    assert "ShuffledHashJoin [_key" in found
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_facts_are_combined_by_hash(spark, settings, name):
     settings(autoBroadcastJoinThreshold="-1")

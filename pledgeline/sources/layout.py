@@ -2,13 +2,15 @@
 
 ``write_colocated`` writes tables into buckets of the key and finds the keys that hold more than a share of
 a table's rows. Those would each make one oversized task in a join of buckets; their number is bounded by
-the share (at most 1 / share per table), so they are kept as plain values. Inside ``with
+the share (at most 1 / share per table), so they are kept as plain values. The number of buckets follows
+the rows, so that a bucket, which one task reads and sorts, does not grow with the tables. Inside ``with
 colocated(layout):`` the joins of operators on that key join buckets in place, and split only the rows of
 hot keys as joins without a layout do (``plans.skew.splittable_join``).
 """
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -23,6 +25,9 @@ from pledgeline.plans.skew import Layout
 HOT_SHARE = 1 / 1024
 HOT_ROWS = 1 << 20
 
+#: Rows of a table that a bucket holds about, hot keys apart: what one task sorts in a few hundred MB.
+BUCKET_ROWS = 1 << 19
+
 
 def working_folder(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see, removed when the application ends."""
@@ -39,14 +44,26 @@ def working_folder(spark: SparkSession) -> str:
     return path.toString()
 
 
+def _frequent_keys(table: DataFrame, key: str, rows: int) -> tuple[int, dict]:
+    """The number of rows and the keys with more than ``rows`` of them, in one pass.
+
+    Such keys are less than one in ``rows`` rows, so they are few enough for the driver.
+    """
+    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    often = F.when((F.col("n") > rows) & F.col(key).isNotNull(), F.struct(F.col(key).alias("k"), "n"))
+    total, found = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.collect_list(often)).first()
+    return total, {r["k"]: r["n"] for r in found}
+
+
+def _hot(total: int, found: Mapping, share: float) -> list:
+    return sorted(k for k, n in found.items() if n > share * total)
+
+
 def hot_keys(
     table: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS
 ) -> list:
     """The keys with more than a share of the rows and more than ``rows``, by one count per key."""
-    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = table.count()
-    found = counts.filter((F.col("n") > max(share * total, rows)) & F.col(key).isNotNull())
-    return sorted(r[0] for r in found.collect())
+    return _hot(*_frequent_keys(table, key, rows), share)
 
 
 def write_colocated(
@@ -57,16 +74,21 @@ def write_colocated(
     key: str = "proposal_id",
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> Layout:
     """Write model tables below ``location``, as catalog tables of the given names; return their layout.
 
+    All have the same number of buckets: ``buckets``, or as many as the largest table needs to have no more
+    than ``bucket_rows`` rows in each.
     Rows of ordinary keys are dealt to one task per bucket, so a bucket is one sorted file; rows of hot
     keys are written by the tasks that read them.
     """
+    counted = {name: _frequent_keys(tables[name], key, rows) for name in names}
+    buckets = max([buckets, *[math.ceil(total / bucket_rows) for total, _ in counted.values()]])
     hot = set()
     for name, catalog_name in names.items():
         table = tables[name]
-        own = hot_keys(table, key, share, rows)
+        own = _hot(*counted[name], share)
         hot.update(own)
         if own:
             is_hot = F.coalesce(F.col(key).isin(own), F.lit(False))

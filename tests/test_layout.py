@@ -11,7 +11,7 @@ import __spark_entry__ as registry
 from check import compare
 from pledgeline.operators import portfolio, qualifications
 from pledgeline.plans.skew import Layout, colocated, splittable_join
-from pledgeline.sources.layout import hot_keys, working_folder, write_colocated
+from pledgeline.sources.layout import _frequent_keys, hot_keys, working_folder, write_colocated
 from pledgeline.sources.schemas import SCHEMAS
 from pledgeline.sources.tables import catalog_tables
 
@@ -91,3 +91,36 @@ def test_catalog_tables_check_their_columns(spark, table):
         catalog_tables(spark, {"stage": "narrow_stage"})
     with pytest.raises(ValueError, match="no model table 'stages'"):
         catalog_tables(spark, {"stages": "narrow_stage"})
+
+
+def test_buckets_follow_the_rows(spark, table):
+    facts = table("stage", [dict(proposal_stage_id=i, proposal_id=i % 50) for i in range(600)])
+    few = table("proposal_summary", [dict(proposal_id=p, proposal_assignments=f"p{p}") for p in range(50)])
+    names = {"stage": "stage_many", "proposal_summary": "summary_many"}
+    write_colocated(
+        {"stage": facts, "proposal_summary": few}, names, working_folder(spark), 4, bucket_rows=100
+    )
+    for name in names.values():
+        described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert described["Num Buckets"] == "6"
+    assert rows(catalog_tables(spark, names)["stage"]) == rows(facts)
+
+
+def test_keys_and_rows_are_counted_in_one_pass(spark, table):
+    made = spark.sparkContext.accumulator(0)
+    facts = table("stage", [dict(proposal_id=p) for p in [7] * 30 + [None] * 40 + list(range(20))])
+    assert _frequent_keys(facts, "proposal_id", 10) == (90, {7: 31})
+    assert _frequent_keys(facts.limit(0), "proposal_id", 10) == (0, {})
+    tapped = spark.createDataFrame(
+        facts.rdd.map(lambda row: (made.add(1), row)[1]), facts.schema
+    )
+    assert hot_keys(tapped, "proposal_id", share=0.2, rows=10) == [7]
+    assert made.value == 90
+
+
+def test_only_the_facts_that_a_query_reads_are_written(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    model = registry._Colocated(spark, SMALL, registry.COLOCATED["active_portfolio"])
+    written = {t.name.split("_")[-1] for t in spark.catalog.listTables() if t.name not in before}
+    assert written == {"assignment", "proposal"}
+    assert model.stage.columns == registry._Model(spark, SMALL).stage.columns

@@ -112,13 +112,20 @@ def number_rows(
 
     ``numberings`` gives the keys of each new column. A row's number is its number within its block
     plus the sizes of the blocks before it. All sizes come from one grouping of the rows by the keys
-    of all numberings and block, which adaptive execution evaluates once.
+    of all numberings and block, which adaptive execution evaluates once. Only groups that go on in
+    another block have anything to add.
     """
     if not numberings:
         return rows
     cut = rows.withColumn("_block", block_of(order_by))
     every = sorted({key for keys in numberings.values() for key in keys})
-    counted = cut.groupBy(*every, "_block").agg(F.count(F.lit(1)).alias("_size"))
+    # one struct as key: no partitioning that is there already serves, so there is an exchange, which all
+    # numberings read; by plain keys that are stored together the rows would be made again for each
+    counted = (
+        cut.groupBy(F.struct(*every, "_block").alias("_of"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select(*[F.col("_of")[k].alias(k) for k in (*every, "_block")], "_size")
+    )
     for name, keys in numberings.items():
         # one struct as key: it is never null, so the join keeps the partitioning of the window
         at = F.struct(*keys, "_block")
@@ -130,16 +137,17 @@ def number_rows(
         offsets = (
             counted.groupBy(*keys, "_block")
             .agg(F.sum("_size").alias("_size"))
-            .select(at.alias("_at"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+            .select(at.alias("_at"), F.sum("_size").over(before).alias("_before"))
+            .filter("_before > 0")
         )
         within = Window.partitionBy("_at").orderBy(
             F.col(order_by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]
         )
-        number = (F.col("_number") + F.col("_before")).cast("int").alias(name)
+        number = (F.col("_number") + F.coalesce("_before", F.lit(0))).cast("int").alias(name)
         cut = (
             cut.withColumn("_at", at)
             .withColumn("_number", F.row_number().over(within))
-            .join(offsets, "_at")
+            .join(offsets, "_at", "left")
             .select(*[c for c in cut.columns if c != "_block"], "_block", number)
         )
     return cut.drop("_block")

@@ -124,3 +124,14 @@ def test_only_the_facts_that_a_query_reads_are_written(spark):
     written = {t.name.split("_")[-1] for t in spark.catalog.listTables() if t.name not in before}
     assert written == {"assignment", "proposal"}
     assert model.stage.columns == registry._Model(spark, SMALL).stage.columns
+
+
+def test_numbering_reads_stored_facts_twice(spark, no_broadcast):
+    """Once for the rows and once for the sizes of the blocks of all three numberings."""
+    model = registry._Colocated(spark, SMALL, ("assignment", "proposal"))
+    with colocated(model.layout):
+        df = model.portfolio(registry.RANKS)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Bucketed: true") == 4
+    assert "ReusedExchange" in final
